@@ -94,9 +94,8 @@ def join_users(
 
 def with_sender(joined: DataFrame, carry: list[str] = ()) -> DataFrame:
     """Add ``from`` and ``from_icon`` and put the columns in contract order."""
-    return joined.withColumn("from", sender_label()).withColumn("from_icon", sender_icon()).select(
-        *CURATED_COLUMNS, *carry
-    )
+    derived = {"from": sender_label().alias("from"), "from_icon": sender_icon().alias("from_icon")}
+    return joined.select(*[derived.get(c, F.col(c)) for c in CURATED_COLUMNS], *carry)
 
 
 def enrich_users(

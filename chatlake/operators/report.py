@@ -197,14 +197,18 @@ MESSAGE_LIST_COLUMNS = [PART_START, CHANNEL, "icon", "from", "text"]
 def message_list(curated: DataFrame) -> DataFrame:
     """Distinct (time, channel, icon, sender, text) rows with text, oldest first.
 
-    Rows that are equal share their time, so one range shuffle on the time both
-    groups duplicates and orders the output: the distinct and the sort then run
-    inside each range partition (one exchange instead of two).
+    Skew-safe at scale: the distinct pre-aggregates map-side (a hot duplicate
+    row collapses before the shuffle) and shuffles on all five columns; the
+    sort then range-partitions on (time, hash of the other columns), so one
+    instant (or the NULL time of messages without a timestamp) holding a third
+    of all rows is still split over many tasks. The hash keeps the range
+    sampler's driver-side sample small (no message text in the sort key).
     """
     rows = curated.where(F.col("text").isNotNull()).select(
         PART_START, CHANNEL, F.col("from_icon").alias("icon"), "from", "text"
     )
-    return rows.repartitionByRange(F.col(PART_START).asc()).distinct().orderBy(F.col(PART_START).asc())
+    tiebreak = F.xxhash64(CHANNEL, "icon", "from", "text")
+    return rows.distinct().orderBy(F.col(PART_START).asc(), tiebreak.asc())
 
 
 def filter_domain_agents(curated: DataFrame) -> DataFrame:

@@ -74,7 +74,10 @@ def incremental_load(
     if cfg.change_log is None:
         raise ValueError("incremental_load needs cfg.change_log")
     baseline = get_baseline(spark, cfg.curated_table)
-    latest = latest_version(spark, cfg.change_log, cfg.change_log_format) if end is None else end
+    if end is None:
+        latest = latest_version(spark, cfg.change_log, cfg.change_log_format, after=baseline)
+    else:
+        latest = end
     if latest is None or latest <= baseline:
         return LoadResult("no_changes", start_version=baseline + 1, end_version=baseline)
     changes = read_changes(spark, cfg.change_log, baseline, latest, cfg.change_log_format)

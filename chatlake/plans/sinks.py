@@ -40,17 +40,24 @@ def write_curated(
     curated.sparkSession.catalog.refreshTable(table)
 
 
+def _describe(spark: SparkSession, table: str) -> dict[str, str]:
+    keys = ["Location", "Partition Provider"]
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name").isin(keys)).collect()
+    return {r["col_name"]: r["data_type"] for r in rows}
+
+
 def table_location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Location").collect()
-    if not rows:
+    loc = _describe(spark, table).get("Location")
+    if not loc:
         raise ValueError(f"table {table} has no location")
-    return rows[0]["data_type"]
+    return loc
 
 
 def replace_versions(curated_with_version: DataFrame, table: str) -> None:
     """Write rows carrying ``_commit_version``, replacing those version partitions only."""
     spark = curated_with_version.sparkSession
-    location = table_location(spark, table)
+    info = _describe(spark, table)
+    location = info["Location"]
     (
         _ordered(curated_with_version)
         .write.mode("overwrite")
@@ -58,11 +65,10 @@ def replace_versions(curated_with_version: DataFrame, table: str) -> None:
         .partitionBy(COMMIT_VERSION)
         .parquet(location)
     )
+    if info.get("Partition Provider") == "Catalog":
+        # The catalog tracks partitions (e.g. a Hive metastore): register new folders.
+        spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
-    try:
-        spark.catalog.recoverPartitions(table)  # catalogs that track partitions
-    except Exception:
-        pass
 
 
 def set_baseline(spark: SparkSession, table: str, version: int) -> None:

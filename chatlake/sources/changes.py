@@ -49,13 +49,24 @@ def read_changes(
     return df.withColumn(COMMIT_VERSION, F.col(COMMIT_VERSION).cast("bigint"))
 
 
-def latest_version(spark: SparkSession, source: str, fmt: str = "parquet") -> int | None:
-    """Highest committed version of the change log, None when it is empty."""
+def latest_version(
+    spark: SparkSession, source: str, fmt: str = "parquet", after: int | None = None
+) -> int | None:
+    """Highest committed version of the change log, None when it is empty.
+
+    ``after``: only versions above it are looked at (a partition filter), so an
+    incremental run touches the new versions' files only; None is returned when
+    there is nothing above it.
+    """
     if fmt == "delta":
         ref = f"delta.`{source}`" if is_path(source) else source
         rows = spark.sql(f"DESCRIBE HISTORY {ref} LIMIT 1").select("version").collect()
-        return int(rows[0][0]) if rows else None
-    row = _scan(spark, source).agg(F.max(COMMIT_VERSION)).first()
+        v = int(rows[0][0]) if rows else None
+        return None if v is None or (after is not None and v <= after) else v
+    df = _scan(spark, source)
+    if after is not None:
+        df = df.where(F.col(COMMIT_VERSION) > F.lit(after))
+    row = df.agg(F.max(COMMIT_VERSION)).first()
     return None if row is None or row[0] is None else int(row[0])
 
 

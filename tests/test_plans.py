@@ -73,7 +73,7 @@ def test_report_filters_reach_the_scan(spark, sf_small):
     assert "text" not in read_schema and "userfullname" not in read_schema
 
 
-def test_message_list_single_exchange(spark, sf_small):
+def test_message_list_pre_aggregates_and_splits_hot_times(spark, sf_small):
     cfg = LoadConfig(
         curated_table=unique_name("cm"), curated_path=scratch_path(spark, "plan_curated"), tz_offset_minutes=-240
     )
@@ -84,5 +84,11 @@ def test_message_list_single_exchange(spark, sf_small):
         users=project_users(fixture_users(spark, sf_small)),
         version=0,
     )
-    plan = R.message_list(read_curated(spark, cfg.curated_table))._jdf.queryExecution().sparkPlan().toString()
-    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    text = _formatted(spark, R.message_list(read_curated(spark, cfg.curated_table)))
+    tree = text.split("\n\n")[0]
+    assert tree.count("Exchange") == 2
+    assert re.search(r"rangepartitioning\(conversation_part_starttime#\d+ ASC NULLS FIRST, xxhash64", text)
+    # map-side partial aggregation below the hash exchange
+    lines = tree.splitlines()
+    first_ex = max(i for i, line in enumerate(lines) if "Exchange" in line)
+    assert any("HashAggregate" in line for line in lines[first_ex + 1 :])
