@@ -24,6 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from chatlake.config import LoadConfig  # noqa: E402
 from chatlake.functions.payload import (  # noqa: E402
     first_array_column,
+    flatten_payload,
     infer_payload_schema,
     parse_payload,
     sample_payload,
@@ -108,7 +109,7 @@ def q_user_scan(spark, sf):
 
 
 def q_payload_activity_counts(spark, sf):
-    return activity_counts(parse_payload(_transcripts(spark, sf)))
+    return activity_counts(flatten_payload(parse_payload(_transcripts(spark, sf))))
 
 
 def q_inferred_schema(spark, sf):
@@ -213,6 +214,10 @@ def q_filter_domain_dates(spark, sf):
     return R.filter_domain_dates(_curated(spark, sf))
 
 
+def q_filter_domains(spark, sf):
+    return R.filter_domains_long(_curated(spark, sf))
+
+
 def q_filter_agent(spark, sf):
     return R.by_agent(_curated(spark, sf), FILTER_AGENTS)
 
@@ -256,6 +261,16 @@ def q_summary_page_by_date(spark, sf):
     return _summary(spark, sf)["messages_by_date_agent"]
 
 
+def q_summary_page_filtered(spark, sf):
+    """The summary page's bar chart under the shared filter state."""
+    return _summary(spark, sf)["conversations_by_agent"]
+
+
+def q_detail_page_drill(spark, sf):
+    """Drill-through to one agent: the detail page's message transcript."""
+    return _detail(spark, sf)["message_list"]
+
+
 def q_detail_page_total(spark, sf):
     return _detail(spark, sf)["total_conversations"]
 
@@ -295,7 +310,7 @@ def q_changes_by_version(spark, sf):
 def q_snapshot_latest(spark, sf):
     cfg = _load_cfg(spark, sf)
     snap = project_transcripts(snapshot_as_of(read_changes(spark, cfg.change_log)))
-    return activity_counts(parse_payload(snap))
+    return activity_counts(flatten_payload(parse_payload(snap)))
 
 
 def q_incremental_batch(spark, sf):
@@ -377,6 +392,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_domain_agents": q_filter_domain_agents,
     "filter_domain_channels": q_filter_domain_channels,
     "filter_domain_dates": q_filter_domain_dates,
+    "filter_domains": q_filter_domains,
     "filter_agent": q_filter_agent,
     "filter_date": q_filter_date,
     "filter_excluding": q_filter_excluding,
@@ -384,6 +400,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_page_by_agent": q_summary_page_by_agent,
     "summary_page_by_channel": q_summary_page_by_channel,
     "summary_page_by_date": q_summary_page_by_date,
+    "summary_page_filtered": q_summary_page_filtered,
+    "detail_page_drill": q_detail_page_drill,
     "detail_page_total": q_detail_page_total,
     "detail_page_header": q_detail_page_header,
     "detail_page_conversations": q_detail_page_conversations,
@@ -535,6 +553,12 @@ FROM c GROUP BY 1, 2 ORDER BY 1, 2"""
     "filter_domain_dates": _with_c(
         "SELECT min(conversation_startdate) AS date_min, max(conversation_startdate) AS date_max FROM c"
     ),
+    "filter_domains": _with_c(
+        """SELECT DISTINCT 'agent' AS domain, bot_conversationtranscriptidname AS value FROM c
+UNION ALL SELECT DISTINCT 'channel', "channelId" FROM c
+UNION ALL SELECT 'date_min', strftime(min(conversation_startdate), '%Y-%m-%d') FROM c
+UNION ALL SELECT 'date_max', strftime(max(conversation_startdate), '%Y-%m-%d') FROM c"""
+    ),
     "filter_agent": _with_c(
         "SELECT * FROM c WHERE bot_conversationtranscriptidname IN ('Agent 1', 'Agent 3')"
     ),
@@ -561,6 +585,11 @@ FROM c WHERE {_PAGE_WHERE} GROUP BY 1 ORDER BY conversations DESC, 1"""
         f"""SELECT conversation_startdate, bot_conversationtranscriptidname, count(id) AS messages
 FROM c WHERE {_PAGE_WHERE} GROUP BY 1, 2 ORDER BY 1, 2"""
     ),
+    "summary_page_filtered": _with_c(
+        f"""SELECT bot_conversationtranscriptidname, count(DISTINCT id) AS conversations
+FROM c WHERE {_PAGE_WHERE} GROUP BY 1 ORDER BY conversations DESC, 1"""
+    ),
+    "detail_page_drill": _with_c(_MESSAGE_LIST.format(extra=f" AND {_DETAIL_WHERE}") + " ORDER BY 1"),
     "detail_page_total": _with_c(
         f"SELECT count(DISTINCT id) AS total_conversations FROM c WHERE {_DETAIL_WHERE}"
     ),

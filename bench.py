@@ -4,6 +4,9 @@ Setup (untimed): the raw inputs are derived from the driver tables with Spark
 and written as parquet, as they would sit in the lake: the transcript table,
 the user table and the version-partitioned change log. A replicated copy of
 the transcripts (k times, new ids, same payloads) gives a scaling point.
+Inputs are written as 2 x cores evenly sized files, as a lake table holds many
+files; a single file with one row group could not be split and would pin the
+whole scan and parse to one task.
 
 Timed:
   initial_load        full load of the transcript table into the curated table
@@ -35,6 +38,7 @@ from chatlake.plans.loads import incremental_load, initial_load  # noqa: E402
 from chatlake.session import local_session, scratch_path, unique_name  # noqa: E402
 from chatlake.sources.fixtures import (  # noqa: E402
     change_log_from_transcripts,
+    save_change_log,
     transcripts_from_turns,
     users_from_customers,
 )
@@ -80,10 +84,11 @@ def main() -> None:
     raw_t = scratch_path(spark, "bench_transcripts")
     raw_u = scratch_path(spark, "bench_users")
     raw_log = scratch_path(spark, "bench_change_log")
-    transcripts_from_turns(conv).write.parquet(raw_t)
-    users_from_customers(cust).write.parquet(raw_u)
+    files = 2 * int(CPUS)
+    transcripts_from_turns(conv).repartition(files).write.parquet(raw_t)
+    users_from_customers(cust).repartition(files).write.parquet(raw_u)
     t_raw = spark.read.parquet(raw_t)
-    change_log_from_transcripts(t_raw).write.partitionBy("_commit_version").parquet(raw_log)
+    save_change_log(change_log_from_transcripts(t_raw), raw_log)
 
     def cfg(**kw):
         return LoadConfig(
@@ -141,7 +146,7 @@ def main() -> None:
         rep = F.explode(F.sequence(F.lit(0), F.lit(K - 1))).alias("_r")
         t_k = t_raw.select("*", rep).withColumn("id", F.concat_ws("-r", "id", F.col("_r").cast("string"))).drop("_r")
         raw_tk = scratch_path(spark, f"bench_transcripts_k{K}")
-        t_k.write.parquet(raw_tk)
+        t_k.repartition(files).write.parquet(raw_tk)
         kcfg = cfg()
         secs, res = _timed(lambda: initial_load(spark, kcfg, transcripts=spark.read.parquet(raw_tk), version=0))
         scaling = {

@@ -71,6 +71,7 @@ def extract_fields(
     )
 
 
-def activity_counts(parsed: DataFrame, array_col: str = "activities") -> DataFrame:
-    """Number of payload elements per transcript (NULL payload: NULL)."""
-    return parsed.select("id", F.size(F.col(f"{PARSED}.{array_col}")).alias("activities"))
+def activity_counts(flat: DataFrame, array_col: str = "activities") -> DataFrame:
+    """Number of payload elements per transcript, from the flattened payload
+    (``flatten_payload``); a NULL payload gives NULL."""
+    return flat.select("id", F.size(F.col(array_col)).alias("activities"))

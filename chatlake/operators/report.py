@@ -223,6 +223,22 @@ def filter_domain_dates(curated: DataFrame) -> DataFrame:
     return curated.agg(F.min(DATE).alias("date_min"), F.max(DATE).alias("date_max"))
 
 
+def filter_domains_long(curated: DataFrame) -> DataFrame:
+    """All slicer domains in one table: (domain, value) rows for every agent, every
+    channel, and the first and last start date (as ISO text)."""
+    agents = filter_domain_agents(curated).select(F.lit("agent").alias("domain"), F.col(AGENT).alias("value"))
+    channels = filter_domain_channels(curated).select(F.lit("channel").alias("domain"), F.col(CHANNEL).alias("value"))
+    dates = filter_domain_dates(curated).select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("date_min").alias("domain"), F.col("date_min").cast("string").alias("value")),
+                F.struct(F.lit("date_max").alias("domain"), F.col("date_max").cast("string").alias("value")),
+            )
+        ).alias("d")
+    ).select("d.*")
+    return agents.unionByName(channels).unionByName(dates)
+
+
 def filter_domains(curated: DataFrame) -> dict[str, DataFrame]:
     """Values offered by the agent and channel dropdowns and the date slicer."""
     return {

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from chatlake.config import LoadConfig, LoadResult
 from chatlake.plans.curated import build_curated
-from chatlake.plans.sinks import get_baseline, replace_versions, set_baseline, write_curated
+from chatlake.plans.sinks import append_curated, get_baseline, set_baseline, write_curated
 from chatlake.schema import COMMIT_VERSION
 from chatlake.sources.changes import inserts_only, latest_version, read_changes, snapshot_as_of
 from chatlake.sources.tables import project_transcripts, read_transcripts, read_users
@@ -90,7 +90,7 @@ def incremental_load(
     users = read_users(spark, cfg) if users is None else users
     curated = build_curated(inserts_only(changes, keep_version=True), users, cfg, carry=[COMMIT_VERSION])
     curated, obs = _observe(curated, "incremental_load")
-    replace_versions(curated, cfg.curated_table)
+    append_curated(curated, cfg.curated_table)
     set_baseline(spark, cfg.curated_table, latest)
     s = stats.get
     return LoadResult(

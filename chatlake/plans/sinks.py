@@ -71,6 +71,16 @@ def replace_versions(curated_with_version: DataFrame, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def append_curated(curated_with_version: DataFrame, table: str) -> None:
+    """Append new messages to the curated table, idempotently per commit version.
+
+    The rows carry ``_commit_version``; writing them replaces exactly those
+    version partitions, so appending the same versions twice (a rerun after a
+    crash) leaves one copy.
+    """
+    replace_versions(curated_with_version, table)
+
+
 def set_baseline(spark: SparkSession, table: str, version: int) -> None:
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BASELINE_PROPERTY}' = '{int(version)}')")
 

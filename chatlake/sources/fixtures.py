@@ -121,8 +121,17 @@ def fixture_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users_from_customers(driver_table(spark, sf_dir, "customer"))
 
 
+def save_change_log(log: DataFrame, path: str) -> str:
+    """Write a change log as a version-partitioned parquet folder.
+
+    The REBALANCE hint lets AQE group rows by version into advisory-sized
+    files: a few files per small commit, and a large commit (even one holding
+    a third of all rows) split over many tasks rather than one.
+    """
+    log.hint("rebalance", COMMIT_VERSION).write.mode("overwrite").partitionBy(COMMIT_VERSION).parquet(path)
+    return path
+
+
 def write_change_log(spark: SparkSession, sf_dir: str, path: str) -> str:
     """Materialise the fixture change log as a version-partitioned parquet folder."""
-    log = change_log_from_transcripts(fixture_transcripts(spark, sf_dir))
-    log.write.mode("overwrite").partitionBy(COMMIT_VERSION).parquet(path)
-    return path
+    return save_change_log(change_log_from_transcripts(fixture_transcripts(spark, sf_dir)), path)
