@@ -12,7 +12,7 @@ fresh attempt files, so lost executors never leave partial output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.config import BaselineMissing
@@ -53,32 +53,50 @@ def table_location(spark: SparkSession, table: str) -> str:
     return loc
 
 
-def replace_versions(curated_with_version: DataFrame, table: str) -> None:
-    """Write rows carrying ``_commit_version``, replacing those version partitions only."""
+def _register_partitions(spark: SparkSession, table: str, versions: list[int], chunk: int = 500) -> None:
+    """Add the written version partitions to a catalog that tracks partitions.
+
+    Only the versions this write produced are added (cost grows with the
+    increment, not with the table's history, unlike a full partition recovery).
+    """
+    for i in range(0, len(versions), chunk):
+        specs = " ".join(f"PARTITION ({COMMIT_VERSION} = {int(v)})" for v in versions[i : i + chunk])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+
+
+def replace_versions(curated_with_version: DataFrame, table: str) -> list[int]:
+    """Write rows carrying ``_commit_version``, replacing those version partitions only.
+
+    Returns the versions written (observed on the write job itself).
+    """
     spark = curated_with_version.sparkSession
     info = _describe(spark, table)
     location = info["Location"]
+    written = Observation("written_versions")
+    df = _ordered(curated_with_version).observe(
+        written, F.collect_set(COMMIT_VERSION).alias("versions")
+    )
     (
-        _ordered(curated_with_version)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(COMMIT_VERSION)
         .parquet(location)
     )
-    if info.get("Partition Provider") == "Catalog":
-        # The catalog tracks partitions (e.g. a Hive metastore): register new folders.
-        spark.catalog.recoverPartitions(table)
+    versions = sorted(int(v) for v in (written.get.get("versions") or []))
+    if info.get("Partition Provider") == "Catalog" and versions:
+        _register_partitions(spark, table, versions)
     spark.catalog.refreshTable(table)
+    return versions
 
 
-def append_curated(curated_with_version: DataFrame, table: str) -> None:
+def append_curated(curated_with_version: DataFrame, table: str) -> list[int]:
     """Append new messages to the curated table, idempotently per commit version.
 
     The rows carry ``_commit_version``; writing them replaces exactly those
     version partitions, so appending the same versions twice (a rerun after a
-    crash) leaves one copy.
+    crash) leaves one copy. Returns the versions written.
     """
-    replace_versions(curated_with_version, table)
+    return replace_versions(curated_with_version, table)
 
 
 def set_baseline(spark: SparkSession, table: str, version: int) -> None:

@@ -66,6 +66,8 @@ def test_initial_plus_increments_equals_one_shot(spark, log, users, one_shot, cu
     assert r0.status == "loaded" and get_baseline(spark, cfg.curated_table) == cut
     r1 = incremental_load(spark, cfg, users=users, end=9)
     assert r1.start_version == cut + 1 and r1.end_version == 9
+    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {cfg.curated_table}").collect()}
+    assert parts == {f"_commit_version={v}" for v in range(cut, 10)}  # exactly the written versions
     assert r1.inserted_transcripts == r1.change_rows  # versions <= 9 hold inserts only
     assert r0.messages + r1.messages == len(one_shot)
     r2 = incremental_load(spark, cfg, users=users)  # to the latest: updates and deletes only
