@@ -8,21 +8,23 @@ from pyspark.sql import functions as F
 from chatlake.schema import AGENT_ICON, ROLE_AGENT, ROLE_USER, USER_ICON
 
 
-def sender_label(
+def sender_label_sql(
     role: str = "from_role",
     agent_name: str = "bot_conversationtranscriptidname",
     user_name: str = "userfullname",
-) -> Column:
+) -> str:
     """Role 0: the agent's name; role 1: the user's full name; otherwise NULL."""
-    r = F.col(role)
-    return F.when(r == ROLE_AGENT, F.col(agent_name)).when(r == ROLE_USER, F.col(user_name))
+    return f"CASE `{role}` WHEN {ROLE_AGENT} THEN `{agent_name}` WHEN {ROLE_USER} THEN `{user_name}` END"
 
 
-def sender_icon(role: str = "from_role") -> Column:
+def sender_icon_sql(role: str = "from_role") -> str:
     """Role 0: robot, role 1: person, otherwise the empty string."""
-    r = F.col(role)
-    return (
-        F.when(r == ROLE_AGENT, F.lit(AGENT_ICON))
-        .when(r == ROLE_USER, F.lit(USER_ICON))
-        .otherwise(F.lit(""))
-    )
+    return f"CASE `{role}` WHEN {ROLE_AGENT} THEN '{AGENT_ICON}' WHEN {ROLE_USER} THEN '{USER_ICON}' ELSE '' END"
+
+
+def sender_label(**names: str) -> Column:
+    return F.expr(sender_label_sql(**names))
+
+
+def sender_icon(role: str = "from_role") -> Column:
+    return F.expr(sender_icon_sql(role))

@@ -1,6 +1,10 @@
 """Date and time expressions (built-in, zone-independent).
 
 Everything is TIMESTAMP_NTZ, so results do not depend on the session time zone.
+Each rule is written once as Spark SQL expression text (``*_sql``), which the
+operators splice into one ``selectExpr``: the JVM parses a whole projection in
+one call instead of one call per Column node. The Column forms wrap the same
+text with ``F.expr``.
 """
 
 from __future__ import annotations
@@ -9,63 +13,81 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-def epoch_ntz() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
-
-
+EPOCH_NTZ_SQL = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 # Epoch seconds that still land inside years 0001-9999; outside them the
 # message keeps a NULL time instead of failing the whole load.
 _MIN_EPOCH_S = -62135596800
 _MAX_EPOCH_S = 253402300799
 
 
-def offset_interval(minutes: int) -> Column:
-    """A day-time interval of ``minutes`` (signed), folded to a literal by Catalyst."""
-    if not isinstance(minutes, int):
+def _check_minutes(minutes: int) -> int:
+    if not isinstance(minutes, int) or isinstance(minutes, bool):
         raise TypeError("tz offset must be whole minutes (int)")
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    return minutes
 
 
-def shift(col: Column | str, minutes: int) -> Column:
-    """Shift a timestamp by a fixed offset in minutes (no DST, no zone names)."""
-    c = F.col(col) if isinstance(col, str) else col
-    if minutes == 0:
-        return c
-    return c + offset_interval(minutes)
+def offset_interval_sql(minutes: int) -> str:
+    """A day-time interval literal of ``minutes`` (signed)."""
+    return f"INTERVAL '{_check_minutes(minutes)}' MINUTE"
 
 
-def to_utc_ntz(col: Column | str, data_type: T.DataType) -> Column:
-    """Source timestamps as NTZ in UTC wall clock, whatever the session zone.
+def shift_sql(expr: str, minutes: int) -> str:
+    """``expr`` shifted by a fixed offset in minutes (no DST, no zone names)."""
+    if _check_minutes(minutes) == 0:
+        return expr
+    return f"({expr} + {offset_interval_sql(minutes)})"
 
-    A zone-aware TIMESTAMP is converted through its instant (microseconds since
-    the epoch); a TIMESTAMP_NTZ passes through; strings are parsed as NTZ.
-    """
-    c = F.col(col) if isinstance(col, str) else col
-    if isinstance(data_type, T.TimestampNTZType):
-        return c
-    if isinstance(data_type, T.TimestampType):
-        return epoch_ntz() + F.make_dt_interval(
-            F.lit(0), F.lit(0), F.lit(0), F.unix_micros(c) / F.lit(1_000_000)
-        )
-    return F.to_timestamp_ntz(c.cast("string"))
 
-
-def epoch_to_ntz(seconds: Column | str, minutes: int = 0, unit: str = "s") -> Column:
+def epoch_to_ntz_sql(expr: str, minutes: int = 0, unit: str = "s") -> str:
     """Epoch number to TIMESTAMP_NTZ, truncated to whole seconds, then shifted.
 
     ``unit`` is "s" or "ms". Out-of-range or NULL input gives NULL.
     """
-    c = F.col(seconds) if isinstance(seconds, str) else seconds
     if unit == "ms":
-        c = c / F.lit(1000.0)
-    elif unit != "s":
+        secs = f"({expr} / 1000.0)"
+    elif unit == "s":
+        secs = expr
+    else:
         raise ValueError(f"epoch unit must be 's' or 'ms', got {unit!r}")
-    whole = F.floor(c)
-    ts = epoch_ntz() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), whole)
-    in_range = c.between(F.lit(_MIN_EPOCH_S), F.lit(_MAX_EPOCH_S))
-    return F.when(in_range, shift(ts, minutes))
+    ts = f"{EPOCH_NTZ_SQL} + make_dt_interval(0, 0, 0, floor({secs}))"
+    return f"CASE WHEN {secs} BETWEEN {_MIN_EPOCH_S} AND {_MAX_EPOCH_S} THEN {shift_sql(ts, minutes)} END"
+
+
+def to_utc_ntz_sql(expr: str, data_type: T.DataType) -> str:
+    """Source timestamps as NTZ in UTC wall clock, whatever the session zone.
+
+    A zone-aware TIMESTAMP goes through its instant (exact microseconds since
+    the epoch); a TIMESTAMP_NTZ passes through; anything else is parsed as NTZ.
+    """
+    if isinstance(data_type, T.TimestampNTZType):
+        return expr
+    if isinstance(data_type, T.TimestampType):
+        micros = f"CAST(unix_micros({expr}) AS DECIMAL(18, 0))"
+        return f"{EPOCH_NTZ_SQL} + make_dt_interval(0, 0, 0, {micros} / 1000000)"
+    return f"to_timestamp_ntz(CAST({expr} AS STRING))"
+
+
+def _name(col: str) -> str:
+    return f"`{col}`"
+
+
+def offset_interval(minutes: int) -> Column:
+    return F.expr(offset_interval_sql(minutes))
+
+
+def shift(col: str, minutes: int) -> Column:
+    """Column form of ``shift_sql`` for a named column."""
+    return F.expr(shift_sql(_name(col), minutes))
+
+
+def epoch_to_ntz(col: str, minutes: int = 0, unit: str = "s") -> Column:
+    """Column form of ``epoch_to_ntz_sql`` for a named column."""
+    return F.expr(epoch_to_ntz_sql(_name(col), minutes, unit))
+
+
+def to_utc_ntz(col: str, data_type: T.DataType) -> Column:
+    return F.expr(to_utc_ntz_sql(_name(col), data_type))
 
 
-def start_date(ts: Column | str) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.to_date(c)
+def start_date(col: str) -> Column:
+    return F.expr(f"to_date({_name(col)})")

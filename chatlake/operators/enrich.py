@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatlake.functions.sender import sender_icon, sender_label
+from chatlake.functions.sender import sender_icon_sql, sender_label_sql
 from chatlake.schema import CURATED_COLUMNS
 
 USER_COLUMNS = ["userid", "userentraid", "userfullname", "useremailaddress"]
@@ -38,26 +38,27 @@ class UserSide:
 
 
 def rename_users(users: DataFrame) -> DataFrame:
-    return users.select(
-        F.col("id").alias("userid"),
-        F.col("azureactivedirectoryobjectid").alias("userentraid"),
-        F.col("fullname").alias("userfullname"),
-        F.col("internalemailaddress").alias("useremailaddress"),
+    return users.selectExpr(
+        "id AS userid",
+        "azureactivedirectoryobjectid AS userentraid",
+        "fullname AS userfullname",
+        "internalemailaddress AS useremailaddress",
     )
 
 
 def dedupe_users(renamed: DataFrame) -> DataFrame:
-    """One user per directory id: the one with the lowest ``userid``."""
-    best = F.min(F.struct("userid", "userfullname", "useremailaddress")).alias("u")
-    return renamed.groupBy("userentraid").agg(best).select(
+    """One user per directory id: the one with the lowest ``userid`` (aggregated
+    partially per task, then per key)."""
+    best = F.expr("min(struct(userid, userfullname, useremailaddress))").alias("u")
+    return renamed.groupBy("userentraid").agg(best).selectExpr(
         "u.userid", "userentraid", "u.userfullname", "u.useremailaddress"
     )
 
 
 def measure_users(renamed: DataFrame) -> UserSide:
     """Rows and string bytes of the user side: one distributed aggregation, one row back."""
-    size = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in USER_COLUMNS)
-    row = renamed.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    size = " + ".join(f"coalesce(octet_length({c}), 0)" for c in USER_COLUMNS)
+    row = renamed.selectExpr("count(1)", f"coalesce(sum({size}), 0)").first()
     return UserSide(int(row[0]), int(row[1]))
 
 
@@ -68,34 +69,26 @@ def join_users(
     salt_buckets: int = 8,
 ) -> DataFrame:
     """Left outer join on the directory id; both keys kept, unmatched rows kept."""
-    key = F.col("from_aadObjectId")
     if broadcast_users:
-        u = F.broadcast(renamed_users)
-        return messages.join(u, key == u["userentraid"], "left")
+        return messages.join(F.broadcast(renamed_users), F.expr("from_aadObjectId = userentraid"), "left")
 
     # Shuffle path: spread NULL keys, salt every key.
-    spread = F.concat(F.lit(_SURROGATE_PREFIX), F.col("id"), F.coalesce(F.col("from_id"), F.lit("")))
-    m = messages.withColumn("_jk", F.coalesce(key, spread))
+    spread = f"concat('{_SURROGATE_PREFIX}', id, coalesce(from_id, ''))"
+    m = messages.selectExpr("*", f"coalesce(from_aadObjectId, {spread}) AS _jk")
+    cond = "_jk = userentraid AND from_aadObjectId IS NOT NULL"
+    u = renamed_users
     if salt_buckets > 1:
-        salt = F.pmod(
-            F.xxhash64("id", "conversation_part_timestamp", "from_id"), F.lit(salt_buckets)
-        ).cast("int")
-        m = m.withColumn("_msalt", salt)
-        u = renamed_users.withColumn(
-            "_usalt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-        )
-        cond = (F.col("_jk") == F.col("userentraid")) & key.isNotNull() & (
-            F.col("_msalt") == F.col("_usalt")
-        )
-        return m.join(u, cond, "left").drop("_jk", "_msalt", "_usalt")
-    cond = (F.col("_jk") == F.col("userentraid")) & key.isNotNull()
-    return m.join(renamed_users, cond, "left").drop("_jk")
+        salt = f"CAST(pmod(xxhash64(id, conversation_part_timestamp, from_id), {salt_buckets}) AS INT)"
+        m = m.selectExpr("*", f"{salt} AS _msalt")
+        u = u.selectExpr("*", f"explode(sequence(0, {salt_buckets - 1})) AS _usalt")
+        cond += " AND _msalt = _usalt"
+    return m.join(u, F.expr(cond), "left").drop("_jk", "_msalt", "_usalt")
 
 
 def with_sender(joined: DataFrame, carry: list[str] = ()) -> DataFrame:
     """Add ``from`` and ``from_icon`` and put the columns in contract order."""
-    derived = {"from": sender_label().alias("from"), "from_icon": sender_icon().alias("from_icon")}
-    return joined.select(*[derived.get(c, F.col(c)) for c in CURATED_COLUMNS], *carry)
+    derived = {"from": f"{sender_label_sql()} AS `from`", "from_icon": f"{sender_icon_sql()} AS from_icon"}
+    return joined.selectExpr(*[derived.get(c, f"`{c}`") for c in CURATED_COLUMNS], *[f"`{c}`" for c in carry])
 
 
 def enrich_users(

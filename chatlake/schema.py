@@ -42,6 +42,17 @@ ACTIVITY_SCHEMA = T.StructType(
     ]
 )
 
+def sql_type(dt: T.DataType) -> str:
+    """SQL text of a data type, with every field name quoted."""
+    if isinstance(dt, T.StructType):
+        return "STRUCT<" + ", ".join(f"`{f.name}`: {sql_type(f.dataType)}" for f in dt.fields) + ">"
+    if isinstance(dt, T.ArrayType):
+        return f"ARRAY<{sql_type(dt.elementType)}>"
+    if isinstance(dt, T.MapType):
+        return f"MAP<{sql_type(dt.keyType)}, {sql_type(dt.valueType)}>"
+    return dt.simpleString().upper()
+
+
 PAYLOAD_SCHEMA = T.StructType(
     [T.StructField("activities", T.ArrayType(ACTIVITY_SCHEMA))]
 )

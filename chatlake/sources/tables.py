@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.config import LoadConfig, is_path
-from chatlake.functions.time import start_date, to_utc_ntz
+from chatlake.functions.time import to_utc_ntz_sql
 from chatlake.schema import COMMIT_VERSION, CURATED_COLUMNS
 
 
@@ -25,15 +25,15 @@ def project_transcripts(raw: DataFrame, carry: list[str] = ()) -> DataFrame:
     The start time is normalised to TIMESTAMP_NTZ (UTC wall clock) so the rest
     of the pipeline is independent of the session time zone.
     """
-    start = to_utc_ntz("conversationstarttime", raw.schema["conversationstarttime"].dataType)
-    return raw.select(
+    start = to_utc_ntz_sql("conversationstarttime", raw.schema["conversationstarttime"].dataType)
+    return raw.selectExpr(
         "id",
-        start.alias("conversation_starttime"),
-        start_date(start).alias("conversation_startdate"),
+        f"{start} AS conversation_starttime",
+        f"to_date({start}) AS conversation_startdate",
         "bot_conversationtranscriptidname",
         "bot_conversationtranscriptId",
         "content",
-        *carry,
+        *[f"`{c}`" for c in carry],
     )
 
 

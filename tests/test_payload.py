@@ -107,6 +107,16 @@ def test_no_array_field_gives_empty_result(spark):
     assert "conversation_part_json" in parts.columns
 
 
+def test_no_array_field_full_path_gives_empty_curated_schema(spark):
+    from chatlake.operators.enrich import enrich_users
+    from chatlake.operators.parts import extract_fields, messages_only
+
+    t = transcripts(spark, [("c1", None, None, '{"x": 1}')])
+    parts = explode_parts(parse_payload(t, "struct<x int>"), array_col=None)
+    c = enrich_users(extract_fields(messages_only(parts)), users(spark, [("u", "k", "n", "e")]))
+    assert c.count() == 0 and c.columns == CURATED_COLUMNS
+
+
 def test_schema_inference_from_newest_sample(spark):
     old = payload(msg(text="old"))
     new = '{"messages":[{"type":"message","text":"new"}],"extra":1}'
