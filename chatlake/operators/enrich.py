@@ -82,7 +82,10 @@ def join_users(
         m = m.selectExpr("*", f"{salt} AS _msalt")
         u = u.selectExpr("*", f"explode(sequence(0, {salt_buckets - 1})) AS _usalt")
         cond += " AND _msalt = _usalt"
-    return m.join(u, F.expr(cond), "left").drop("_jk", "_msalt", "_usalt")
+    # The size check ruled a broadcast out: say so to the planner, whose own
+    # estimate (file sizes, not a proven bound) might otherwise broadcast anyway.
+    # Sort-merge spills, so a large user partition never has to fit in memory.
+    return m.join(u.hint("merge"), F.expr(cond), "left").drop("_jk", "_msalt", "_usalt")
 
 
 def with_sender(joined: DataFrame, carry: list[str] = ()) -> DataFrame:
