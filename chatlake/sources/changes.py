@@ -80,22 +80,43 @@ def inserts_only(changes: DataFrame, keep_version: bool = False) -> DataFrame:
 _CHANGE_RANK = [("update_preimage", 0), ("insert", 1), ("update_postimage", 2), ("delete", 3)]
 
 
-def snapshot_as_of(changes: DataFrame) -> DataFrame:
+def snapshot_as_of(changes: DataFrame, broadcast_max_ids: int = 10_000_000) -> DataFrame:
     """Raw transcript rows as the table stood after the last version in ``changes``.
 
-    The latest change per transcript id wins (max_by, aggregated partially per
-    task then per id); deleted transcripts and pre-images drop out. Pass
-    ``read_changes(..., end=v)`` to get the state as of version ``v``.
+    Pass ``read_changes(..., end=v)`` to get the state as of version ``v``.
+
+    Transcripts are mostly append-only, so the work is split:
+
+    * ids that ever had an update or delete are found from a two-column scan
+      (id, change type) and de-duplicated with partial aggregation;
+    * inserts of all other ids pass straight through: an anti-join against
+      that id set, broadcast when a counted bound proves it small, else a
+      shuffle on the id alone;
+    * only the changed ids' rows are resolved per id (the latest change wins;
+      max_by aggregates partially per task, then per id), and deleted ids and
+      pre-images drop out.
+
+    No transcript content is shuffled for the append-only majority.
     """
+    cols = [c for c in changes.columns if c not in (CHANGE_TYPE, COMMIT_VERSION)]
+    changed_ids = changes.where(F.col(CHANGE_TYPE) != INSERT).select("id").distinct()
+    n_changed = changed_ids.count()
+    ids = F.broadcast(changed_ids) if n_changed <= broadcast_max_ids else changed_ids
+
+    stable = changes.where(F.col(CHANGE_TYPE) == INSERT).join(ids, "id", "left_anti").select(*cols)
+    if n_changed == 0:
+        return stable
+
     rank = F.lit(None).cast("int")
     for kind, r in reversed(_CHANGE_RANK):
         rank = F.when(F.col(CHANGE_TYPE) == kind, F.lit(r)).otherwise(rank)
-    cols = [c for c in changes.columns if c not in (CHANGE_TYPE, COMMIT_VERSION)]
-    latest = changes.groupBy("id").agg(
+    touched = changes.join(ids, "id", "left_semi")
+    latest = touched.groupBy("id").agg(
         F.max_by(F.struct(*cols, CHANGE_TYPE), F.struct(COMMIT_VERSION, rank.alias("r"))).alias("s")
     )
-    alive = F.col(f"s.{CHANGE_TYPE}").isin("insert", "update_postimage")
-    return latest.where(alive).select(*[F.col(f"s.{c}").alias(c) for c in cols])
+    alive = F.col(f"s.{CHANGE_TYPE}").isin(INSERT, "update_postimage")
+    resolved = latest.where(alive).select(*[F.col(f"s.{c}").alias(c) for c in cols])
+    return stable.unionByName(resolved)
 
 
 def load_stats(changes: DataFrame) -> DataFrame:
