@@ -44,6 +44,8 @@ class LoadConfig:
     # at most this many rows and this many bytes of string data; else shuffle.
     broadcast_max_rows: int = 5_000_000
     broadcast_max_bytes: int = 256 * 1024 * 1024
+    # Shuffle path only: reducers each directory id is salted over.
+    salt_buckets: int = 8
 
     def qualify(self, table: str) -> str:
         if is_path(table) or self.namespace is None or "." in table:

@@ -25,7 +25,10 @@ from chatlake.functions.sender import sender_icon_sql, sender_label_sql
 from chatlake.schema import CURATED_COLUMNS
 
 USER_COLUMNS = ["userid", "userentraid", "userfullname", "useremailaddress"]
-_SURROGATE_PREFIX = "\u0000nokey\u0000"
+# Prefix of the spread key given to messages without a directory id. It only
+# spreads them over reducers: the join condition's IS NOT NULL keeps them from
+# ever matching, whatever the key text.
+SURROGATE_PREFIX = "~nokey~"
 
 
 @dataclass(frozen=True)
@@ -73,7 +76,7 @@ def join_users(
         return messages.join(F.broadcast(renamed_users), F.expr("from_aadObjectId = userentraid"), "left")
 
     # Shuffle path: spread NULL keys, salt every key.
-    spread = f"concat('{_SURROGATE_PREFIX}', id, coalesce(from_id, ''))"
+    spread = f"concat('{SURROGATE_PREFIX}', id, coalesce(from_id, ''))"
     m = messages.selectExpr("*", f"coalesce(from_aadObjectId, {spread}) AS _jk")
     cond = "_jk = userentraid AND from_aadObjectId IS NOT NULL"
     u = renamed_users

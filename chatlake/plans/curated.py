@@ -55,6 +55,7 @@ def build_curated(
         dedupe=cfg.dedupe_users,
         broadcast_max_rows=cfg.broadcast_max_rows,
         broadcast_max_bytes=cfg.broadcast_max_bytes,
+        salt_buckets=cfg.salt_buckets,
         force_strategy=force_strategy,
         carry=carry,
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chatlake.config import LoadConfig
-from chatlake.operators.enrich import enrich_users, measure_users, rename_users
+from chatlake.operators.enrich import SURROGATE_PREFIX, enrich_users, measure_users, rename_users
 from chatlake.plans.curated import messages_from_transcripts
 from chatlake.schema import CURATED_COLUMNS
 from tests.helpers import msg, payload, transcripts, users
@@ -95,7 +95,7 @@ def test_shuffle_plan_spreads_null_keys(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     # The join key is the coalesced surrogate, so no partition gets every NULL key.
     keyed = m.withColumn(
-        "_jk", F.coalesce("from_aadObjectId", F.concat(F.lit("\u0000nokey\u0000"), "id", "from_id"))
+        "_jk", F.coalesce("from_aadObjectId", F.concat(F.lit(SURROGATE_PREFIX), "id", "from_id"))
     )
     parts = keyed.repartition(8, "_jk").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert max(r["count"] for r in parts) < m.count() * 0.6
