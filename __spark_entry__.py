@@ -503,6 +503,10 @@ _DETAIL_WHERE = _PAGE_WHERE + " AND bot_conversationtranscriptidname IN ('Agent
 _MESSAGE_LIST = """SELECT DISTINCT conversation_part_starttime, "channelId", from_icon AS icon, "from", text
 FROM c WHERE text IS NOT NULL{extra}"""
 
+# The fixture assigns commit versions by rule (FIXTURES.md section 4): transcript n
+# is inserted at version n % 10, updated at 10 when n % 11 = 0 and deleted at 11
+# when n % 17 = 0. The modulo conditions below restate those version ranges; they
+# are not row subsets, and every query reads the whole tables.
 _LOG_IDS = "WITH t AS (SELECT DISTINCT conv_id AS n FROM conversations)"
 
 _ORACLE: dict[str, str] = {

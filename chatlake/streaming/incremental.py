@@ -14,8 +14,10 @@ decides which files count) and must not be written by the batch loads.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from chatlake.config import LoadConfig
@@ -25,16 +27,26 @@ from chatlake.sources.changes import inserts_only
 from chatlake.sources.tables import read_users
 
 
+def change_log_schema(spark: SparkSession, change_log: str) -> T.StructType:
+    """The change log's own schema (e.g. a zone-aware start time), read from the
+    existing files; the declared schema when the log is still empty."""
+    try:
+        return spark.read.option("basePath", change_log).parquet(change_log).schema
+    except AnalysisException:
+        return CHANGE_LOG_SCHEMA
+
+
 def stream_changes(
     spark: SparkSession, change_log: str, after_version: int | None = None, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(CHANGE_LOG_SCHEMA).option("basePath", change_log)
+    schema = change_log_schema(spark, change_log)
+    reader = spark.readStream.schema(schema).option("basePath", change_log)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     changes = reader.parquet(change_log)
     if after_version is not None:
         changes = changes.where(F.col(COMMIT_VERSION) > F.lit(after_version))
-    return changes
+    return changes.withColumn(COMMIT_VERSION, F.col(COMMIT_VERSION).cast("bigint"))
 
 
 def curated_stream(
