@@ -40,10 +40,11 @@ class LoadConfig:
     local_date: bool = False
     # Keep one user per directory id (the lowest `id`) instead of all of them.
     dedupe_users: bool = False
-    # Broadcast the user dimension only when a bounded count proves it is
-    # at most this many rows and this many bytes of string data; else shuffle.
-    broadcast_max_rows: int = 5_000_000
-    broadcast_max_bytes: int = 256 * 1024 * 1024
+    # Broadcast the user dimension only when a counted bound proves it is at
+    # most this many rows and this many bytes of string data (about a quarter
+    # of a gigabyte of hash relation per executor at worst); else shuffle.
+    broadcast_max_rows: int = 2_000_000
+    broadcast_max_bytes: int = 128 * 1024 * 1024
     # Shuffle path only: reducers each directory id is salted over.
     salt_buckets: int = 8
 

@@ -102,8 +102,8 @@ def enrich_users(
     users: DataFrame,
     *,
     dedupe: bool = False,
-    broadcast_max_rows: int = 5_000_000,
-    broadcast_max_bytes: int = 256 * 1024 * 1024,
+    broadcast_max_rows: int = 2_000_000,
+    broadcast_max_bytes: int = 128 * 1024 * 1024,
     salt_buckets: int = 8,
     force_strategy: str | None = None,
     carry: list[str] = (),
