@@ -78,8 +78,7 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         return asdict(incremental_load(spark, cfg, end=a.end))
     if not (a.sink and a.checkpoint and cfg.change_log):
         raise SystemExit("stream needs --change-log, --sink and --checkpoint")
-    run_incremental_stream(spark, cfg, a.sink, a.checkpoint, after_version=a.after_version)
-    return {"status": "drained", "sink": a.sink}
+    return asdict(run_incremental_stream(spark, cfg, a.sink, a.checkpoint, after_version=a.after_version))
 
 
 def main() -> None:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from chatlake.config import LoadConfig
+from chatlake.config import LoadConfig, LoadResult
 from chatlake.plans.curated import build_curated
 from chatlake.schema import CHANGE_LOG_SCHEMA, COMMIT_VERSION, CURATED_COLUMNS
 from chatlake.sources.changes import inserts_only
@@ -88,12 +88,20 @@ def start_incremental_stream(
     return writer.start(sink_path)
 
 
-def run_incremental_stream(spark: SparkSession, cfg: LoadConfig, sink_path: str, checkpoint_path: str, **kw) -> None:
-    """Run one availableNow pass to completion."""
+def run_incremental_stream(
+    spark: SparkSession, cfg: LoadConfig, sink_path: str, checkpoint_path: str, **kw
+) -> LoadResult:
+    """Run one availableNow pass to completion; counts come from the query's progress."""
     q = start_incremental_stream(spark, cfg, sink_path, checkpoint_path, available_now=True, **kw)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    progress = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
+    return LoadResult(
+        "drained" if progress else "no_changes",
+        change_rows=sum(int(p["numInputRows"]) for p in progress),
+        details={"batches": len(progress), "sink": sink_path},
+    )
 
 
 def read_stream_sink(spark: SparkSession, sink_path: str) -> DataFrame:

@@ -117,9 +117,11 @@ def test_initial_load_from_log_snapshot(spark, log, users, one_shot):
 def test_stream_equals_batch_and_rerun_adds_nothing(spark, log, users, one_shot):
     cfg = _cfg(spark, log)
     sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
-    run_incremental_stream(spark, cfg, sink, ckpt, users=users)
+    first = run_incremental_stream(spark, cfg, sink, ckpt, users=users)
+    assert first.status == "drained" and first.change_rows > 0
     assert _rows(read_stream_sink(spark, sink)) == one_shot
-    run_incremental_stream(spark, cfg, sink, ckpt, users=users)
+    again = run_incremental_stream(spark, cfg, sink, ckpt, users=users)
+    assert again.status == "no_changes" and again.change_rows == 0
     assert _rows(read_stream_sink(spark, sink)) == one_shot
 
 
