@@ -33,6 +33,7 @@ from chatlake.operators import report as R  # noqa: E402
 from chatlake.operators.enrich import enrich_users  # noqa: E402
 from chatlake.operators.parts import PART, activity_counts, explode_parts  # noqa: E402
 from chatlake.operators.semantic import semantic_view  # noqa: E402
+from chatlake.plans.compact import compact_by_date  # noqa: E402
 from chatlake.plans.curated import build_curated, messages_from_transcripts  # noqa: E402
 from chatlake.plans.loads import incremental_load, initial_load  # noqa: E402
 from chatlake.plans.sinks import replace_versions  # noqa: E402
@@ -370,6 +371,20 @@ def q_overwrite_roundtrip(spark, sf):
     return read_curated(spark, cfg.curated_table)
 
 
+def q_compacted_by_date(spark, sf):
+    """Initial load, then the date-partitioned reporting copy; a date filter on it
+    prunes partitions, and its rows equal the curated table's."""
+    cfg = LoadConfig(
+        curated_table=unique_name("conversation_messages"),
+        curated_path=scratch_path(spark, "curated"),
+        tz_offset_minutes=CFG.tz_offset_minutes,
+    )
+    initial_load(spark, cfg, transcripts=fixture_transcripts(spark, sf), users=_users(spark, sf), version=0)
+    copy = unique_name("conversation_messages_by_date")
+    compact_by_date(spark, cfg.curated_table, copy, scratch_path(spark, "by_date"))
+    return read_curated(spark, copy)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "curated_full": q_curated_full,
     "transcript_scan": q_transcript_scan,
@@ -416,6 +431,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_stream": q_incremental_stream,
     "initial_plus_stream": q_initial_plus_stream,
     "overwrite_roundtrip": q_overwrite_roundtrip,
+    "compacted_by_date": q_compacted_by_date,
 }
 
 
@@ -634,6 +650,7 @@ FROM conversations WHERE conv_id % 17 <> 0 GROUP BY conv_id""",
     "incremental_stream": _CURATED_SELECT,
     "initial_plus_stream": _CURATED_SELECT,
     "overwrite_roundtrip": _CURATED_SELECT,
+    "compacted_by_date": _CURATED_SELECT,
 }
 
 

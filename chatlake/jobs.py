@@ -5,6 +5,7 @@
     spark-submit chatlake/jobs.py incremental --namespace lake --change-log ... --table ...
     spark-submit chatlake/jobs.py stream      --namespace lake --change-log ... \\
         --sink s3://.../stream_sink --checkpoint s3://.../stream_ckpt [--after-version 41]
+    spark-submit chatlake/jobs.py compact     --table ... --target analytics.messages_by_date
 
 Each command prints one JSON line with the outcome. The session is the
 cluster's (``SparkSession.builder.getOrCreate()``); nothing here sets a master.
@@ -24,6 +25,7 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 
 from chatlake.config import LoadConfig  # noqa: E402
+from chatlake.plans.compact import compact_by_date  # noqa: E402
 from chatlake.plans.loads import incremental_load, initial_load  # noqa: E402
 from chatlake.streaming.incremental import run_incremental_stream  # noqa: E402
 
@@ -49,7 +51,7 @@ def config_from_args(a: argparse.Namespace) -> LoadConfig:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="chatlake.jobs", description=__doc__.splitlines()[0])
-    p.add_argument("command", choices=["initial", "incremental", "stream"])
+    p.add_argument("command", choices=["initial", "incremental", "stream", "compact"])
     p.add_argument("--namespace")
     p.add_argument("--transcript-table")
     p.add_argument("--user-table")
@@ -66,6 +68,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--sink", help="stream: sink folder")
     p.add_argument("--checkpoint", help="stream: checkpoint folder")
     p.add_argument("--after-version", type=int, help="stream: skip versions up to this one")
+    p.add_argument("--target", help="compact: date-partitioned copy to (re)write")
+    p.add_argument("--target-path", help="compact: location of the copy's files")
     return p
 
 
@@ -76,6 +80,11 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         return asdict(initial_load(spark, cfg, version=a.version))
     if a.command == "incremental":
         return asdict(incremental_load(spark, cfg, end=a.end))
+    if a.command == "compact":
+        if not a.target:
+            raise SystemExit("compact needs --target")
+        compact_by_date(spark, cfg.curated_table, a.target, a.target_path)
+        return {"status": "compacted", "target": a.target}
     if not (a.sink and a.checkpoint and cfg.change_log):
         raise SystemExit("stream needs --change-log, --sink and --checkpoint")
     return asdict(run_incremental_stream(spark, cfg, a.sink, a.checkpoint, after_version=a.after_version))

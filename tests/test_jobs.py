@@ -26,3 +26,6 @@ def test_jobs_initial_incremental_stream(spark, sf_small):
     r2 = run(spark, ["stream", "--change-log", log, "--user-table", users, "--sink", sink, "--checkpoint", ckpt])
     assert r2["status"] == "drained"
     assert spark.read.parquet(sink).count() == got.count()
+    target = unique_name("jobs_by_date")
+    r3 = run(spark, ["compact", "--table", table, "--target", target, "--target-path", scratch_path(spark, "jobs_bd")])
+    assert r3["status"] == "compacted" and read_curated(spark, target).count() == got.count()

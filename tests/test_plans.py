@@ -92,3 +92,25 @@ def test_message_list_pre_aggregates_and_splits_hot_times(spark, sf_small):
     lines = tree.splitlines()
     first_ex = max(i for i, line in enumerate(lines) if "Exchange" in line)
     assert any("HashAggregate" in line for line in lines[first_ex + 1 :])
+
+
+def test_compacted_copy_prunes_dates(spark, sf_small):
+    from chatlake.plans.compact import compact_by_date
+
+    cfg = LoadConfig(
+        curated_table=unique_name("cm"), curated_path=scratch_path(spark, "plan_curated"), tz_offset_minutes=-240
+    )
+    initial_load(
+        spark,
+        cfg,
+        transcripts=fixture_transcripts(spark, sf_small),
+        users=project_users(fixture_users(spark, sf_small)),
+        version=0,
+    )
+    copy = unique_name("cm_by_date")
+    compact_by_date(spark, cfg.curated_table, copy, scratch_path(spark, "plan_by_date"))
+    c = read_curated(spark, copy)
+    assert c.count() == read_curated(spark, cfg.curated_table).count()
+    text = _formatted(spark, R.by_date(c, "2024-01-02", "2024-01-02"))
+    part = [line for line in text.splitlines() if "PartitionFilters" in line]
+    assert part and "conversation_startdate" in part[0]
