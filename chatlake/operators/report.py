@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
 from typing import Any, Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -251,26 +252,51 @@ def filter_domains(curated: DataFrame) -> dict[str, DataFrame]:
 # ---- pages -----------------------------------------------------------------
 
 
-def summary_page(curated: DataFrame, flt: ReportFilter = ReportFilter()) -> dict[str, DataFrame]:
+class Page(Mapping):
+    """The visuals of one report page, each built on first access.
+
+    Building a DataFrame costs JVM round trips; a caller that shows one visual
+    should not pay for the other three.
+    """
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def summary_page(curated: DataFrame, flt: ReportFilter = ReportFilter()) -> Page:
     """Summary page: one filter state, four visuals."""
     c = flt.apply(curated)
-    return {
-        "total_conversations": total_conversations(c),
-        "conversations_by_agent": conversations_by_agent(c),
-        "conversations_by_channel": conversations_by_channel(c),
-        "messages_by_date_agent": messages_by_date_agent(c),
-    }
+    return Page(
+        {
+            "total_conversations": lambda: total_conversations(c),
+            "conversations_by_agent": lambda: conversations_by_agent(c),
+            "conversations_by_channel": lambda: conversations_by_channel(c),
+            "messages_by_date_agent": lambda: messages_by_date_agent(c),
+        }
+    )
 
 
-def detail_page(
-    curated: DataFrame, agent: str | Iterable[str], flt: ReportFilter = ReportFilter()
-) -> dict[str, DataFrame]:
+def detail_page(curated: DataFrame, agent: str | Iterable[str], flt: ReportFilter = ReportFilter()) -> Page:
     """Detail page: drill-through agent(s) plus the shared filter state."""
     agents = (agent,) if isinstance(agent, str) else tuple(agent)
     c = by_agent(flt.apply(curated), agents)
-    return {
-        "total_conversations": total_conversations(c),
-        "agent_header": agent_header(c),
-        "conversation_list": conversation_list(c),
-        "message_list": message_list(c),
-    }
+    return Page(
+        {
+            "total_conversations": lambda: total_conversations(c),
+            "agent_header": lambda: agent_header(c),
+            "conversation_list": lambda: conversation_list(c),
+            "message_list": lambda: message_list(c),
+        }
+    )
