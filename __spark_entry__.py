@@ -37,7 +37,7 @@ from chatlake.plans.compact import compact_by_date  # noqa: E402
 from chatlake.plans.curated import build_curated, messages_from_transcripts  # noqa: E402
 from chatlake.plans.loads import incremental_load, initial_load  # noqa: E402
 from chatlake.plans.sinks import replace_versions  # noqa: E402
-from chatlake.schema import COMMIT_VERSION, CURATED_COLUMNS, TRANSCRIPT_COLUMNS  # noqa: E402
+from chatlake.schema import COMMIT_VERSION, TRANSCRIPT_COLUMNS  # noqa: E402
 from chatlake.session import scratch_path, unique_name  # noqa: E402
 from chatlake.sources.changes import (  # noqa: E402
     change_summary,
