@@ -136,27 +136,37 @@ class ReportFilter:
 # ---- aggregations ----------------------------------------------------------
 
 
-def total_conversations(curated: DataFrame) -> DataFrame:
-    """Distinct conversation ids (one row). NULL ids are not counted."""
-    return curated.agg(F.count_distinct("id").alias("total_conversations"))
+def distinct_ids(blank_as_value: bool = False) -> Column:
+    """Distinct conversation ids. Spark's count skips a NULL id; the source
+    report's distinct count counts a blank id as one more value, which
+    ``blank_as_value=True`` reproduces: a struct holding a NULL is itself a
+    non-NULL value, so it is counted once, and the query keeps a single distinct
+    aggregate (no row expansion). Ids are transcript keys, so they are not NULL
+    in practice and both give the same number."""
+    return F.count_distinct(F.struct("id") if blank_as_value else F.col("id"))
 
 
-def _distinct_by(curated: DataFrame, key: str) -> DataFrame:
+def total_conversations(curated: DataFrame, blank_as_value: bool = False) -> DataFrame:
+    """Distinct conversation ids (one row)."""
+    return curated.agg(distinct_ids(blank_as_value).alias("total_conversations"))
+
+
+def _distinct_by(curated: DataFrame, key: str, blank_as_value: bool = False) -> DataFrame:
     return (
         curated.groupBy(key)
-        .agg(F.count_distinct("id").alias("conversations"))
+        .agg(distinct_ids(blank_as_value).alias("conversations"))
         .orderBy(F.col("conversations").desc(), F.col(key).asc_nulls_last())
     )
 
 
-def conversations_by_agent(curated: DataFrame) -> DataFrame:
+def conversations_by_agent(curated: DataFrame, blank_as_value: bool = False) -> DataFrame:
     """Bars: distinct conversations per agent, largest first (agent name breaks ties)."""
-    return _distinct_by(curated, AGENT)
+    return _distinct_by(curated, AGENT, blank_as_value)
 
 
-def conversations_by_channel(curated: DataFrame) -> DataFrame:
+def conversations_by_channel(curated: DataFrame, blank_as_value: bool = False) -> DataFrame:
     """Bars: distinct conversations per channel, largest first."""
-    return _distinct_by(curated, CHANNEL)
+    return _distinct_by(curated, CHANNEL, blank_as_value)
 
 
 def messages_by_date_agent(curated: DataFrame) -> DataFrame:

@@ -123,3 +123,14 @@ def test_semantic_view_names(curated):
         "conversation_part_timestamp",
         "userid",
     }
+
+
+def test_null_id_counting(spark):
+    t = transcripts(spark, [("c1", None, "A", payload(msg(), msg())), ("c2", None, "A", payload(msg()))])
+    c = build_curated(t, users(spark, [("u", "x", "n", "e")]), LoadConfig(tz_offset_minutes=0))
+    with_null = c.unionByName(c.limit(1).withColumn("id", F.lit(None).cast("string")))
+    assert R.total_conversations(with_null).first()[0] == 2  # Spark: NULL skipped
+    assert R.total_conversations(with_null, blank_as_value=True).first()[0] == 3  # report host: blank counted
+    assert R.total_conversations(c, blank_as_value=True).first()[0] == 2  # no NULL: same number
+    bars = {r[0]: r[1] for r in R.conversations_by_agent(with_null, blank_as_value=True).collect()}
+    assert bars == {"A": 3}
