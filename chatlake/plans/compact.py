@@ -20,13 +20,16 @@ from chatlake.sources.tables import read_curated
 DATE = "conversation_startdate"
 
 
-def compact_by_date(spark: SparkSession, curated_table: str, target_table: str, path: str | None = None) -> None:
+def compact_by_date(
+    spark: SparkSession, curated_table: str, target_table: str, path: str | None = None, compression: str = "zstd"
+) -> None:
     rows = read_curated(spark, curated_table).select(*CURATED_COLUMNS)
     writer = (
         rows.hint("rebalance", DATE)
         .sortWithinPartitions(DATE, "bot_conversationtranscriptidname")
         .write.mode("overwrite")
         .format("parquet")
+        .option("compression", compression)
         .partitionBy(DATE)
     )
     if path is not None:

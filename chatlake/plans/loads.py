@@ -59,7 +59,7 @@ def initial_load(
         transcripts = project_transcripts(transcripts)
     users = read_users(spark, cfg) if users is None else users
     curated, obs = _observe(build_curated(transcripts, users, cfg), "initial_load")
-    write_curated(curated, cfg.curated_table, version, cfg.curated_path)
+    write_curated(curated, cfg.curated_table, version, cfg.curated_path, cfg.compression)
     set_baseline(spark, cfg.curated_table, version)
     return LoadResult("loaded", end_version=version, messages=obs.get.get("messages", 0))
 
@@ -90,7 +90,7 @@ def incremental_load(
     users = read_users(spark, cfg) if users is None else users
     curated = build_curated(inserts_only(changes, keep_version=True), users, cfg, carry=[COMMIT_VERSION])
     curated, obs = _observe(curated, "incremental_load")
-    append_curated(curated, cfg.curated_table)
+    append_curated(curated, cfg.curated_table, cfg.compression)
     set_baseline(spark, cfg.curated_table, latest)
     s = stats.get
     return LoadResult(

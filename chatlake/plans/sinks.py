@@ -30,11 +30,17 @@ def _ordered(curated: DataFrame) -> DataFrame:
 
 
 def write_curated(
-    curated: DataFrame, table: str, version: int, path: str | None = None
+    curated: DataFrame, table: str, version: int, path: str | None = None, compression: str = "zstd"
 ) -> None:
     """Overwrite the whole table with ``curated``, stamped with ``version``."""
     stamped = curated.withColumn(COMMIT_VERSION, F.lit(version).cast("bigint"))
-    writer = _ordered(stamped).write.mode("overwrite").format("parquet").partitionBy(COMMIT_VERSION)
+    writer = (
+        _ordered(stamped)
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("compression", compression)
+        .partitionBy(COMMIT_VERSION)
+    )
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
@@ -65,7 +71,7 @@ def _register_partitions(spark: SparkSession, table: str, versions: list[int], c
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
 
 
-def replace_versions(curated_with_version: DataFrame, table: str) -> list[int]:
+def replace_versions(curated_with_version: DataFrame, table: str, compression: str = "zstd") -> list[int]:
     """Write rows carrying ``_commit_version``, replacing those version partitions only.
 
     Returns the versions written (observed on the write job itself).
@@ -80,6 +86,7 @@ def replace_versions(curated_with_version: DataFrame, table: str) -> list[int]:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", compression)
         .partitionBy(COMMIT_VERSION)
         .parquet(location)
     )
@@ -90,14 +97,14 @@ def replace_versions(curated_with_version: DataFrame, table: str) -> list[int]:
     return versions
 
 
-def append_curated(curated_with_version: DataFrame, table: str) -> list[int]:
+def append_curated(curated_with_version: DataFrame, table: str, compression: str = "zstd") -> list[int]:
     """Append new messages to the curated table, idempotently per commit version.
 
     The rows carry ``_commit_version``; writing them replaces exactly those
     version partitions, so appending the same versions twice (a rerun after a
     crash) leaves one copy. Returns the versions written.
     """
-    return replace_versions(curated_with_version, table)
+    return replace_versions(curated_with_version, table, compression)
 
 
 def set_baseline(spark: SparkSession, table: str, version: int) -> None:

@@ -77,6 +77,7 @@ def start_incremental_stream(
     curated = curated_stream(spark, cfg, users, after_version, max_files_per_trigger)
     writer = (
         curated.writeStream.format("parquet")
+        .option("compression", cfg.compression)
         .partitionBy(COMMIT_VERSION)
         .option("checkpointLocation", checkpoint_path)
         .outputMode("append")
