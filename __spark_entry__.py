@@ -152,6 +152,12 @@ ENRICHED_COLUMNS = [
 ]
 
 
+def q_messages_local_date(spark, sf):
+    """The ``local_date`` option: the start date of the shifted start time."""
+    cfg = LoadConfig(tz_offset_minutes=CFG.tz_offset_minutes, local_date=True)
+    return messages_from_transcripts(_transcripts(spark, sf), cfg)
+
+
 def q_messages_enriched(spark, sf):
     m = messages_from_transcripts(_transcripts(spark, sf), CFG)
     return enrich_users(m, _users(spark, sf)).select(*ENRICHED_COLUMNS)
@@ -171,6 +177,10 @@ def q_semantic_view(spark, sf):
     return semantic_view(_curated(spark, sf))
 
 
+def q_semantic_view_hidden(spark, sf):
+    return semantic_view(_curated(spark, sf), include_hidden=True)
+
+
 def q_total_conversations(spark, sf):
     return R.total_conversations(_curated(spark, sf))
 
@@ -393,9 +403,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inferred_schema": q_inferred_schema,
     "parts_exploded": q_parts_exploded,
     "messages_extracted": q_messages_extracted,
+    "messages_local_date": q_messages_local_date,
     "messages_enriched": q_messages_enriched,
     "messages_enriched_shuffle": q_messages_enriched_shuffle,
     "semantic_view": q_semantic_view,
+    "semantic_view_hidden": q_semantic_view_hidden,
     "total_conversations": q_total_conversations,
     "conversations_by_agent": q_conversations_by_agent,
     "conversations_by_channel": q_conversations_by_channel,
@@ -500,17 +512,17 @@ def _with_c(body: str) -> str:
 
 _CURATED_SELECT = _with_c("SELECT * FROM c")
 
-_SEMANTIC = _with_c(
-    """SELECT id AS "Conversation Id", conversation_starttime AS "Conversation Start DateTime",
+_SEMANTIC_COLUMNS = '''id AS "Conversation Id", conversation_starttime AS "Conversation Start DateTime",
   bot_conversationtranscriptidname AS "Agent", "bot_conversationtranscriptId" AS "Agent Id",
   "channelId" AS "Channel", text AS "Conversation Text",
   "from_aadObjectId" AS "From Directory Object Id", from_id AS "From Id", from_role AS "From Role",
   conversation_part_starttime AS "Conversation Part Start DateTime",
   userentraid AS "User Directory Id", userfullname AS "User Full Name",
   useremailaddress AS "User Email Address", "from" AS "From",
-  conversation_startdate AS "Conversation Start Date", from_icon AS "From Icon"
-FROM c"""
-)
+  conversation_startdate AS "Conversation Start Date", from_icon AS "From Icon"'''
+
+_SEMANTIC = _with_c(f"SELECT {_SEMANTIC_COLUMNS}\nFROM c")
+_SEMANTIC_HIDDEN = _with_c(f"SELECT {_SEMANTIC_COLUMNS}, conversation_part_timestamp, userid\nFROM c")
 
 _PAGE_WHERE = """conversation_startdate >= DATE '2024-01-02' AND conversation_startdate < DATE '2024-01-07'
   AND ("channelId" IS NULL OR "channelId" NOT IN ('msteams'))"""
@@ -539,11 +551,14 @@ FROM conversations GROUP BY conv_id""",
 FROM conversations GROUP BY conv_id""",
     "parts_exploded": f"SELECT * FROM ({_ACTIVITIES})",
     "messages_extracted": f"SELECT * FROM ({_MESSAGES})",
+    "messages_local_date": f"""SELECT * REPLACE (conversation_starttime::DATE AS conversation_startdate)
+FROM ({_MESSAGES})""",
     "messages_enriched": _with_c(f"SELECT {', '.join(chr(34) + c + chr(34) for c in ENRICHED_COLUMNS)} FROM c"),
     "messages_enriched_shuffle": _with_c(
         f"SELECT {', '.join(chr(34) + c + chr(34) for c in ENRICHED_COLUMNS)} FROM c"
     ),
     "semantic_view": _SEMANTIC,
+    "semantic_view_hidden": _SEMANTIC_HIDDEN,
     "total_conversations": _with_c("SELECT count(DISTINCT id) AS total_conversations FROM c"),
     "conversations_by_agent": _with_c(
         """SELECT bot_conversationtranscriptidname, count(DISTINCT id) AS conversations
