@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chatlake.functions.sender import sender_icon_sql, sender_label_sql
@@ -59,10 +59,21 @@ def dedupe_users(renamed: DataFrame) -> DataFrame:
 
 
 def measure_users(renamed: DataFrame) -> UserSide:
-    """Rows and string bytes of the user side: one distributed aggregation, one row back."""
+    """Exact rows and string bytes of the user side, one number each.
+
+    The two sums are observed on a single-stage pass over the user side (the
+    ``noop`` sink executes the scan and discards rows): each task adds its
+    partial sums, the driver gets the totals. That is the same exact figure a
+    global aggregation gives, without its second stage and shuffle.
+    """
     size = " + ".join(f"coalesce(octet_length({c}), 0)" for c in USER_COLUMNS)
-    row = renamed.selectExpr("count(1)", f"coalesce(sum({size}), 0)").first()
-    return UserSide(int(row[0]), int(row[1]))
+    obs = Observation("user_side")
+    observed = renamed.observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.expr(f"coalesce(sum({size}), 0)").alias("bytes")
+    )
+    observed.write.format("noop").mode("overwrite").save()
+    got = obs.get
+    return UserSide(int(got["rows"]), int(got["bytes"]))
 
 
 def join_users(
