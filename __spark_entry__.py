@@ -302,6 +302,11 @@ def q_detail_page_picked_messages(spark, sf):
     return _detail(spark, sf, (("conversation_starttime", PICKED_START),))["message_list"]
 
 
+def q_detail_page_picked_by_id(spark, sf):
+    """The same pick made by conversation id (D14): equal start times cannot merge."""
+    return _detail(spark, sf, (("id", "conv-22"),))["message_list"]
+
+
 def q_changes_inserts(spark, sf):
     cfg = _load_cfg(spark, sf)
     ins = inserts_only(read_changes(spark, cfg.change_log, INITIAL_VERSION, FIRST_END), keep_version=True)
@@ -434,6 +439,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "detail_page_conversations": q_detail_page_conversations,
     "detail_page_messages": q_detail_page_messages,
     "detail_page_picked_messages": q_detail_page_picked_messages,
+    "detail_page_picked_by_id": q_detail_page_picked_by_id,
     "changes_inserts": q_changes_inserts,
     "load_stats": q_load_stats,
     "changes_by_version": q_changes_by_version,
@@ -644,6 +650,9 @@ ORDER BY conversation_starttime DESC"""
         )
         + " ORDER BY 1"
     ),
+    "detail_page_picked_by_id": _with_c(
+        _MESSAGE_LIST.format(extra=f" AND {_DETAIL_WHERE} AND id = 'conv-22'") + " ORDER BY 1"
+    ),
     "changes_inserts": f"""SELECT id, conversation_starttime, conversation_startdate,
   bot_conversationtranscriptidname, "bot_conversationtranscriptId", (n % 10)::BIGINT AS _commit_version
 FROM ({_TRANSCRIPTS}) WHERE n % 10 BETWEEN 5 AND 9""",
