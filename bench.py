@@ -12,12 +12,15 @@ Timed:
   initial_load        full load of the transcript table into the curated table
   incremental_batch   increment (4, 9] on top of an initial load of 0-4
   incremental_stream  streaming twin over the whole change log (availableNow)
+                      (loads: best of BENCH_LOAD_REPEAT runs, each into a fresh
+                      table / sink; the setup of each run is untimed)
   report queries      on the written curated table, each run to completion
                       through the `noop` sink (best of BENCH_REPEAT runs)
   k{K}_initial_load   initial load of the k-times replicated transcripts
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 3), BENCH_K (default 10; 0 disables the scaling point).
+BENCH_REPEAT (default 3), BENCH_LOAD_REPEAT (default 2), BENCH_K (default 10;
+0 disables the scaling point).
 """
 
 from __future__ import annotations
@@ -49,6 +52,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 K = int(os.environ.get("BENCH_K", "10"))
+LOAD_REPEAT = int(os.environ.get("BENCH_LOAD_REPEAT", "2"))
 
 
 def _sf_value(path: str):
@@ -109,20 +113,33 @@ def main() -> None:
     q: dict[str, float] = {}
     counts: dict[str, int] = {}
 
-    # ---- loads ----
-    main_cfg = cfg()
-    q["initial_load"], res = _timed(
-        lambda: initial_load(spark, main_cfg, transcripts=spark.read.parquet(raw_t), version=0)
+    # ---- loads (best of LOAD_REPEAT, each into a fresh target) ----
+    def best_load(setup, run):
+        best, out = None, None
+        for _ in range(LOAD_REPEAT):
+            state = setup()
+            secs, res = _timed(lambda: run(state))
+            if best is None or secs < best:
+                best, out = secs, res
+        return best, out, state
+
+    q["initial_load"], res, main_cfg = best_load(
+        cfg, lambda c: initial_load(spark, c, transcripts=spark.read.parquet(raw_t), version=0)
     )
     counts["messages"] = res.messages
 
-    inc_cfg = cfg()
-    initial_load(spark, inc_cfg, version=4)
-    q["incremental_batch"], res = _timed(lambda: incremental_load(spark, inc_cfg, end=9))
+    def inc_setup():
+        c = cfg()
+        initial_load(spark, c, version=4)
+        return c
+
+    q["incremental_batch"], res, _ = best_load(inc_setup, lambda c: incremental_load(spark, c, end=9))
     counts["incremental_messages"] = res.messages
 
-    sink, ckpt = scratch_path(spark, "bench_sink"), scratch_path(spark, "bench_ckpt")
-    q["incremental_stream"], _ = _timed(lambda: run_incremental_stream(spark, cfg(), sink, ckpt))
+    def stream_setup():
+        return cfg(), scratch_path(spark, "bench_sink"), scratch_path(spark, "bench_ckpt")
+
+    q["incremental_stream"], _, _ = best_load(stream_setup, lambda st: run_incremental_stream(spark, *st))
 
     # ---- report queries on the written curated table ----
     c = read_curated(spark, main_cfg.curated_table)
