@@ -68,6 +68,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--sink", help="stream: sink folder")
     p.add_argument("--checkpoint", help="stream: checkpoint folder")
     p.add_argument("--after-version", type=int, help="stream: skip versions up to this one")
+    p.add_argument(
+        "--max-files-per-trigger",
+        type=int,
+        help="stream: bound each micro-batch (availableNow drains a backlog in several batches)",
+    )
     p.add_argument("--target", help="compact: date-partitioned copy to (re)write")
     p.add_argument("--target-path", help="compact: location of the copy's files")
     return p
@@ -87,7 +92,11 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         return {"status": "compacted", "target": a.target}
     if not (a.sink and a.checkpoint and cfg.change_log):
         raise SystemExit("stream needs --change-log, --sink and --checkpoint")
-    return asdict(run_incremental_stream(spark, cfg, a.sink, a.checkpoint, after_version=a.after_version))
+    result = run_incremental_stream(
+        spark, cfg, a.sink, a.checkpoint,
+        after_version=a.after_version, max_files_per_trigger=a.max_files_per_trigger,
+    )
+    return asdict(result)
 
 
 def main() -> None:

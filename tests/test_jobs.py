@@ -23,8 +23,9 @@ def test_jobs_initial_incremental_stream(spark, sf_small):
     got = read_curated(spark, table)
     assert got.select("id").distinct().count() == n_transcripts
     sink, ckpt = scratch_path(spark, "jobs_sink"), scratch_path(spark, "jobs_ckpt")
-    r2 = run(spark, ["stream", "--change-log", log, "--user-table", users, "--sink", sink, "--checkpoint", ckpt])
-    assert r2["status"] == "drained"
+    r2 = run(spark, ["stream", "--change-log", log, "--user-table", users, "--sink", sink, "--checkpoint", ckpt,
+                     "--max-files-per-trigger", "3"])
+    assert r2["status"] == "drained" and r2["details"]["batches"] > 1
     assert spark.read.parquet(sink).count() == got.count()
     target = unique_name("jobs_by_date")
     r3 = run(spark, ["compact", "--table", table, "--target", target, "--target-path", scratch_path(spark, "jobs_bd")])
