@@ -10,8 +10,10 @@ inserts, run the same transform, replace those version partitions, then store
 ``e``. A crash between the write and the baseline update is repaired by the
 next run, which rewrites the same partitions.
 
-Each load is one write job; counts come from an Observation on that job, not
-from extra actions.
+Each load runs the message path once (the write job); the message count comes
+from an Observation on that job. The incremental load also counts change and
+insert rows up front in one pass over the change-type column (AGG6), which
+gives the early exit when the range holds no change rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from chatlake.config import LoadConfig, LoadResult
 from chatlake.plans.curated import build_curated
 from chatlake.plans.sinks import append_curated, get_baseline, set_baseline, write_curated
 from chatlake.schema import COMMIT_VERSION
-from chatlake.sources.changes import inserts_only, latest_version, read_changes, snapshot_as_of
+from chatlake.sources.changes import inserts_only, latest_version, load_stats, read_changes, snapshot_as_of
 from chatlake.sources.tables import project_transcripts, read_transcripts, read_users
 
 
@@ -81,23 +83,26 @@ def incremental_load(
     if latest is None or latest <= baseline:
         return LoadResult("no_changes", start_version=baseline + 1, end_version=baseline)
     changes = read_changes(spark, cfg.change_log, baseline, latest, cfg.change_log_format)
-    stats = Observation("changes")
-    changes = changes.observe(
-        stats,
-        F.count(F.lit(1)).alias("change_rows"),
-        F.count_if(F.col("_change_type") == "insert").alias("insert_rows"),
-    )
+    # Change and insert counts in one aggregation that reads only the change-type
+    # column of the version range. (Observing them on the write job instead would
+    # sit between the scan and the insert filter and stop that filter from
+    # reaching the scan, so update and delete rows' content would be read.)
+    stats = load_stats(changes).first()
+    if stats["change_rows"] == 0:
+        # Versions without change rows (e.g. maintenance commits): nothing to
+        # write, and the range is done.
+        set_baseline(spark, cfg.curated_table, latest)
+        return LoadResult("no_changes", start_version=baseline + 1, end_version=latest, change_rows=0)
     users = read_users(spark, cfg) if users is None else users
     curated = build_curated(inserts_only(changes, keep_version=True), users, cfg, carry=[COMMIT_VERSION])
     curated, obs = _observe(curated, "incremental_load")
     append_curated(curated, cfg.curated_table, cfg.compression)
     set_baseline(spark, cfg.curated_table, latest)
-    s = stats.get
     return LoadResult(
         "loaded",
         start_version=baseline + 1,
         end_version=latest,
-        change_rows=s.get("change_rows", 0),
-        inserted_transcripts=s.get("insert_rows", 0),
+        change_rows=int(stats["change_rows"]),
+        inserted_transcripts=int(stats["insert_rows"]),
         messages=obs.get.get("messages", 0),
     )

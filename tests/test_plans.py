@@ -114,3 +114,14 @@ def test_compacted_copy_prunes_dates(spark, sf_small):
     text = _formatted(spark, R.by_date(c, "2024-01-02", "2024-01-02"))
     part = [line for line in text.splitlines() if "PartitionFilters" in line]
     assert part and "conversation_startdate" in part[0]
+
+
+def test_increment_scan_pushes_insert_filter_and_prunes_versions(spark, sf_small):
+    from chatlake.sources.changes import inserts_only, read_changes
+    from chatlake.sources.fixtures import write_change_log
+
+    log = write_change_log(spark, sf_small, scratch_path(spark, "plan_log"))
+    text = _formatted(spark, inserts_only(read_changes(spark, log, 4, 9), keep_version=True))
+    scan = [line for line in text.splitlines() if "PushedFilters" in line or "PartitionFilters" in line]
+    assert any("EqualTo(_change_type,insert)" in line for line in scan)
+    assert any("_commit_version" in line and "> 4" in line and "<= 9" in line for line in scan)
