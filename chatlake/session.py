@@ -42,12 +42,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        # `spark.checkpoint.dir` is a core setting that cannot change at run
+        # time; register the folder on the context, where later calls find it
+        # through getCheckpointDir().
         root = tempfile.mkdtemp(prefix="chatlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:
-            pass
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
