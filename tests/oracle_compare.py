@@ -56,10 +56,18 @@ def _rows(cols: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+# Spark type -> DuckDB type name, for the schema check.
+_TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
 def compare(spark, sf_dir: str, name: str, query, sql: str | None, con=None) -> dict:
     t0 = time.time()
     df = query(spark, sf_dir)
     spark_cols = df.columns
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
     spark_rows = [tuple(r) for r in df.collect()]
     t1 = time.time()
     out = {"query": name, "rows": len(spark_rows), "spark_sec": round(t1 - t0, 3)}
@@ -69,14 +77,18 @@ def compare(spark, sf_dir: str, name: str, query, sql: str | None, con=None) ->
     con = con or duck(sf_dir)
     rel = con.sql(sql)
     o_cols = rel.columns
+    o_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     o_rows = rel.fetchall()
     out["oracle_rows"] = len(o_rows)
     if sorted(spark_cols) != sorted(o_cols):
         out["status"] = f"columns differ: {sorted(spark_cols)} vs {sorted(o_cols)}"
         return out
+    diff = {c: (spark_types[c], o_types[c]) for c in spark_cols if spark_types[c] != o_types[c]}
+    if diff:
+        out["type_diff"] = diff
     a, b = _rows(spark_cols, spark_rows), _rows(o_cols, o_rows)
     if a == b:
-        out["status"] = "match"
+        out["status"] = "match" if not diff else "values match, types differ"
     else:
         sa, sb = set(a), set(b)
         out["status"] = "values differ"
