@@ -517,6 +517,7 @@ def _with_c(body: str) -> str:
 
 
 _CURATED_SELECT = _with_c("SELECT * FROM c")
+_ENRICHED_SELECT = ", ".join(f'"{c}"' for c in ENRICHED_COLUMNS)
 
 _SEMANTIC_COLUMNS = '''id AS "Conversation Id", conversation_starttime AS "Conversation Start DateTime",
   bot_conversationtranscriptidname AS "Agent", "bot_conversationtranscriptId" AS "Agent Id",
@@ -559,10 +560,8 @@ FROM conversations GROUP BY conv_id""",
     "messages_extracted": f"SELECT * FROM ({_MESSAGES})",
     "messages_local_date": f"""SELECT * REPLACE (conversation_starttime::DATE AS conversation_startdate)
 FROM ({_MESSAGES})""",
-    "messages_enriched": _with_c(f"SELECT {', '.join(chr(34) + c + chr(34) for c in ENRICHED_COLUMNS)} FROM c"),
-    "messages_enriched_shuffle": _with_c(
-        f"SELECT {', '.join(chr(34) + c + chr(34) for c in ENRICHED_COLUMNS)} FROM c"
-    ),
+    "messages_enriched": _with_c(f"SELECT {_ENRICHED_SELECT} FROM c"),
+    "messages_enriched_shuffle": _with_c(f"SELECT {_ENRICHED_SELECT} FROM c"),
     "semantic_view": _SEMANTIC,
     "semantic_view_hidden": _SEMANTIC_HIDDEN,
     "total_conversations": _with_c("SELECT count(DISTINCT id) AS total_conversations FROM c"),
