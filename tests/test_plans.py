@@ -125,3 +125,32 @@ def test_increment_scan_pushes_insert_filter_and_prunes_versions(spark, sf_small
     scan = [line for line in text.splitlines() if "PushedFilters" in line or "PartitionFilters" in line]
     assert any("EqualTo(_change_type,insert)" in line for line in scan)
     assert any("_commit_version" in line and "> 4" in line and "<= 9" in line for line in scan)
+
+
+def test_compaction_splits_a_hot_date(spark, sf_small):
+    import glob
+
+    from chatlake.plans.compact import compact_by_date
+    from chatlake.plans.sinks import write_curated
+
+    base = build_curated(
+        project_transcripts(fixture_transcripts(spark, sf_small)),
+        project_users(fixture_users(spark, sf_small)),
+        LoadConfig(tz_offset_minutes=-240),
+    )
+    hot_day = F.lit("2024-01-01").cast("date")
+    skewed = base.withColumn(
+        "conversation_startdate",
+        F.when(F.xxhash64("id", "text") % 3 != 0, hot_day).otherwise(F.col("conversation_startdate")),
+    )
+    src = unique_name("hot_src")
+    write_curated(skewed.repartition(16), src, 0, scratch_path(spark, "hot_src"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        path = scratch_path(spark, "hot_by_date")
+        compact_by_date(spark, src, unique_name("hot_by_date"), path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = glob.glob(path.replace("file:", "") + "/conversation_startdate=2024-01-01/*.parquet")
+    assert len(files) > 1  # the hot date is written by several tasks, not one
