@@ -99,3 +99,33 @@ def test_shuffle_plan_spreads_null_keys(spark):
     )
     parts = keyed.repartition(8, "_jk").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert max(r["count"] for r in parts) < m.count() * 0.6
+
+
+def test_salting_spreads_a_hot_sender(spark):
+    """With AQE's own skew split and broadcast conversion off, the salt alone must
+    keep the hot sender (a third of all messages) from filling one partition."""
+    m, u = _skewed_messages(spark, 120), _users(spark)
+    n = m.count()
+    keys = {
+        "spark.sql.adaptive.skewJoin.enabled": "false",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+
+        def largest(salt):
+            j = enrich_users(m, u, force_strategy="shuffle", salt_buckets=salt)
+            rows = j.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            return max(r["count"] for r in rows)
+
+        assert largest(1) >= n / 3
+        assert largest(8) < n / 3
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
