@@ -134,3 +134,33 @@ def test_null_id_counting(spark):
     assert R.total_conversations(c, blank_as_value=True).first()[0] == 2  # no NULL: same number
     bars = {r[0]: r[1] for r in R.conversations_by_agent(with_null, blank_as_value=True).collect()}
     assert bars == {"A": 3}
+
+
+def test_message_list_splits_a_hot_time(spark, curated):
+    """A third of the rows share one time (NULL): the (time, hash) range sort still
+    spreads them over several partitions, and the order by time holds."""
+    hot = curated.withColumn(
+        "conversation_part_starttime",
+        F.when(F.xxhash64("id", "text") % 3 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(
+            F.col("conversation_part_starttime")
+        ),
+    )
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ml = R.message_list(hot)
+        n_null = ml.where(F.col("conversation_part_starttime").isNull()).count()
+        per_part = (
+            ml.where(F.col("conversation_part_starttime").isNull())
+            .groupBy(F.spark_partition_id().alias("p"))
+            .count()
+            .collect()
+        )
+        times = [r[0] for r in ml.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert n_null > 0 and len(per_part) > 1 and max(r["count"] for r in per_part) < n_null
+    nulls_first = [t for t in times if t is None]
+    assert times[: len(nulls_first)] == nulls_first
+    rest = times[len(nulls_first):]
+    assert rest == sorted(rest)
