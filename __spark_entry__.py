@@ -119,7 +119,9 @@ def q_inferred_schema(spark, sf):
     schema = infer_payload_schema(spark, sample_payload(t, 1))
     parsed = parse_payload(t, schema)
     arr = first_array_column(parsed.schema["content_json"].dataType)
-    elems = F.col(f"content_json.{arr}")
+    if arr is None:  # the sample has no array: no activities to count (D3)
+        return parsed.select("id", F.lit(None).cast("int").alias("activities"), F.lit(None).cast("int").alias("messages"))
+    elems = F.col(f"content_json.`{arr}`")
     return parsed.select(
         "id",
         F.size(elems).alias("activities"),
