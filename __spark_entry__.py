@@ -460,8 +460,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_curated_full(spark, SF_SMOKE)
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators and their pipeline; empty where they are not shipped."""
+    try:
+        import corpus_pipeline
+        from chatlake.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "chatlake.llm"):
+            raise
+        return {}, {}
+    sql = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 # ---- oracle ------------------------------------------------------------------
@@ -680,4 +695,4 @@ FROM conversations WHERE conv_id % 17 <> 0 GROUP BY conv_id""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _ORACLE.items() if k in _QUERIES}
+    return {**{k: v for k, v in _ORACLE.items() if k in _QUERIES}, **_training_data()[1]}
