@@ -5,26 +5,75 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chatlake.llm import exact_dedup as dedup
-from chatlake.llm import sharding
+from chatlake.llm import packing, quality_rules, sharding
 from chatlake.llm.common import table
 
 
+def op2_quality_rules(spark, sf):
+    entries = quality_rules.ledger(table(spark, sf, "documents"))
+    judged = quality_rules.apply_policy(entries, quality_rules.STANDARD)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        quality_rules.rejected(quality_rules.BASE).alias("base_failed"), "kept", "fail_bits", "policy",
+    )
+
+
 def op4_exact_dedup(spark, sf):
     return dedup.exact_dedup(table(spark, sf, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
 
 
+def op6_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"))
+
+
 def op10_sharding(spark, sf):
     return sharding.shard(table(spark, sf, "documents")).drop("group_key")
 
 
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_packing": op6_packing,
     "op10_sharding": op10_sharding,
 }
 
 ORACLE_SQL = {
+    "op2_quality_rules": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+        lines AS (
+          SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+          FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+        windows AS (
+          SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n
+          FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+        repeats AS (
+          SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+          FROM windows, (VALUES (0), (1), (2)) AS v(k) WHERE n > 1 GROUP BY doc_id),
+        m AS (
+          SELECT w.doc_id, len(ws) AS n_words,
+            length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+            length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+            coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+            coalesce(n_lines, 0) AS n_lines,
+            length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper,
+            length(t) - length(regexp_replace(t, '[a-z]', '', 'g')) AS n_lower
+          FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+        b AS (
+          SELECT *, (n_words < 50)::BIGINT
+            + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
+            + 4 * (100 * n_symbols > 12 * n_words)::BIGINT
+            + 8 * (100 * n_dup_lines > 50 * n_lines)::BIGINT
+            + 16 * (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words))::BIGINT
+            + 32 * (100 * n_upper > 50 * (n_upper + n_lower))::BIGINT AS fail_bits
+          FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+          fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits, 'standard-1' AS policy
+        FROM b
+    """,
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
