@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from chatlake.llm import exact_dedup as dedup
-from chatlake.llm import packing, quality_rules, sharding
+from chatlake.llm import bpe, packing, quality_rules, sharding, warc
 from chatlake.llm.common import table
 
 
@@ -18,12 +19,25 @@ def op2_quality_rules(spark, sf):
     )
 
 
+def op3_byte_bpe(spark, sf):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    vocabulary = bpe.Vocabulary(spark, path, public_tokenizers.PATTERN)
+    digests = vocabulary.digests(F.col("text").cast("string"))
+    return table(spark, sf, "documents").select("doc_id", digests.alias("d")).select("doc_id", "d.*")
+
+
 def op4_exact_dedup(spark, sf):
     return dedup.exact_dedup(table(spark, sf, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
 
 
+def op5_warc(spark, sf):
+    back = warc.roundtrip(table(spark, sf, "pages"))
+    ids = {c: F.col(c).cast("long") for c in ("page_id", "refers_to")}
+    return back.withColumns(ids)
+
+
 def op6_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"))
 
@@ -34,7 +48,9 @@ def op10_sharding(spark, sf):
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_byte_bpe": op3_byte_bpe,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_warc": op5_warc,
     "op6_packing": op6_packing,
     "op10_sharding": op10_sharding,
 }
