@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from chatlake.llm import exact_dedup as dedup
-from chatlake.llm import bpe, packing, quality_rules, sharding, warc
+from chatlake.llm import bpe, packing, quality_rules, sharding, toxicity, warc
 from chatlake.llm.common import table
 
 
@@ -42,6 +42,17 @@ def op6_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"))
 
 
+def op8_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_sharding(spark, sf):
     return sharding.shard(table(spark, sf, "documents")).drop("group_key")
 
@@ -52,6 +63,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_warc": op5_warc,
     "op6_packing": op6_packing,
+    "op8_toxicity": op8_toxicity,
     "op10_sharding": op10_sharding,
 }
 
