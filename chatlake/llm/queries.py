@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from chatlake.llm import exact_dedup as dedup
-from chatlake.llm import bpe, packing, quality_rules, sharding, toxicity, warc
+from chatlake.llm import bpe, html_extract, packing, quality_rules, sharding, toxicity, warc
 from chatlake.llm.common import table
 
 
+def op1_html_extract(spark, sf):
+    pages = html_extract.extract(table(spark, sf, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "host", "path")
+
+
 def op2_quality_rules(spark, sf):
     entries = quality_rules.ledger(table(spark, sf, "documents"))
     judged = quality_rules.apply_policy(entries, quality_rules.STANDARD)
@@ -58,6 +63,7 @@ def op10_sharding(spark, sf):
 
 
 QUERIES = {
+    "op1_html_extract": op1_html_extract,
     "op2_quality_rules": op2_quality_rules,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_exact_dedup": op4_exact_dedup,
