@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from chatlake.llm import exact_dedup as dedup
-from chatlake.llm import bpe, html_extract, packing, quality_rules, sharding, toxicity, warc
+from chatlake.llm import bpe, html_extract, ngram_join, packing, quality_rules, sharding, toxicity, warc
 from chatlake.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op6_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"))
 
 
+def op7_ngram_join(spark, sf):
+    return ngram_join.classes(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_toxicity(spark, sf):
     docs = table(spark, sf, "documents")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
@@ -69,6 +73,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_warc": op5_warc,
     "op6_packing": op6_packing,
+    "op7_ngram_join": op7_ngram_join,
     "op8_toxicity": op8_toxicity,
     "op10_sharding": op10_sharding,
 }
