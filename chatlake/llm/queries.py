@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from chatlake.llm import exact_dedup as dedup
-from chatlake.llm import bpe, html_extract, ngram_join, packing, quality_rules, sharding, toxicity, warc
+from chatlake.llm import (
+    bpe,
+    html_extract,
+    ngram_join,
+    packing,
+    quality_rules,
+    quote_threads,
+    sharding,
+    toxicity,
+    warc,
+)
 from chatlake.llm.common import table
 
 
@@ -62,6 +72,10 @@ def op8_toxicity(spark, sf):
     )
 
 
+def op9_quote_threads(spark, sf):
+    return quote_threads.reply_order(table(spark, sf, "conversations"))
+
+
 def op10_sharding(spark, sf):
     return sharding.shard(table(spark, sf, "documents")).drop("group_key")
 
@@ -75,6 +89,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_ngram_join": op7_ngram_join,
     "op8_toxicity": op8_toxicity,
+    "op9_quote_threads": op9_quote_threads,
     "op10_sharding": op10_sharding,
 }
 
@@ -118,4 +133,68 @@ ORACLE_SQL = {
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op9_quote_threads": r"""
+        WITH RECURSIVE m AS (
+          SELECT row_number() OVER () AS mid, coalesce(conv_id::VARCHAR, chr(1)) AS conv, conv_id, turn::BIGINT AS turn,
+            coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+          FROM conversations),
+        raw AS (
+          SELECT mid, conv, turn, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line
+          FROM (SELECT mid, conv, turn, string_split(text, chr(10)) AS ls FROM m
+                WHERE regexp_matches(text, '(?m)^[ \t]*>'))),
+        levels AS (
+          SELECT *, length(regexp_replace(regexp_extract(line, '^((?:[ \t]*>)*)', 1), '[^>]', '', 'g')) AS level,
+            regexp_replace(line, '^(?:[ \t]*>)*[ \t]*', '') AS content
+          FROM raw),
+        turns_of_level AS (
+          SELECT *, (level <> lag(level, 1, -1) OVER w)::INT AS new, lead(level, 1, 0) OVER w AS next_level
+          FROM levels WINDOW w AS (PARTITION BY mid ORDER BY pos)),
+        lines AS (
+          SELECT *, sum(new) OVER (PARTITION BY mid ORDER BY pos) AS run,
+            level = 0 AND next_level > 0 AND regexp_matches(
+              line, '(?i)(wrote|writes|said|schrieb|escribió|a écrit)[ \t]*:[ \t]*$') AS attribution
+          FROM turns_of_level),
+        passages AS (
+          SELECT mid, conv, turn, level, string_agg(content, ' ' ORDER BY pos) AS passage
+          FROM lines WHERE level > 0 GROUP BY mid, conv, turn, level, run
+          UNION ALL SELECT mid, conv, turn, level, content FROM lines WHERE level > 0),
+        q AS (
+          SELECT DISTINCT mid, conv, turn, level, trim(regexp_replace(lower(passage), '[^\p{L}\p{N}]+', ' ', 'g')) AS key
+          FROM passages WHERE turn IS NOT NULL),
+        own AS (
+          SELECT mid, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (level = 0 AND NOT attribution), '') AS rest,
+            count(*) FILTER (level > 0) AS n_quoted_lines
+          FROM lines GROUP BY mid),
+        b AS (
+          SELECT m.mid, conv, conv_id, turn, role, coalesce(n_quoted_lines, 0) AS n_quoted_lines,
+            regexp_replace(CASE WHEN own.mid IS NULL THEN text ELSE rest END,
+              '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g') AS content
+          FROM m LEFT JOIN own ON m.mid = own.mid),
+        parts AS (
+          SELECT conv, turn, mid, content AS part FROM b WHERE conv IN (SELECT conv FROM q)
+          UNION ALL SELECT conv, turn, mid, unnest(string_split(content, chr(10))) FROM b WHERE conv IN (SELECT conv FROM q)
+          UNION ALL SELECT conv, turn, mid, unnest(regexp_split_to_array(content, '\n[ \t]*\n')) FROM b
+          WHERE conv IN (SELECT conv FROM q)),
+        o AS (
+          SELECT DISTINCT conv, turn, mid, trim(regexp_replace(lower(part), '[^\p{L}\p{N}]+', ' ', 'g')) AS key FROM parts),
+        links AS (
+          SELECT q.mid, arg_max({'mid': o.mid, 'turn': o.turn},
+            {'near': -level, 'chars': length(q.key), 'turn': o.turn, 'mid': o.mid}) AS p
+          FROM q JOIN o ON q.conv = o.conv AND q.key = o.key AND o.turn < q.turn WHERE q.key <> '' GROUP BY q.mid),
+        up AS (
+          SELECT mid, p.mid AS root, p.turn AS root_turn, 1 AS depth FROM links
+          UNION ALL SELECT up.mid, l.p.mid, l.p.turn, depth + 1 FROM up JOIN links l ON l.mid = up.root),
+        tops AS (SELECT mid, arg_max(root_turn, depth) AS root_turn, max(depth) AS depth FROM up GROUP BY mid),
+        placed AS (
+          SELECT b.*, CASE WHEN tops.mid IS NULL THEN b.turn ELSE tops.root_turn END AS thread_turn,
+            links.p.turn AS reply_to_turn, coalesce(tops.depth, 0)::BIGINT AS depth
+          FROM b LEFT JOIN tops ON b.mid = tops.mid LEFT JOIN links ON b.mid = links.mid)
+        SELECT conv_id, turn, role,
+          row_number() OVER (PARTITION BY conv ORDER BY thread_turn NULLS FIRST, turn NULLS FIRST, role, md5(content), mid) - 1
+            AS position,
+          thread_turn, reply_to_turn, depth, n_quoted_lines, content,
+          '<|im_start|>' || role || chr(10)
+            || regexp_replace(content, '<\|(im_start|im_end)\|>', '<| \1 |>', 'g') || '<|im_end|>' || chr(10) AS formatted
+        FROM placed
+    """,
 }
