@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.session import scratch_path
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 #: A key is hot when it holds at least this share of all rows. At most
 #: ``HOT_SHARE`` keys can be, so a table of hot keys may be broadcast.
 HOT_SHARE = 1000
 
 
+def ship(spark: SparkSession) -> None:
+    """Make the package importable in the Python workers of a ``local[...]`` session.
+
+    On a cluster the package is deployed with the job (``--py-files`` or installed); a local session
+    started from another folder would not find it.
+    """
+    sc = spark.sparkContext
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if not sc.master.startswith("local[") or ROOT in map(os.path.abspath, filter(None, known)):
+        return
+    if not any("chatlake_package" in f for f in sc.listFiles):
+        folder = tempfile.mkdtemp(prefix="chatlake-")
+        sc.addPyFile(shutil.make_archive(f"{folder}/chatlake_package", "zip", ROOT, "chatlake"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -28,7 +49,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from chatlake.llm.common import join_skewed, stored, text_or_empty
 from chatlake.session import scratch_path
 
-BUCKETS = 64
+BUCKETS = 256
 
 
 def digests(docs: DataFrame) -> DataFrame:

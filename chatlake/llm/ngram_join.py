@@ -315,9 +315,10 @@ def rest_links(compared: DataFrame, segments: DataFrame, share: tuple[int, int])
 
 
 def classes(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
-    """(uid, doc_id, n_shingles, component_id, class_size) of every row of ``docs``.
+    """(uid, doc_id, n_shingles, component_id, class_size, root) of every row of ``docs``.
 
-    ``component_id`` is the smallest doc_id that links lead to.
+    ``component_id`` is the smallest doc_id that links lead to, ``root`` the class's name (null for texts
+    without shingles).
     """
     sets = sets_of(docs, words)
     pairs = leader_pairs(buckets_of(docs, words, share))
@@ -331,10 +332,40 @@ def classes(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE)
     own = sets.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
     rooted = stored(own.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid")), "rooted")
     least = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("n").alias("class_size"))
-    named = rooted.join(least, "root").select("sid", "n", "component_id", "class_size")
+    named = rooted.join(least, "root").select("sid", "n", "root", "component_id", "class_size")
     some = join_skewed(sets.where("n_shingles > 0"), named, "sid", "n", sets.count())
-    columns = ["uid", "doc_id", "n_shingles", "component_id", "class_size"]
-    none = sets.where("n_shingles = 0").select(
-        "uid", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size")
+    columns = ["uid", "doc_id", "n_shingles", "component_id", "class_size", "root"]
+    alone = {
+        "component_id": F.col("doc_id"),
+        "class_size": F.lit(1).cast("long"),
+        "root": F.lit(None).cast("long"),
+    }
+    return some.select(*columns).unionByName(sets.where("n_shingles = 0").withColumns(alone).select(*columns))
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
+    """The rows of ``docs`` without all but one document of each class, with all their columns.
+
+    The smallest doc_id of a class stays (null ids last). Texts without shingles stay.
+    """
+    name = "uid"
+    while name in docs.columns:
+        name += "_"
+    found = stored(classes(docs, words, share).where("class_size > 1"), "classes")
+    uids = found.groupBy("root", "uid").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
+    stays = uids.groupBy("root").agg(F.min(first).uid.alias("stays"))
+    judged = stored(
+        uids.join(stays, "root").select(F.col("uid").alias(name), (F.col("uid") == F.col("stays")).alias("kept"), "rows"),
+        "judged",
     )
-    return some.select(*columns).unionByName(none)
+
+    def small(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+    named = docs.withColumn(name, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    gone = judged.where(~F.col("kept")).select(name)
+    repeated = judged.where("kept AND rows > 1").select(name)  # of repeated rows one stays
+    once = named.join(small(gone.unionByName(repeated)), name, "left_anti")
+    again = named.join(small(repeated), name, "left_semi").dropDuplicates([name])
+    return once.unionByName(again).drop(name)

@@ -17,7 +17,7 @@ from chatlake.llm import (
     toxicity,
     warc,
 )
-from chatlake.llm.common import table
+from chatlake.llm.common import ship, table
 
 
 def op1_html_extract(spark, sf):
@@ -80,17 +80,28 @@ def op10_sharding(spark, sf):
     return sharding.shard(table(spark, sf, "documents")).drop("group_key")
 
 
+def _shipped(query):
+    def run(spark, sf):
+        ship(spark)
+        return query(spark, sf)
+
+    return run
+
+
 QUERIES = {
-    "op1_html_extract": op1_html_extract,
-    "op2_quality_rules": op2_quality_rules,
-    "op3_byte_bpe": op3_byte_bpe,
-    "op4_exact_dedup": op4_exact_dedup,
-    "op5_warc": op5_warc,
-    "op6_packing": op6_packing,
-    "op7_ngram_join": op7_ngram_join,
-    "op8_toxicity": op8_toxicity,
-    "op9_quote_threads": op9_quote_threads,
-    "op10_sharding": op10_sharding,
+    query.__name__: _shipped(query)
+    for query in (
+        op1_html_extract,
+        op2_quality_rules,
+        op3_byte_bpe,
+        op4_exact_dedup,
+        op5_warc,
+        op6_packing,
+        op7_ngram_join,
+        op8_toxicity,
+        op9_quote_threads,
+        op10_sharding,
+    )
 }
 
 ORACLE_SQL = {
