@@ -60,7 +60,7 @@ class Encoder:
         self.ranks = dict(ranks)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.cut = regex.compile(r"(?<=\p{L})\s")
+        self.cut, self.cut_back = regex.compile(r"(?<=\p{L})\s"), regex.compile(r"(?r)(?<=\p{L})\s")
         self.cache: dict[str, list[int]] = {}
         self.windows: dict[bytes, list[int]] = {}
 
@@ -155,7 +155,8 @@ class Encoder:
         if len(text) <= PART:
             yield text
             return
-        found = self.cut.search(text, len(text) // 2) or self.cut.search(text, 1, len(text) // 2)
+        half = len(text) // 2
+        found = self.cut.search(text, half) or self.cut_back.search(text, 0, half)
         if not found:
             yield text
             return
@@ -203,7 +204,7 @@ class Vocabulary:
         @pandas_udf(BinaryType())
         def run(lists: pd.Series) -> pd.Series:
             encoder = shared.encoder()
-            return pd.Series([encoder.decode([] if x is None else x.tolist()) for x in lists], dtype=object)
+            return pd.Series([encoder.decode([] if x is None else map(int, x)) for x in lists], dtype=object)
 
         return run(ids)
 
