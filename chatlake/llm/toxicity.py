@@ -4,17 +4,19 @@ A text is read as a stream of symbols: letters without case, usual stand-ins
 (``@ $ 0 1 3``) as the letters they stand for, white space as a word boundary, all
 other punctuation dropped, spelled-out words (``i d i o t``) closed up. The units
 that the kernel compares are windows of a sentence's words: the gapped
-subsequences of three symbols that start in ``WINDOW`` neighbouring places of one
-word, each weighted by ``DECAY`` per symbol left out. An inserted character thus
+subsequences of three and of five symbols that start in ``WINDOW`` neighbouring
+places of one word, each weighted by ``DECAY`` per symbol left out. An inserted character thus
 lowers the similarity to an insult but does not end it.
 
 Learning is on a bounded sample of labelled rows (``TOXIC_ROWS`` and
 ``CLEAN_ROWS``, of at most ``SAMPLE_CHARS`` characters each, taken in the order of
 a hash), on the driver. The label of a text says that at least one of its
-sentences is toxic, not which, so the witness is learned too: first positives
-are the starts of words that several toxic texts share and no clean text has;
-then each toxic text gives its highest-scoring window as a positive, each clean
-text its highest-scoring one as a hard negative, and the machine is fitted again.
+sentences is toxic, not which, so the witness is learned too: the first positives
+are the starts of words that more toxic texts share than chance would give and no
+clean text has, and windows of subsequences of that kind; then each toxic text
+gives its highest-scoring window as a positive if it is above 0, each clean text
+its highest-scoring one as a hard negative, and the machine is fitted again.
+Positives that don't hold against the hard negatives are dropped.
 Positives also enter with letters inserted.
 Landmarks are windows of both kinds; windows are mapped by their kernel values
 with the landmarks times the inverse root of the landmark kernel, and a linear
@@ -24,7 +26,7 @@ landmarks, so scoring is a few table look-ups per character, in numpy, over
 whole texts. A text's value is that of its highest window; a logistic curve
 fitted on the sample makes it a score.
 
-The model is one table of ``64 ** 3`` weights (1 MB), whatever the corpus, and is
+The model is one table of ``FEATURES`` weights (5 MB), whatever the corpus, and is
 broadcast.
 
 Defined results: a null or empty text has the value of an empty window. Rows
@@ -51,9 +53,16 @@ THRESHOLD = 0.7
 SYMBOLS = 64
 WINDOW = 7
 DECAY = 0.6
-#: Steps from the first to the second and from the second to the third symbol.
-GAPS = ((1, 1), (1, 2), (2, 1), (1, 3), (2, 2), (3, 1))
-START, CHANCE = 6, 1e-5
+#: Where the symbols of a subsequence stand, from the first one on: three with up to two left out between
+#: them, and five with up to one.
+SHAPES = (
+    (0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 1, 4), (0, 2, 4), (0, 3, 4),
+    (0, 1, 2, 3, 4), (0, 2, 3, 4, 5), (0, 1, 3, 4, 5), (0, 1, 2, 4, 5), (0, 1, 2, 3, 5),
+)
+#: Names of subsequences: all of three symbols, then those of five in so many hash values.
+LONGER = 1 << 20
+FEATURES = SYMBOLS**3 + LONGER
+STARTS, CHANCE, LEAST_ODDS, LEAST_VALUE = (6, 8, 10), 1e-5, 3.0, 8.0
 LANDMARKS = 256
 ROUNDS = 5
 PIECE = 1 << 20
@@ -94,15 +103,19 @@ def _without(codes: np.ndarray, starts: np.ndarray, gone: np.ndarray) -> tuple[n
 
 
 def subsequences(codes: np.ndarray):
-    """For each gap pattern: (its weight, the subsequence that starts at each place, whether it stays in one word)."""
+    """For each shape: (its weight, the name of the subsequence that starts at each place, whether it stays in one word)."""
     word = np.cumsum(codes == 0, dtype=np.int32)
-    wide = codes.astype(np.int32)
-    for first, second in GAPS:
-        span, n = first + second, len(codes)
+    wide, n = codes.astype(np.int64), len(codes)
+    for shape in SHAPES:
+        span = shape[-1]
         if n <= span:
             continue
-        code = (wide[: n - span] * SYMBOLS + wide[first : n - second]) * SYMBOLS + wide[span:]
-        yield DECAY ** (span - 2), code, word[: n - span] == word[span:]
+        name = wide[: n - span]
+        for at in shape[1:]:
+            name = name * SYMBOLS + wide[at : n - span + at]
+        if len(shape) > 3:
+            name = SYMBOLS**3 + (name * 0x9E3779B1 >> 16) % LONGER
+        yield DECAY ** (span - len(shape) + 1), name, word[: n - span] == word[span:]
 
 
 def window_values(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -132,8 +145,13 @@ def window_features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # ---- the machine ---------------------------------------------------------------
 
 
-def nystroem_svm(positive: list[bytes], negative: list[bytes], landmarks: list[bytes], c: float = 4.0):
-    """(weight per subsequence, constant) of an SVM on windows, fitted in the space of the landmarks."""
+def nystroem_svm(
+    positive: list[bytes], negative: list[bytes], landmarks: list[bytes], importance: np.ndarray | None = None, c: float = 4.0
+):
+    """(weight per subsequence, constant) of an SVM on windows, fitted in the space of the landmarks.
+
+    Both classes count alike; ``importance`` weights the positives among themselves.
+    """
     features = [window_features(np.frombuffer(x, np.uint8)) for x in landmarks]
     space = np.unique(np.concatenate([k for k, _ in features]))
 
@@ -154,7 +172,8 @@ def nystroem_svm(positive: list[bytes], negative: list[bytes], landmarks: list[b
     z = np.concatenate([rows(b) @ marks.T @ to_space for b in blocks])
     z = np.hstack([z, np.ones((len(z), 1))])
     y = np.repeat([1.0, -1.0], [len(positive), len(negative)])
-    cost = np.repeat([c / len(positive), c / len(negative)], [len(positive), len(negative)]) * len(y) / 2
+    shares = np.ones(len(positive)) if importance is None else importance
+    cost = np.concatenate([shares / shares.sum(), np.full(len(negative), 1 / len(negative))]) * c * len(y) / 2
     w, ridge = np.zeros(z.shape[1]), np.append(np.ones(z.shape[1] - 1), 1e-3)
     for _ in range(30):
         active = y * (z @ w) < 1
@@ -163,7 +182,7 @@ def nystroem_svm(positive: list[bytes], negative: list[bytes], landmarks: list[b
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
-    weights = np.zeros(SYMBOLS**3, np.float32)
+    weights = np.zeros(FEATURES, np.float32)
     weights[space] = (to_space @ w[:-1]) @ marks
     return weights, float(w[-1])
 
@@ -206,42 +225,72 @@ class Model:
         return np.concatenate(out) + self.constant if out else np.zeros(0)
 
     def scores(self, texts: list[str]) -> np.ndarray:
+        if self.offset == -np.inf:
+            return np.zeros(len(texts))
         return 1 / (1 + np.exp(-np.clip(self.slope * self.values(texts) + self.offset, -30, 30)))
 
 
-NEVER = Model(np.zeros(SYMBOLS**3, np.float32), 0.0, 0.0, -np.inf)
+NEVER = Model(np.zeros(FEATURES, np.float32), 0.0, 0.0, -np.inf)
 
 
 def _word_starts(text: str) -> set[bytes]:
-    """The first symbols of each word of a text, its boundary included."""
+    """The first symbols of each word of a text, its boundary included, up to each length of ``STARTS``."""
     codes, _ = stream([text])
     zeros = np.flatnonzero(codes == 0)
-    ends = np.minimum(np.append(zeros[1:], len(codes)), zeros + START)
-    raw = codes.tobytes()
-    return {raw[i:j] for i, j in zip(zeros.tolist(), ends.tolist()) if j - i > 3}
-
+    ends, raw = np.append(zeros[1:], len(codes)), codes.tobytes()
+    words = {raw[i:j] for i, j in zip(zeros.tolist(), np.minimum(ends, zeros + STARTS[-1]).tolist()) if j - i > 3}
+    return {w[:n] for w in words for n in STARTS}
 
-def _seeds(toxic: list[str], clean: list[str]) -> list[bytes]:
-    """Word starts that no clean text has and more toxic texts than chance would give, most frequent first.
 
-    Of texts that share half of such words with one before (near copies), only the first counts.
-    """
-    ordinary = {w for t in clean for w in _word_starts(t)}
+def _apart(toxic: list[str], ordinary: set[bytes]) -> list[str]:
+    """``toxic`` without texts that share half of their words outside ``ordinary`` with one before (near copies)."""
     holders: dict[bytes, list[int]] = {}
+    out = []
     for i, t in enumerate(toxic):
         words = _word_starts(t) - ordinary
         shared = Counter(j for w in words for j in holders.get(w, ()))
         if len(words) < 6 or 2 * max(shared.values(), default=0) < len(words):
+            out.append(t)
             for w in words:
                 holders.setdefault(w, []).append(i)
-    share = len(toxic) / (len(toxic) + len(clean))
-    found = [(w, len(h)) for w, h in holders.items() if len(h) > 1 and share ** len(h) < CHANCE]
-    return [w for w, _ in sorted(found, key=lambda i: (-i[1], i[0]))]
+    return out
+
+
+def _more_than_chance(n_toxic: np.ndarray, n_clean: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """Log odds of what more toxic texts have than chance would give; 0 for all else."""
+    share = toxic / (toxic + clean)
+    odds = np.log((n_toxic + 0.5) / (toxic + 1) * (clean + 1) / (n_clean + 0.5))
+    return np.where((share**n_toxic < CHANCE) & (odds > LEAST_ODDS), odds, 0)
+
+
+def _first_positives(toxic: list[str], clean: list[str]) -> Counter:
+    """Windows to begin with, and how many toxic texts have them.
+
+    Word starts that no clean text has and more toxic texts than chance would give; and, of texts with
+    none of them, the window with the most telling subsequences.
+    """
+    ordinary = {w for t in clean for w in _word_starts(t)}
+    distinct = _apart(toxic, ordinary)
+    held = [_word_starts(t) - ordinary for t in distinct]
+    counts = Counter(w for ws in held for w in ws)
+    share = len(distinct) / (len(distinct) + len(clean))
+    found = Counter({w: n for w, n in counts.items() if share**n < CHANCE})
+    numbers = []
+    for texts in (distinct, clean):
+        n = np.zeros(FEATURES)
+        for t in texts:
+            codes, _ = stream([t])
+            n[np.unique(np.concatenate([np.zeros(0, int), *(c[w] for _, c, w in subsequences(codes))]))] += 1
+        numbers.append(n)
+    odds = _more_than_chance(*numbers, len(distinct), len(clean)).astype(np.float32)
+    open_ = [t for t, ws in zip(distinct, held) if not ws & found.keys()]
+    found.update(w for w in _highest(open_, odds) if _value(w, odds) > LEAST_VALUE)
+    return found
 
 
 def _highest(texts: list[str], weights: np.ndarray) -> list[bytes]:
     """The highest window of each text."""
-    reach, out = WINDOW + max(map(sum, GAPS)), []
+    reach, out = WINDOW + max(shape[-1] for shape in SHAPES), []
     for t in texts:
         codes, _ = stream([t])
         at = int(window_values(codes, weights).argmax())
@@ -251,6 +300,11 @@ def _highest(texts: list[str], weights: np.ndarray) -> list[bytes]:
     return out
 
 
+def _value(window: bytes, weights: np.ndarray) -> float:
+    keys, values = window_features(np.frombuffer(window, np.uint8))
+    return float(weights[keys] @ values)
+
+
 def _with_insertions(windows: list[bytes], rng: np.random.Generator) -> list[bytes]:
     """Each window and two copies with a letter inserted inside its word."""
     out = list(windows)
@@ -268,20 +322,21 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     if not toxic or not clean:
         return NEVER
     rng = np.random.default_rng(8)
-    ordinary = sorted(set(_highest(clean, rng.random(SYMBOLS**3).astype(np.float32))))
-    seeds, hard = _seeds(toxic, clean), {}
-    positive = seeds
-    if not positive:
-        return NEVER
+    ordinary = sorted(set(_highest(clean, rng.random(FEATURES).astype(np.float32))))
+    positive, hard = _first_positives(toxic, clean), {}
     for _ in range(ROUNDS):
-        negative = [*hard, *(x for x in ordinary if x not in hard)]
-        marks = positive[: LANDMARKS // 2] + negative[: LANDMARKS // 2]
-        weights, constant = nystroem_svm(_with_insertions(positive, rng), negative, marks)
-        hard = dict.fromkeys(_highest(clean, weights)) | hard
-        witnesses = sorted(Counter(_highest(toxic, weights)).items(), key=lambda i: (-i[1], i[0]))
-        positive = list(dict.fromkeys(x for x in seeds + [x for x, _ in witnesses] if x not in hard))
-        if not positive:
+        ranked = [x for x, _ in sorted(positive.items(), key=lambda i: (-i[1], i[0]))]
+        if not ranked:
             return NEVER
+        negative = [*hard, *(x for x in ordinary if x not in hard and x not in positive)]
+        marks = ranked[: LANDMARKS // 2] + negative[: LANDMARKS // 2]
+        copies = _with_insertions(ranked, rng)
+        importance = np.array([positive[x] for x in ranked] + [1] * (len(copies) - len(ranked)), float)
+        weights, constant = nystroem_svm(copies, negative, marks, np.sqrt(importance))
+        hard = dict.fromkeys(_highest(clean, weights)) | hard
+        seen = Counter(x for x in _highest(toxic, weights) if _value(x, weights) + constant > 0)
+        positive = Counter({x: n for x, n in positive.items() if _value(x, weights) + constant > 0}) | seen
+        positive = Counter({x: n for x, n in positive.items() if x not in hard})
     raw = Model(weights, constant, 1.0, 0.0)
     values = np.clip(raw.values(toxic + clean), -1, 1)  # the margin decides, not how far beyond it a text lies
     slope, offset = logistic(values, np.repeat([1, 0], [len(toxic), len(clean)]))
