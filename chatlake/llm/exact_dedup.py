@@ -52,12 +52,19 @@ def create_index(spark: SparkSession, name: str | None = None, buckets: int = BU
     return name
 
 
-def add_batch(spark: SparkSession, rows: DataFrame, index: str, batch: str, buckets: int = BUCKETS) -> None:
+def _buckets(spark: SparkSession, index: str) -> int:
+    described = spark.sql(f"DESCRIBE EXTENDED {index}").where("col_name = 'Num Buckets'")
+    return int(described.first().data_type)
+
+
+def add_batch(spark: SparkSession, rows: DataFrame, index: str, batch: str) -> None:
     """Append the digests of ``rows`` that ``index`` does not know."""
+    buckets = _buckets(spark, index)
     groups = rows.groupBy("digest").agg(
         F.max(F.struct("doc_id", (-F.col("row")).alias("at"))).alias("keep"),
         F.count(F.lit(1)).alias("group_size"),
     )
+    groups = stored(groups, "groups")  # else the anti-join is pushed below the aggregation, and all copies travel
     known = spark.table(index).select("digest")
     (
         groups.join(known.hint("merge"), "digest", "left_anti")
