@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from chatlake.llm import quality_rules as Q
+from tests.llm.fixtures import LONG, TEXTS, documents, prose
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    n = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if n[w] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        sum(x in lines[:i] for i, x in enumerate(lines)),
+        len(covered),
+        len(lines),
+        len(re.findall("[A-Z]", text)),
+        len(re.findall("[a-z]", text)),
+    )
+
+
+def test_measures_match_brute_force():
+    rng = random.Random(3)
+    texts = [t for _, t in TEXTS if t != LONG]
+    texts += ["".join(rng.choice("ab A#|\n\té \x1c\x85") for _ in range(rng.randrange(300))) for _ in range(300)]
+    texts += [prose(rng, rng.randrange(200), 12) for _ in range(50)]
+    for t in texts:
+        assert Q.measure_text(t) == brute(t), t
+
+
+def test_ledger_policies_and_columns(spark):
+    docs = documents(spark)
+    rows = Q.apply_policy(Q.ledger(docs), Q.BASE).collect()
+    assert len(rows) == len(TEXTS) and all(r.policy == "base-1" for r in rows)
+    for r, (_, t) in zip(sorted(rows, key=lambda r: (r.n_words, r.word_chars)), sorted(TEXTS, key=lambda x: brute(x[1])[:2])):
+        if t != LONG:
+            assert tuple(r[m] for m in Q.MEASURES) == brute(t)
+            assert not r.kept and r.fail_bits & 1
+    kept = Q.keep(documents(spark, [(1, prose(random.Random(4), 80)), (2, "few words"), (3, None)]))
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_ablations_match_counting(spark):
+    rng = random.Random(5)
+    texts = [prose(rng, 70), "few", "## " * 60, "SHOUT LOUD NOW " * 30, "same line again here\n" * 30, prose(rng, 60) + " #" * 20]
+    entries = Q.ledger(documents(spark, list(enumerate(texts))))
+    bits = [r.fail_bits for r in entries.collect()]
+    for policy in (Q.BASE, Q.STANDARD):
+        out = {r.rule: r for r in Q.ablations(entries, policy).collect()}
+        assert set(out) == set(policy.rules)
+        for i, rule in enumerate(Q.RULES):
+            if rule.name in policy.rules:
+                seen = [b & policy.mask for b in bits]
+                assert out[rule.name].n_failed == sum(b >> i & 1 for b in seen)
+                assert out[rule.name].n_failed_alone == sum(b == 1 << i for b in seen)
+                assert out[rule.name].n_kept_without == sum(b & ~(1 << i) == 0 for b in seen)
+
+
+def test_empty_table(spark):
+    empty = documents(spark, [])
+    assert Q.ledger(empty).count() == 0 and Q.keep(empty).count() == 0
+    assert {r.n_failed for r in Q.ablations(Q.ledger(empty), Q.STANDARD).collect()} <= {0}
