@@ -11,6 +11,7 @@ it is an independent check of the parse / explode / join path.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import os
 import sys
@@ -37,7 +38,7 @@ from chatlake.plans.compact import compact_by_date  # noqa: E402
 from chatlake.plans.curated import build_curated, messages_from_transcripts  # noqa: E402
 from chatlake.plans.loads import incremental_load, initial_load  # noqa: E402
 from chatlake.plans.sinks import replace_versions  # noqa: E402
-from chatlake.schema import COMMIT_VERSION, TRANSCRIPT_COLUMNS  # noqa: E402
+from chatlake.schema import CHANGE_TYPE, COMMIT_VERSION, TRANSCRIPT_COLUMNS  # noqa: E402
 from chatlake.session import scratch_path, unique_name  # noqa: E402
 from chatlake.sources.changes import (  # noqa: E402
     change_summary,
@@ -47,6 +48,8 @@ from chatlake.sources.changes import (  # noqa: E402
     snapshot_as_of,
 )
 from chatlake.sources.fixtures import (  # noqa: E402
+    EDITED_CONTENT,
+    change_log_from_transcripts,
     fixture_transcripts,
     fixture_users,
     write_change_log,
@@ -402,6 +405,113 @@ def q_compacted_by_date(spark, sf):
     return read_curated(spark, copy)
 
 
+def _log_part(spark: SparkSession, sf: str, path: str, low: int, high: int) -> None:
+    """Commit the fixture log's versions ``low`` to ``high`` to the log at ``path``."""
+    log = change_log_from_transcripts(fixture_transcripts(spark, sf))
+    part = log.where(F.col(COMMIT_VERSION).between(low, high))
+    part.write.mode("append").partitionBy(COMMIT_VERSION).parquet(path)
+
+
+def q_initial_table_then_increment(spark, sf):
+    """Initial load from catalog tables of a namespace at the log's latest version, then an increment; no
+    version is given anywhere."""
+    ns = unique_name("lake")
+    spark.sql(f"CREATE DATABASE {ns} LOCATION '{scratch_path(spark, ns)}'")
+    number = F.regexp_extract("id", r"(\d+)$", 1).cast("long")
+    early = fixture_transcripts(spark, sf).where(number % 10 <= INITIAL_VERSION)
+    early.write.saveAsTable(f"{ns}.conversationtranscript")
+    fixture_users(spark, sf).write.saveAsTable(f"{ns}.systemuser")
+    log = scratch_path(spark, "change_log")
+    _log_part(spark, sf, log, 0, INITIAL_VERSION)
+    cfg = LoadConfig(
+        namespace=ns, change_log=log, initial_from="table", curated_table=f"{ns}.conversation_messages",
+        tz_offset_minutes=CFG.tz_offset_minutes,
+    )
+    initial_load(spark, cfg)
+    _log_part(spark, sf, log, INITIAL_VERSION + 1, SECOND_END)
+    incremental_load(spark, cfg)
+    incremental_load(spark, cfg)  # no-op
+    return read_curated(spark, cfg.curated_table)
+
+
+def q_end_past_latest(spark, sf):
+    """An increment asked to go beyond the last commit stops there; what comes later is still loaded."""
+    cfg = LoadConfig(
+        change_log=scratch_path(spark, "change_log"),
+        curated_table=unique_name("conversation_messages"),
+        curated_path=scratch_path(spark, "curated"),
+        tz_offset_minutes=CFG.tz_offset_minutes,
+    )
+    users = _users(spark, sf)
+    _log_part(spark, sf, cfg.change_log, 0, 2)
+    initial_load(spark, cfg, users=users, version=INITIAL_VERSION)
+    _log_part(spark, sf, cfg.change_log, 3, 6)
+    incremental_load(spark, cfg, users=users, end=FIRST_END)
+    _log_part(spark, sf, cfg.change_log, 7, SECOND_END)
+    incremental_load(spark, cfg, users=users)
+    return read_curated(spark, cfg.curated_table)
+
+
+def q_snapshot_overwrite_commit(spark, sf):
+    """A last commit that deletes and inserts every fifth transcript: the inserted rows are the state."""
+    log = change_log_from_transcripts(fixture_transcripts(spark, sf))
+    number = F.regexp_extract("id", r"(\d+)$", 1).cast("long")
+    fifth = log.where((F.col(CHANGE_TYPE) == "insert") & (number % 5 == 0))
+    commit = F.lit(SECOND_END + 1).cast(log.schema[COMMIT_VERSION].dataType)
+    gone = fifth.withColumns({CHANGE_TYPE: F.lit("delete"), COMMIT_VERSION: commit})
+    new = fifth.withColumns({"content": F.lit(EDITED_CONTENT), COMMIT_VERSION: commit})
+    snap = project_transcripts(snapshot_as_of(log.unionByName(gone).unionByName(new)))
+    return activity_counts(flatten_payload(parse_payload(snap)))
+
+
+def q_reload_under_dynamic_mode(spark, sf):
+    """A full reload replaces an incremented table and its date copy, though the session prefers dynamic overwrite."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        cfg, users = _load_cfg(spark, sf), _users(spark, sf)
+        initial_load(spark, cfg, users=users, version=INITIAL_VERSION)
+        incremental_load(spark, cfg, users=users)
+        copy, path = unique_name("conversation_messages_by_date"), scratch_path(spark, "by_date")
+        compact_by_date(spark, cfg.curated_table, copy, path)
+        initial_load(spark, cfg, transcripts=fixture_transcripts(spark, sf), users=users, version=0)
+        compact_by_date(spark, cfg.curated_table, copy, path)
+    finally:
+        spark.conf.set(key, before)
+    return read_curated(spark, copy)
+
+
+def q_stream_counts(spark, sf):
+    """Change and insert rows of a stream over more batches than Spark's progress list holds."""
+    cfg = _load_cfg(spark, sf)
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        out = run_incremental_stream(
+            spark, cfg, scratch_path(spark, "stream_sink"), scratch_path(spark, "stream_ckpt"),
+            users=_users(spark, sf), max_files_per_trigger=1,
+        )
+    finally:
+        spark.conf.set(key, before)
+    return spark.createDataFrame([(out.change_rows, out.inserted_transcripts)], "change_rows long, insert_rows long")
+
+
+def q_detail_page_picked_conversations(spark, sf):
+    """A start time picked in the conversation list leaves that list whole."""
+    pick = ("conversation_starttime", PICKED_START, "conversation_list")
+    return _detail(spark, sf, (pick,))["conversation_list"]
+
+
+def q_summary_page_picked_bars(spark, sf):
+    """A bar picked in the agent chart leaves all bars."""
+    flt = dataclasses.replace(
+        PAGE_FILTER, selection=(("bot_conversationtranscriptidname", DRILL_AGENT, "conversations_by_agent"),)
+    )
+    return R.summary_page(_curated(spark, sf), flt)["conversations_by_agent"]
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "curated_full": q_curated_full,
     "transcript_scan": q_transcript_scan,
@@ -452,6 +562,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "initial_plus_stream": q_initial_plus_stream,
     "overwrite_roundtrip": q_overwrite_roundtrip,
     "compacted_by_date": q_compacted_by_date,
+    "initial_table_then_increment": q_initial_table_then_increment,
+    "end_past_latest": q_end_past_latest,
+    "snapshot_overwrite_commit": q_snapshot_overwrite_commit,
+    "reload_under_dynamic_mode": q_reload_under_dynamic_mode,
+    "stream_counts": q_stream_counts,
+    "detail_page_picked_conversations": q_detail_page_picked_conversations,
+    "summary_page_picked_bars": q_summary_page_picked_bars,
 }
 
 
@@ -691,6 +808,24 @@ FROM conversations WHERE conv_id % 17 <> 0 GROUP BY conv_id""",
     "initial_plus_stream": _CURATED_SELECT,
     "overwrite_roundtrip": _CURATED_SELECT,
     "compacted_by_date": _CURATED_SELECT,
+    "initial_table_then_increment": _CURATED_SELECT,
+    "end_past_latest": _CURATED_SELECT,
+    "snapshot_overwrite_commit": """SELECT 'conv-' || conv_id AS id,
+  (CASE WHEN conv_id % 11 = 0 OR conv_id % 5 = 0 THEN 1 ELSE count(*) END)::INT AS activities
+FROM conversations WHERE conv_id % 17 <> 0 OR conv_id % 5 = 0 GROUP BY conv_id""",
+    "reload_under_dynamic_mode": _CURATED_SELECT,
+    "stream_counts": f"""{_LOG_IDS}
+SELECT (SELECT count(*) FROM t) + 2 * (SELECT count(*) FROM t WHERE n % 11 = 0)
+     + (SELECT count(*) FROM t WHERE n % 17 = 0) AS change_rows,
+  (SELECT count(*) FROM t) AS insert_rows""",
+    "detail_page_picked_conversations": _with_c(
+        f"""SELECT DISTINCT conversation_starttime FROM c WHERE {_DETAIL_WHERE}
+ORDER BY conversation_starttime DESC"""
+    ),
+    "summary_page_picked_bars": _with_c(
+        f"""SELECT bot_conversationtranscriptidname, count(DISTINCT id) AS conversations
+FROM c WHERE {_PAGE_WHERE} GROUP BY 1 ORDER BY conversations DESC, 1"""
+    ),
 }
 
 

@@ -25,6 +25,11 @@ class LoadConfig:
     # change feed enabled (`change_log_format="delta"`).
     change_log: str | None = None
     change_log_format: str = "parquet"
+    # Where the initial load reads the source state: "log" replays the change log
+    # up to the captured version (exact for any source); "table" reads
+    # `transcript_table` (the captured version of a Delta table; a plain parquet
+    # table is read as it stands, so nothing should be committed meanwhile).
+    initial_from: str = "log"
     curated_table: str = "conversation_messages"
     # Location of the curated table's files (an external table). None lets the
     # catalog pick its warehouse location.

@@ -57,14 +57,15 @@ def to_utc_ntz_sql(expr: str, data_type: T.DataType) -> str:
     """Source timestamps as NTZ in UTC wall clock, whatever the session zone.
 
     A zone-aware TIMESTAMP goes through its instant (exact microseconds since
-    the epoch); a TIMESTAMP_NTZ passes through; anything else is parsed as NTZ.
+    the epoch); a TIMESTAMP_NTZ passes through; anything else is parsed as NTZ,
+    NULL where it is no time.
     """
     if isinstance(data_type, T.TimestampNTZType):
         return expr
     if isinstance(data_type, T.TimestampType):
         micros = f"CAST(unix_micros({expr}) AS DECIMAL(18, 0))"
         return f"{EPOCH_NTZ_SQL} + make_dt_interval(0, 0, 0, {micros} / 1000000)"
-    return f"to_timestamp_ntz(CAST({expr} AS STRING))"
+    return f"try_cast(CAST({expr} AS STRING) AS TIMESTAMP_NTZ)"
 
 
 def _name(col: str) -> str:

@@ -87,7 +87,7 @@ def join_users(
         return messages.join(F.broadcast(renamed_users), F.expr("from_aadObjectId = userentraid"), "left")
 
     # Shuffle path: spread NULL keys, salt every key.
-    spread = f"concat('{SURROGATE_PREFIX}', id, coalesce(from_id, ''))"
+    spread = f"concat('{SURROGATE_PREFIX}', coalesce(id, ''), coalesce(from_id, ''))"
     m = messages.selectExpr("*", f"coalesce(from_aadObjectId, {spread}) AS _jk")
     cond = "_jk = userentraid AND from_aadObjectId IS NOT NULL"
     u = renamed_users

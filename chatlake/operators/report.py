@@ -96,8 +96,9 @@ class ReportFilter:
     ``agents``: drill-through agent list (IN). ``date_start``/``date_end``:
     inclusive start-date range. ``exclude_agents``/``exclude_channels``:
     inverted dropdown selections (NULLs kept). ``selection``: cross-filter picks
-    from other visuals, as (column, value) equality pairs (e.g. a start time
-    picked in the conversation list, or a bar's agent).
+    as (column, value) or (column, value, visual): an equality (e.g. a start time
+    picked in the conversation list, or a bar's agent) and the visual in which
+    it was picked, which the pick does not filter.
     """
 
     agents: tuple[str, ...] | None = None
@@ -105,9 +106,10 @@ class ReportFilter:
     date_end: dt.date | str | None = None
     exclude_agents: tuple[str, ...] = ()
     exclude_channels: tuple[str, ...] = ()
-    selection: tuple[tuple[str, Any], ...] = field(default_factory=tuple)
+    selection: tuple[tuple, ...] = field(default_factory=tuple)
 
-    def predicate(self) -> Column | None:
+    def predicate(self, visual: str | None = None) -> Column | None:
+        """The filter as ``visual`` sees it (None: as a visual in which nothing was picked)."""
         preds: list[Column] = []
         if self.agents is not None:
             preds.append(agent_in(self.agents))
@@ -118,7 +120,9 @@ class ReportFilter:
             preds.append(not_in_keep_null(AGENT, self.exclude_agents))
         if self.exclude_channels:
             preds.append(not_in_keep_null(CHANNEL, self.exclude_channels))
-        for name, value in self.selection:
+        for name, value, *origin in self.selection:
+            if visual is not None and origin == [visual]:
+                continue
             c = F.col(_col_name(name))
             preds.append(c.isNull() if value is None else c == _literal(value))
         if not preds:
@@ -128,8 +132,8 @@ class ReportFilter:
             out = out & p
         return out
 
-    def apply(self, curated: DataFrame) -> DataFrame:
-        pred = self.predicate()
+    def apply(self, curated: DataFrame, visual: str | None = None) -> DataFrame:
+        pred = self.predicate(visual)
         return curated if pred is None else curated.where(pred)
 
 
@@ -287,26 +291,24 @@ class Page(Mapping):
 
 def summary_page(curated: DataFrame, flt: ReportFilter = ReportFilter()) -> Page:
     """Summary page: one filter state, four visuals."""
-    c = flt.apply(curated)
-    return Page(
-        {
-            "total_conversations": lambda: total_conversations(c),
-            "conversations_by_agent": lambda: conversations_by_agent(c),
-            "conversations_by_channel": lambda: conversations_by_channel(c),
-            "messages_by_date_agent": lambda: messages_by_date_agent(c),
-        }
-    )
+    visuals = {
+        "total_conversations": total_conversations,
+        "conversations_by_agent": conversations_by_agent,
+        "conversations_by_channel": conversations_by_channel,
+        "messages_by_date_agent": messages_by_date_agent,
+    }
+    return Page({name: (lambda n=name, v=visual: v(flt.apply(curated, n))) for name, visual in visuals.items()})
 
 
 def detail_page(curated: DataFrame, agent: str | Iterable[str], flt: ReportFilter = ReportFilter()) -> Page:
     """Detail page: drill-through agent(s) plus the shared filter state."""
     agents = (agent,) if isinstance(agent, str) else tuple(agent)
-    c = by_agent(flt.apply(curated), agents)
+    visuals = {
+        "total_conversations": total_conversations,
+        "agent_header": agent_header,
+        "conversation_list": conversation_list,
+        "message_list": message_list,
+    }
     return Page(
-        {
-            "total_conversations": lambda: total_conversations(c),
-            "agent_header": lambda: agent_header(c),
-            "conversation_list": lambda: conversation_list(c),
-            "message_list": lambda: message_list(c),
-        }
+        {name: (lambda n=name, v=visual: v(by_agent(flt.apply(curated, n), agents))) for name, visual in visuals.items()}
     )

@@ -29,6 +29,7 @@ def compact_by_date(
         .sortWithinPartitions(DATE, "bot_conversationtranscriptidname")
         .write.mode("overwrite")
         .format("parquet")
+        .option("partitionOverwriteMode", "static")  # whatever the session prefers
         .option("compression", compression)
         .partitionBy(DATE)
     )

@@ -2,7 +2,10 @@
 
 Initial load: capture the latest source version ``v`` once, load the source
 state as of ``v``, overwrite the curated table with rows stamped ``v``, then
-store ``v`` as the baseline (after the overwrite, which would drop it).
+store ``v`` as the baseline (after the overwrite, which would drop it). Without
+a version there is no baseline, so an increment cannot load the same rows again.
+No version beyond the latest committed one is ever stored: what is committed
+later would never be read.
 
 Incremental load: read the baseline ``b``, capture the latest version ``e``
 once, read the change log for ``b < version <= e`` (a partition filter), keep
@@ -31,7 +34,17 @@ from chatlake.sources.tables import project_transcripts, read_transcripts, read_
 
 def _observe(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("messages")), obs
+    counts = [
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col("conversation_starttime").isNull()).alias("null_start_times"),
+        F.count_if(F.col("conversation_part_starttime").isNull()).alias("null_message_times"),
+    ]
+    return df.observe(obs, *counts), obs
+
+
+def _details(obs: Observation) -> dict:
+    """Messages whose conversation or own time could not be read."""
+    return {k: obs.get.get(k, 0) for k in ("null_start_times", "null_message_times")}
 
 
 def initial_load(
@@ -43,27 +56,28 @@ def initial_load(
 ) -> LoadResult:
     """Full load of the curated table and its baseline version.
 
-    Source state: ``transcripts`` when given (raw transcript columns), else the
-    change log's state as of the captured version when ``cfg.change_log`` is
-    set, else the transcript table.
+    Source state: ``transcripts`` when given (raw transcript columns), else, by
+    ``cfg.initial_from``, the transcript table (of a Delta table the captured
+    version) or the change log's state as of the captured version.
     """
-    if version is None and cfg.change_log is not None:
-        version = latest_version(spark, cfg.change_log, cfg.change_log_format)
-    if version is None:
-        version = -1
+    if cfg.change_log is not None:
+        latest = latest_version(spark, cfg.change_log, cfg.change_log_format)
+        latest = -1 if latest is None else latest  # an empty log: nothing of it is loaded yet
+        version = latest if version is None else min(version, latest)
     if transcripts is None:
-        if cfg.change_log is not None:
+        if cfg.change_log is not None and cfg.initial_from == "log":
             changes = read_changes(spark, cfg.change_log, None, version, cfg.change_log_format)
             transcripts = project_transcripts(snapshot_as_of(changes))
         else:
-            transcripts = read_transcripts(spark, cfg)
+            transcripts = read_transcripts(spark, cfg, version)
     elif "content" in transcripts.columns and "conversation_starttime" not in transcripts.columns:
         transcripts = project_transcripts(transcripts)
     users = read_users(spark, cfg) if users is None else users
     curated, obs = _observe(build_curated(transcripts, users, cfg), "initial_load")
-    write_curated(curated, cfg.curated_table, version, cfg.curated_path, cfg.compression)
-    set_baseline(spark, cfg.curated_table, version)
-    return LoadResult("loaded", end_version=version, messages=obs.get.get("messages", 0))
+    write_curated(curated, cfg.curated_table, -1 if version is None else version, cfg.curated_path, cfg.compression)
+    if version is not None:
+        set_baseline(spark, cfg.curated_table, version)
+    return LoadResult("loaded", end_version=version, messages=obs.get.get("messages", 0), details=_details(obs))
 
 
 def incremental_load(
@@ -72,14 +86,13 @@ def incremental_load(
     users: DataFrame | None = None,
     end: int | None = None,
 ) -> LoadResult:
-    """Load the inserts committed after the stored baseline, up to ``end`` (default: latest)."""
+    """Load the inserts committed after the stored baseline, up to ``end`` (default and bound: the latest)."""
     if cfg.change_log is None:
         raise ValueError("incremental_load needs cfg.change_log")
     baseline = get_baseline(spark, cfg.curated_table)
-    if end is None:
-        latest = latest_version(spark, cfg.change_log, cfg.change_log_format, after=baseline)
-    else:
-        latest = end
+    latest = latest_version(spark, cfg.change_log, cfg.change_log_format, after=baseline)
+    if latest is not None and end is not None:
+        latest = min(latest, end)
     if latest is None or latest <= baseline:
         return LoadResult("no_changes", start_version=baseline + 1, end_version=baseline)
     changes = read_changes(spark, cfg.change_log, baseline, latest, cfg.change_log_format)
@@ -105,4 +118,5 @@ def incremental_load(
         change_rows=int(stats["change_rows"]),
         inserted_transcripts=int(stats["insert_rows"]),
         messages=obs.get.get("messages", 0),
+        details=_details(obs),
     )

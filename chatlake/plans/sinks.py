@@ -38,6 +38,7 @@ def write_curated(
         _ordered(stamped)
         .write.mode("overwrite")
         .format("parquet")
+        .option("partitionOverwriteMode", "static")  # whatever the session prefers
         .option("compression", compression)
         .partitionBy(COMMIT_VERSION)
     )

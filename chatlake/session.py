@@ -32,8 +32,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set (to storage every executor can reach). Only
-    when it is unset, as in a bare local test session, a fresh local folder is
-    created and registered as the session's checkpoint directory.
+    in a ``local[...]`` session without the setting, as in tests, a fresh local
+    folder is created and registered as the session's checkpoint directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -42,6 +42,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         # `spark.checkpoint.dir` is a core setting that cannot change at run
         # time; register the folder on the context, where later calls find it
         # through getCheckpointDir().

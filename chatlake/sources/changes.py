@@ -2,7 +2,8 @@
 
 The default change log is a parquet folder partitioned by ``_commit_version``
 (columns named as in Delta's change feed), so a version range is a partition
-filter and the scan lists only the folders in the range. A Delta table with its
+filter: only files in the range are read (a path is still listed in full; give
+a catalog table with tracked partitions to have the range listed only). A Delta table with its
 change feed enabled is read through the same functions (``fmt="delta"``; not
 exercised here because the Delta jars are not installed).
 """
@@ -76,11 +77,15 @@ def inserts_only(changes: DataFrame, keep_version: bool = False) -> DataFrame:
     return project_transcripts(changes.where(F.col(CHANGE_TYPE) == INSERT), carry)
 
 
-# Order of change rows inside one commit version (the post-image wins).
-_CHANGE_RANK = [("update_preimage", 0), ("insert", 1), ("update_postimage", 2), ("delete", 3)]
+# Order of change rows inside one commit version: a row that the commit leaves
+# behind wins, so a delete and an insert of one id (a table overwrite, or a merge
+# that replaces rows) leave the inserted row.
+_CHANGE_RANK = [("update_preimage", 0), ("delete", 1), ("insert", 2), ("update_postimage", 3)]
 
 
-def snapshot_as_of(changes: DataFrame, broadcast_max_ids: int = 10_000_000) -> DataFrame:
+def snapshot_as_of(
+    changes: DataFrame, broadcast_max_ids: int = 1_000_000, broadcast_max_bytes: int = 64 * 1024 * 1024
+) -> DataFrame:
     """Raw transcript rows as the table stood after the last version in ``changes``.
 
     Pass ``read_changes(..., end=v)`` to get the state as of version ``v``.
@@ -90,18 +95,21 @@ def snapshot_as_of(changes: DataFrame, broadcast_max_ids: int = 10_000_000) -> D
     * ids that ever had an update or delete are found from a two-column scan
       (id, change type) and de-duplicated with partial aggregation;
     * inserts of all other ids pass straight through: an anti-join against
-      that id set, broadcast when a counted bound proves it small, else a
-      shuffle on the id alone;
+      that id set, broadcast when its counted rows and bytes are within
+      bounds, else a shuffle by id;
     * only the changed ids' rows are resolved per id (the latest change wins;
       max_by aggregates partially per task, then per id), and deleted ids and
       pre-images drop out.
 
-    No transcript content is shuffled for the append-only majority.
+    Within the bounds no transcript content is shuffled for the append-only
+    majority.
     """
     cols = [c for c in changes.columns if c not in (CHANGE_TYPE, COMMIT_VERSION)]
     changed_ids = changes.where(F.col(CHANGE_TYPE) != INSERT).select("id").distinct()
-    n_changed = changed_ids.count()
-    ids = F.broadcast(changed_ids) if n_changed <= broadcast_max_ids else changed_ids
+    size = changed_ids.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col("id"))).alias("bytes")).first()
+    n_changed = size["n"]
+    small = n_changed <= broadcast_max_ids and (size["bytes"] or 0) <= broadcast_max_bytes
+    ids = F.broadcast(changed_ids) if small else changed_ids
 
     stable = changes.where(F.col(CHANGE_TYPE) == INSERT).join(ids, "id", "left_anti").select(*cols)
     if n_changed == 0:

@@ -128,7 +128,9 @@ def save_change_log(log: DataFrame, path: str) -> str:
     files: a few files per small commit, and a large commit (even one holding
     a third of all rows) split over many tasks rather than one.
     """
-    log.hint("rebalance", COMMIT_VERSION).write.mode("overwrite").partitionBy(COMMIT_VERSION).parquet(path)
+    log.hint("rebalance", COMMIT_VERSION).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy(COMMIT_VERSION).parquet(path)
     return path
 
 

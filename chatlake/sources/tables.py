@@ -37,8 +37,12 @@ def project_transcripts(raw: DataFrame, carry: list[str] = ()) -> DataFrame:
     )
 
 
-def read_transcripts(spark: SparkSession, cfg: LoadConfig | str) -> DataFrame:
+def read_transcripts(spark: SparkSession, cfg: LoadConfig | str, version: int | None = None) -> DataFrame:
+    """The transcript table; of a Delta source its state as of ``version``."""
     ref = cfg if isinstance(cfg, str) else cfg.qualify(cfg.transcript_table)
+    if version is not None and not isinstance(cfg, str) and cfg.change_log_format == "delta":
+        reader = spark.read.format("delta").option("versionAsOf", version)
+        return project_transcripts(reader.load(ref) if is_path(ref) else reader.table(ref))
     return project_transcripts(read_source(spark, ref))
 
 

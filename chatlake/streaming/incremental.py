@@ -8,25 +8,70 @@ and the sink's own log commits each micro-batch exactly once, so a restarted or
 re-run query (e.g. with ``availableNow``) never duplicates rows. No watermark
 and no state store are needed because nothing is aggregated across batches.
 
+The user dimension is read, measured and joined when the query starts, so a query
+runs one ``availableNow`` pass over what exists and stops; a schedule starts it
+anew, with the users of that time. Change and insert rows are observed on the
+query itself and summed over all its batches.
+
 The sink folder must be read as that sink's folder (its ``_spark_metadata`` log
 decides which files count) and must not be written by the batch loads.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from chatlake.config import LoadConfig, LoadResult
+from chatlake.config import BaselineMissing, LoadConfig, LoadResult
 from chatlake.plans.curated import build_curated
-from chatlake.schema import CHANGE_LOG_SCHEMA, COMMIT_VERSION, CURATED_COLUMNS
+from chatlake.plans.sinks import get_baseline
+from chatlake.schema import CHANGE_LOG_SCHEMA, CHANGE_TYPE, COMMIT_VERSION, CURATED_COLUMNS, INSERT
 from chatlake.sources.changes import inserts_only
 from chatlake.sources.tables import read_users
 
 
+OBSERVED = "changes"
+
+
+class _Counts(StreamingQueryListener):
+    """Sums what one run of a query observed, batch by batch."""
+
+    def __init__(self):
+        self.batches: dict[tuple, tuple[int, int]] = {}
+        self.ended: set = set()
+        self.news = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(OBSERVED)
+        if row is not None:
+            with self.news:
+                key = (str(event.progress.runId), event.progress.batchId)
+                self.batches[key] = (row["change_rows"], row["insert_rows"])
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self.news:
+            self.ended.add(str(event.runId))
+            self.news.notify_all()
+
+    def of(self, run_id, timeout: float = 60) -> list[tuple[int, int]]:
+        """(change rows, inserts) of each batch of a run that has ended; listeners hear of it a little later."""
+        with self.news:
+            if not self.news.wait_for(lambda: str(run_id) in self.ended, timeout):
+                raise TimeoutError(f"no report of the end of streaming run {run_id}")
+            return [n for (run, _), n in sorted(self.batches.items()) if run == str(run_id) and n[0]]
+
+
 def change_log_schema(spark: SparkSession, change_log: str) -> T.StructType:
     """The change log's own schema (e.g. a zone-aware start time), read from the
     existing files; the declared schema when the log is still empty."""
@@ -56,8 +101,20 @@ def curated_stream(
     after_version: int | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming DataFrame of curated rows (18 columns + ``_commit_version``)."""
+    """Streaming DataFrame of curated rows (18 columns + ``_commit_version``).
+
+    ``after_version`` defaults to the baseline of the curated table, if it has one.
+    """
+    if cfg.change_log_format != "parquet":
+        raise ValueError(f"the stream reads a parquet change log, not {cfg.change_log_format!r}")
+    if after_version is None:
+        try:
+            after_version = get_baseline(spark, cfg.curated_table)
+        except BaselineMissing:
+            pass
     changes = stream_changes(spark, cfg.change_log, after_version, max_files_per_trigger)
+    counts = [F.count(F.lit(1)).alias("change_rows"), F.count_if(F.col(CHANGE_TYPE) == INSERT).alias("insert_rows")]
+    changes = changes.observe(OBSERVED, *counts)
     users = read_users(spark, cfg) if users is None else users
     return build_curated(inserts_only(changes, keep_version=True), users, cfg, carry=[COMMIT_VERSION])
 
@@ -69,11 +126,9 @@ def start_incremental_stream(
     checkpoint_path: str,
     users: DataFrame | None = None,
     after_version: int | None = None,
-    available_now: bool = True,
-    processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the streaming load; ``available_now`` drains what exists and stops."""
+    """Start the streaming load; it drains what exists and stops."""
     curated = curated_stream(spark, cfg, users, after_version, max_files_per_trigger)
     writer = (
         curated.writeStream.format("parquet")
@@ -82,26 +137,28 @@ def start_incremental_stream(
         .option("checkpointLocation", checkpoint_path)
         .outputMode("append")
     )
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start(sink_path)
+    return writer.trigger(availableNow=True).start(sink_path)
 
 
 def run_incremental_stream(
     spark: SparkSession, cfg: LoadConfig, sink_path: str, checkpoint_path: str, **kw
 ) -> LoadResult:
-    """Run one availableNow pass to completion; counts come from the query's progress."""
-    q = start_incremental_stream(spark, cfg, sink_path, checkpoint_path, available_now=True, **kw)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    progress = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
+    """Run one pass to completion; counts are those of all its batches, however many."""
+    counts = _Counts()
+    spark.streams.addListener(counts)
+    try:
+        q = start_incremental_stream(spark, cfg, sink_path, checkpoint_path, **kw)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        batches = counts.of(q.runId)
+    finally:
+        spark.streams.removeListener(counts)
     return LoadResult(
-        "drained" if progress else "no_changes",
-        change_rows=sum(int(p["numInputRows"]) for p in progress),
-        details={"batches": len(progress), "sink": sink_path},
+        "drained" if batches else "no_changes",
+        change_rows=sum(n for n, _ in batches),
+        inserted_transcripts=sum(n for _, n in batches),
+        details={"batches": len(batches), "sink": sink_path},
     )
 
 

@@ -161,5 +161,5 @@ def test_zone_aware_change_log_batch_equals_stream(spark, sf_small, users):
     incremental_load(spark, cfg, users=users)
     batch = _rows(read_curated(spark, cfg.curated_table))
     sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
-    run_incremental_stream(spark, cfg, sink, ckpt, users=users)
+    run_incremental_stream(spark, cfg, sink, ckpt, users=users, after_version=-1)
     assert _rows(read_stream_sink(spark, sink)) == batch

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from chatlake.session import checkpoint_root, scratch_path
 
 
@@ -40,8 +42,17 @@ def test_uses_the_configured_shared_folder():
     assert s.sparkContext.dir is None
 
 
+def test_unset_is_an_error_off_local_masters():
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        s = _Session(None)
+        s.sparkContext.master = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_root(s)
+
+
 def test_unset_registers_a_local_folder_once():
     s = _Session(None)
+    s.sparkContext.master = "local[2]"
     first = checkpoint_root(s)
     assert s.sparkContext.dir == first
     assert checkpoint_root(s) == first
