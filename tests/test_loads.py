@@ -163,3 +163,42 @@ def test_zone_aware_change_log_batch_equals_stream(spark, sf_small, users):
     sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
     run_incremental_stream(spark, cfg, sink, ckpt, users=users, after_version=-1)
     assert _rows(read_stream_sink(spark, sink)) == batch
+
+
+def test_no_baseline_without_a_version(spark, sf_small, log, users):
+    cfg = LoadConfig(curated_table=unique_name("cm"), curated_path=scratch_path(spark, "test_curated"))
+    r = initial_load(spark, cfg, transcripts=fixture_transcripts(spark, sf_small), users=users)
+    assert r.status == "loaded" and r.end_version is None
+    with pytest.raises(BaselineMissing):
+        get_baseline(spark, cfg.curated_table)
+
+
+def test_versions_past_the_latest_are_not_stored(spark, log, users):
+    cfg = _cfg(spark, log)
+    assert initial_load(spark, cfg, users=users, version=99).end_version == 11
+    assert incremental_load(spark, cfg, users=users, end=99).status == "no_changes"
+    assert get_baseline(spark, cfg.curated_table) == 11
+
+
+def test_unreadable_start_times_are_null_and_counted(spark, sf_small, users):
+    from pyspark.sql import functions as F
+
+    raw = fixture_transcripts(spark, sf_small).withColumn("conversationstarttime", F.lit("no time at all"))
+    cfg = LoadConfig(curated_table=unique_name("cm"), curated_path=scratch_path(spark, "test_curated"))
+    r = initial_load(spark, cfg, transcripts=raw, users=users)
+    assert r.messages > 0 and r.details["null_start_times"] == r.messages
+
+
+def test_stream_counts_equal_batch_counts_and_start_at_the_baseline(spark, log, users):
+    cfg = _cfg(spark, log)
+    initial_load(spark, cfg, users=users, version=4)
+    sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    streamed = run_incremental_stream(spark, cfg, sink, ckpt, users=users, max_files_per_trigger=1)
+    batch = incremental_load(spark, cfg, users=users)
+    assert (streamed.change_rows, streamed.inserted_transcripts) == (batch.change_rows, batch.inserted_transcripts)
+    assert run_incremental_stream(spark, cfg, sink, ckpt, users=users).status == "no_changes"
+
+
+def test_stream_rejects_other_formats(spark, log):
+    with pytest.raises(ValueError, match="parquet"):
+        run_incremental_stream(spark, LoadConfig(change_log=log, change_log_format="delta"), "s", "c")

@@ -164,3 +164,14 @@ def test_message_list_splits_a_hot_time(spark, curated):
     assert times[: len(nulls_first)] == nulls_first
     rest = times[len(nulls_first):]
     assert rest == sorted(rest)
+
+
+def test_a_pick_spares_the_visual_it_was_made_in(curated):
+    agent = curated.select("bot_conversationtranscriptidname").first()[0]
+    pick = ("bot_conversationtranscriptidname", agent)
+    bars = R.conversations_by_agent(curated).collect()
+    page = R.summary_page(curated, R.ReportFilter(selection=((*pick, "conversations_by_agent"),)))
+    assert page["conversations_by_agent"].collect() == bars
+    everywhere = R.summary_page(curated, R.ReportFilter(selection=(pick,)))
+    assert len(everywhere["conversations_by_agent"].collect()) == 1
+    assert page["total_conversations"].collect() == everywhere["total_conversations"].collect()
