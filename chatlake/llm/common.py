@@ -53,6 +53,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a list of row names (some 20 to 50 bytes each) is broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def row_name() -> Column:
+    """A row's name by its doc_id and text; repeated rows share one."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def drop_named(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``judged`` (uid, kept, rows) names as not kept; of repeated rows one stays.
+
+    The names are broadcast while they are few; beyond that the join is left to the planner. Texts travel in
+    the second case only.
+    """
+    name = "uid"
+    while name in docs.columns:
+        name += "_"
+    judged = judged.select(F.col("uid").alias(name), "kept", "rows")
+
+    def small(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+    named = docs.withColumn(name, row_name())
+    gone = judged.where(~F.col("kept")).select(name)
+    repeated = judged.where("kept AND rows > 1").select(name)
+    once = named.join(small(gone.unionByName(repeated)), name, "left_anti")
+    if repeated.isEmpty():
+        return once.drop(name)
+    again = named.join(small(repeated), name, "left_semi").dropDuplicates([name])
+    return once.unionByName(again).drop(name)
+
+
 def join_skewed(rows: DataFrame, groups: DataFrame, key: str, count: str, total: int) -> DataFrame:
     """``rows`` joined with ``groups`` (one row per ``key``) where few keys may hold most rows.
 

@@ -25,16 +25,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm.common import join_skewed, stored, text_or_empty
+from chatlake.llm.common import drop_named, join_skewed, row_name, stored, text_or_empty
 from chatlake.session import scratch_path
 
 BUCKETS = 256
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, digest) of every document, written once so that ``row`` is stable."""
+    """(row, uid, doc_id, digest) of every document, written once so that ``row`` is stable."""
     hashed = docs.select(
         F.monotonically_increasing_id().alias("row"),
+        row_name().alias("uid"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.unhex(F.sha2(text_or_empty(), 256)).alias("digest"),
     )
@@ -85,11 +86,12 @@ def add_batch(spark: SparkSession, rows: DataFrame, index: str, batch: str) -> N
 
 
 def resolve(spark: SparkSession, rows: DataFrame, index: str, batch: str) -> DataFrame:
-    """Each row with the row that stays for its text (row, doc_id, digest, keep_id, group_size, kept)."""
+    """Each row with the row that stays for its text (row, uid, doc_id, digest, keep_id, group_size, kept)."""
     spark.catalog.refreshTable(index)
     joined = join_skewed(rows, spark.table(index), "digest", "group_size", rows.count())
     return joined.select(
         "row",
+        "uid",
         "doc_id",
         "digest",
         "keep_id",
@@ -110,19 +112,6 @@ def exact_dedup(docs: DataFrame, index: str | None = None, batch: str | None = N
 
 def drop_duplicates(docs: DataFrame, index: str | None = None, batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    rid = f"row_{uuid.uuid4().hex[:8]}"
-    numbered = stored(docs.withColumn(rid, F.monotonically_increasing_id()), "numbered")
-    spark = docs.sparkSession
-    index = index or create_index(spark)
-    batch = batch or uuid.uuid4().hex
-    rows = stored(
-        numbered.select(
-            F.col(rid).alias("row"),
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.unhex(F.sha2(text_or_empty(), 256)).alias("digest"),
-        ),
-        "digests",
-    )
-    add_batch(spark, rows, index, batch)
-    gone = resolve(spark, rows, index, batch).where(~F.col("kept")).select(F.col("row").alias(rid))
-    return numbered.join(gone, rid, "left_anti").drop(rid)
+    copies = exact_dedup(docs, index, batch).where("group_size > 1 OR NOT kept")
+    judged = copies.groupBy("uid").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    return drop_named(docs, stored(judged, "judged"))

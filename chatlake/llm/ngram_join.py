@@ -17,21 +17,22 @@ Texts with equal shingle sets are one node (``sid``) from the start. Then:
    needs a whole fragment to be the same.
 2. *Leaders.* The set with the most company leads a bucket, and each member is
    compared with the leader, not with all others.
-3. *Overlaps.* For each pair (member, leader) the shared shingles are counted per
-   fragment of the order and summed.
+3. *Overlaps.* The shingles that a member and its leader both have are counted
+   per fragment of the order and summed per pair.
 4. *The rest.* If two members X and Y of a bucket are linked and their
    differences from the leader have no shingle in common, then
    |X ^ L| + |Y ^ L| = |X ^ Y|, so both are linked with the leader L already. A link
    that stars miss therefore has an end that is not linked with L, and the two
    share a part of their differences: members of such a leader are compared
-   through their differences, in blocks of bounded size, and a block returns no
-   more links than it has members.
+   through their differences, where the leader is if it has few members, else in
+   blocks of bounded size, and no more links are returned than keep them together.
 5. Links become components (see ``components``).
 
 No step emits all pairs of a group, and none holds more than a block of it.
 
 Names of sets and buckets are 64-bit hashes; n sets share a name with a
-probability of n * n / 2 ** 65.
+probability of n * n / 2 ** 65. Overlaps are counted on 48 bits of the hashes; two
+sets of n shingles seem to share one too many with a probability of n * n / 2 ** 48.
 
 Defined results: a null text counts as empty; empty texts and texts without words
 have no shingles and are linked with nothing. A text with fewer words than a
@@ -52,17 +53,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType, StructField, StructType
 
-from chatlake.llm.common import join_skewed, stored
+from chatlake.llm.common import BROADCAST_ROWS, drop_named, join_skewed, row_name, stored
 from chatlake.llm.components import components
 from chatlake.llm.shingles import mix, set_id, shingle_set
 
 WORDS, SHARE = 4, (85, 100)
 #: Fragments of the order in which overlaps are counted.
-PARTS = 8
-#: Members of a leader that are compared at once.
-BLOCK = 512
-#: Rows up to which the texts to compare are picked by a broadcast of their names (16 bytes each).
-BROADCAST_ROWS = 1_000_000
+PARTS = 4
+#: Members that a leader meets at one salt, and members of a leader of more that are compared at once.
+SALTED, BLOCK = 256, 512
 
 
 # ---- candidates ----------------------------------------------------------------
@@ -154,7 +153,7 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
 def _named(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     doc_id = F.col("doc_id").cast("long")
-    return docs.select(F.xxhash64(doc_id, text).alias("uid"), doc_id.alias("doc_id"), text.alias("text"))
+    return docs.select(row_name().alias("uid"), doc_id.alias("doc_id"), text.alias("text"))
 
 
 def buckets_of(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
@@ -176,91 +175,148 @@ def leader_pairs(buckets: DataFrame) -> DataFrame:
 # ---- overlaps ------------------------------------------------------------------
 
 
-def segments_of(docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """(sid, part, n, shingles): the sets that stand in ``pairs``, cut into ``PARTS`` fragments of the order."""
-    wanted = pairs.select("sid").unionByName(pairs.select(F.col("leader").alias("sid"))).distinct()
-    chosen = stored(sets.join(wanted, "sid").groupBy("sid").agg(F.min("uid").alias("uid")).select("uid"), "chosen")
-    if chosen.count() <= BROADCAST_ROWS:
-        chosen = F.broadcast(chosen)
-    texts = _named(docs).join(chosen, "uid", "left_semi").select("text")
+def _chosen(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(uid, sid, rows, targets): one text of each set in ``pairs``, how many rows it is, and where it is compared.
+
+    A target is a leader, a salt, and how many salts the leader has; a leader of many members stands at each.
+    """
+    size = pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("n"))
+    salts = size.select("leader", F.ceil(F.col("n") / SALTED).cast("int").alias("salts"))
+    members = pairs.join(salts, "leader").withColumn("salt", F.pmod(F.xxhash64("sid"), "salts").cast("int"))
+    leaders = salts.withColumn("sid", F.col("leader")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    # a set has no more leaders than it has buckets
+    targets = members.unionByName(leaders).groupBy("sid").agg(
+        F.collect_list(F.struct("leader", "salt", "salts")).alias("targets")
+    )
+    texts = sets.join(targets.select("sid"), "sid", "left_semi").groupBy("sid", "uid").agg(F.count(F.lit(1)).alias("rows"))
+    one = texts.groupBy("sid").agg(F.min(F.struct("uid", "rows")).alias("t"))
+    return stored(one.join(targets, "sid").select("t.uid", "sid", "t.rows", "targets"), "chosen")
+
+
+_SEGMENT = ["leader", "salt", "salts", "member", "sid", "part", "n", "shingles"]
+
+
+def pack(shingles: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash."""
+    return (shingles >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel().astype(np.int64)
+
+
+def _segments(docs: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
+    """The fragments of each chosen set at each of its targets."""
+    size = chosen.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("targets")).alias("targets"), F.max("rows").alias("rows")).first()
+    picked = F.broadcast(chosen) if max(size.n, size.targets or 0) <= BROADCAST_ROWS else chosen
+    found = _named(docs).select("uid", "text").join(picked, "uid")
+    if (size.rows or 0) > 1:
+        found = found.where("rows = 1").unionByName(found.where("rows > 1").dropDuplicates(["uid"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.arange(1, PARTS, dtype=np.uint64) << np.uint64(64 - PARTS.bit_length() + 1)
         for batch in batches:
             rows, size = [], 0
-            for text in batch.column(0).to_pylist():
+            for text, sid, targets in zip(*(batch.column(c).to_pylist() for c in ("text", "sid", "targets"))):
                 shingles = shingle_set(text, words)
-                sid = set_id(shingles)
-                for part, s in enumerate(np.split(shingles, np.searchsorted(shingles, edges))):
-                    if len(s):
-                        rows.append((sid, part, len(shingles), s.view(np.int64)))
-                size += len(shingles)
+                if set_id(shingles) != sid:
+                    continue  # another text under the same name
+                parts = [pack(p) for p in np.split(shingles, np.searchsorted(shingles, edges))]
+                for t in targets:
+                    at = (t["leader"], t["salt"], t["salts"], sid != t["leader"], sid)
+                    rows += [(*at, part, len(shingles), p) for part, p in enumerate(parts)]
+                    size += len(shingles)
                 if size > 1 << 18:
-                    yield _segments(rows)
+                    yield _record_batch(rows)
                     rows, size = [], 0
             if rows:
-                yield _segments(rows)
+                yield _record_batch(rows)
 
-    cut = texts.mapInArrow(run, "sid long, part int, n long, shingles array<long>")
-    return stored(cut.dropDuplicates(["sid", "part"]), "segments")
+    schema = "leader long, salt int, salts int, member boolean, sid long, part int, n long, shingles binary"
+    return found.select("text", "sid", "targets").mapInArrow(run, schema)
 
 
-def _segments(rows: list[tuple]) -> pa.RecordBatch:
-    sids, parts, sizes, arrays = zip(*rows)
-    offsets = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays)))
-    columns = [pa.array(sids, pa.int64()), pa.array(parts, pa.int32()), pa.array(sizes, pa.int64()), lists]
-    return pa.RecordBatch.from_arrays(columns, names=["sid", "part", "n", "shingles"])
+def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=_SEGMENT)
 
 
-def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """(sid, leader, n, leader_n, common) of every pair."""
-    ours = segments.select("sid", "part", F.col("shingles").alias("ours"))
-    theirs = segments.select(F.col("sid").alias("leader"), "part", F.col("shingles").alias("theirs"))
-    partial = (
-        pairs.join(ours, "sid")
-        .join(theirs, ["leader", "part"])
-        .select("sid", "leader", F.size(F.array_intersect("ours", "theirs")).alias("common"))
-    )
-    summed = partial.groupBy("sid", "leader").agg(F.sum("common").alias("common"))
-    sizes = segments.groupBy("sid").agg(F.first("n").alias("n"))
-    return (
-        pairs.join(summed, ["sid", "leader"], "left")
-        .join(sizes, "sid")
-        .join(sizes.select(F.col("sid").alias("leader"), F.col("n").alias("leader_n")), "leader")
-        .select("sid", "leader", "n", "leader_n", F.coalesce("common", F.lit(0)).cast("long").alias("common"))
-    )
+def _overlap(own: np.ndarray, other: np.ndarray) -> tuple[int, np.ndarray]:
+    """How many values two fragments share, and the values that only one has."""
+    both = np.concatenate([own, other])
+    both.sort()
+    twice = both[1:] == both[:-1]
+    alone = np.ones(len(both), bool)
+    alone[1:] &= ~twice
+    alone[:-1] &= ~twice
+    return int(twice.sum()), both[alone]
 
 
-def linked(common: str, n: str, m: str, share: tuple[int, int]):
-    num, den = share
-    return F.col(common) * den >= (F.col(n) + F.col(m) - F.col(common)) * num
+_COMPARED = "leader long, sid long, other long, n long, star boolean, delta array<long>"
 
 
-# ---- the rest ------------------------------------------------------------------
+def _compare(batches: Iterator[pa.RecordBatch], share: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Compares the members at each (leader, salt) with the leader, whose fragments come first.
 
+    The shared shingles of a pair are counted per fragment and summed. A leader at one salt has all its members here,
+    at most some ``SALTED``: their links (sid, other) are found at once. Members of a leader at several salts are
+    returned with their differences.
+    """
+    num, den = share
 
-def _differences(compared: DataFrame, segments: DataFrame) -> DataFrame:
-    """(leader, sid, n, star, delta): the shingles in which a member differs from its leader."""
-    ours = segments.select("sid", "part", F.col("shingles").alias("ours"))
-    theirs = segments.select(F.col("sid").alias("leader"), "part", F.col("shingles").alias("theirs"))
-    parts = compared.withColumn("part", F.explode(F.array(*[F.lit(i) for i in range(PARTS)])))
-    none = F.array().cast("array<long>")
-    a, b = F.coalesce("ours", none), F.coalesce("theirs", none)
-    differing = F.concat(F.array_except(a, b), F.array_except(b, a))
-    return (
-        parts.join(ours, ["sid", "part"], "left")
-        .join(theirs, ["leader", "part"], "left")
-        .select("leader", "sid", "n", "star", differing.alias("d"))
-        .groupBy("leader", "sid", "n", "star")
-        .agg(F.flatten(F.collect_list("d")).alias("delta"))  # at most PARTS pieces of one set
-    )
+    def done(leader: int, salts: int, members: dict) -> pa.RecordBatch:
+        rows = []
+        for sid, (n, leader_n, common, apart) in members.items():
+            star = den * common >= num * (n + leader_n - common)
+            rows.append((leader, sid, leader if star else None, n, star, np.concatenate(apart)))
+        if salts == 1:
+            links = [r[:3] for r in rows if r[4]]
+            if len(links) < len(rows):
+                block = pd.DataFrame(rows, columns=["leader", "sid", "other", "n", "star", "delta"])
+                block["side"] = np.where(block["star"], 1, 2)
+                more = _links_of_block(block, share)
+                links += [(leader, u, v) for u, v in zip(more["u"].tolist(), more["v"].tolist())]
+            rows = [(*link, None, None, None) for link in links]
+        else:
+            rows = [(*r[:2], None, *r[3:]) for r in rows]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64())]
+        names = ["leader", "sid", "other", "n", "star", "delta"]
+        columns = list(zip(*rows)) or [()] * 6
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    at, own, own_n, members = None, {}, 0, {}
+    for batch in batches:
+        for leader, salt, salts, member, sid, part, n, raw in zip(*(batch.column(c).to_pylist() for c in _SEGMENT)):
+            if at != (leader, salt, salts):
+                if members:
+                    yield done(at[0], at[2], members)
+                at, own, members = (leader, salt, salts), {}, {}
+            if not member:
+                own[part], own_n = unpack(raw), n
+                continue
+            common, apart = _overlap(own[part], unpack(raw))
+            _, _, before, pieces = members.get(sid, (n, own_n, 0, []))
+            members[sid] = (n, own_n, before + common, [*pieces, apart])
+    if members:
+        yield done(at[0], at[2], members)
+
+
+def compared(docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
+    """Links (sid, other) of leaders with few members; the members of all other leaders, and their links with them."""
+    segments = _segments(docs, _chosen(sets, pairs), words)
+    met = segments.repartition("leader", "salt").sortWithinPartitions("leader", "salt", "member", "sid", "part")
+    return stored(met.mapInArrow(lambda batches: _compare(batches, share), _COMPARED), "compared")
+
+
+# ---- the rest ------------------------------------------------------------------
 
 
 def _links_of_block(rows: pd.DataFrame, share: tuple[int, int]) -> pd.DataFrame:
-    """Links between the ``left`` and the ``right`` members of a block, as few as keep them together."""
+    """Links between the members of two sides (0, 1; 2 is on both), as few as keep them together."""
     num, den = share
-    left, right = rows[rows["left"]], rows[~rows["left"]]
+    left, right = rows[rows["side"] != 1], rows[rows["side"] != 0]
     n, ids = right["n"].to_numpy(), right["sid"].to_numpy()
     sizes = np.array([len(d) for d in right["delta"]])
     if not len(left) or not len(right):
@@ -293,17 +349,18 @@ def _links_of_block(rows: pd.DataFrame, share: tuple[int, int]) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
 
-def rest_links(compared: DataFrame, segments: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Links between members of one leader of which one at least isn't linked with it."""
-    orbits = compared.groupBy("leader").agg(F.count(F.lit(1)).alias("size"), F.sum((~F.col("star")).cast("int")).alias("rest"))
-    orbits = orbits.where("rest > 0 AND size > 1").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    members = _differences(compared.join(orbits.select("leader"), "leader", "left_semi"), segments)
-    members = stored(members, "differences").join(orbits.select("leader", "blocks"), "leader")
+def rest_links(members: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Links between members of one leader of which one at least isn't linked with it (``star``), block by block."""
+    orbits = members.groupBy("leader").agg(F.count(F.lit(1)).alias("size"), F.sum((~F.col("star")).cast("int")).alias("rest"))
+    orbits = stored(orbits.where("rest > 0"), "orbits").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    if orbits.count() <= BROADCAST_ROWS:
+        orbits = F.broadcast(orbits)
+    joined = members.join(orbits, "leader")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     fields = ["leader", "sid", "n", "delta"]
-    left = members.where(~F.col("star")).select(*fields, own.alias("i"), every.alias("j"), F.lit(True).alias("left"))
-    right = members.select(*fields, every.alias("i"), own.alias("j"), F.lit(False).alias("left"))
+    left = joined.where(~F.col("star")).select(*fields, own.alias("i"), every.alias("j"), F.lit(0).alias("side"))
+    right = joined.select(*fields, every.alias("i"), own.alias("j"), F.lit(1).alias("side"))
     return (
         left.unionByName(right)
         .groupBy("leader", "i", "j")
@@ -321,12 +378,11 @@ def classes(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE)
     without shingles).
     """
     sets = sets_of(docs, words)
-    pairs = leader_pairs(buckets_of(docs, words, share))
-    segments = segments_of(docs, sets, pairs, words)
-    star = linked("common", "n", "leader_n", share)
-    compared = stored(overlaps(pairs, segments).withColumn("star", star), "compared")
-    stars = compared.where("star").select(F.col("sid").alias("u"), F.col("leader").alias("v"))
-    links = stars.unionByName(rest_links(compared, segments, share))
+    met = compared(docs, sets, leader_pairs(buckets_of(docs, words, share)), words, share)
+    close = met.where("other IS NOT NULL").select(F.col("sid").alias("u"), F.col("other").alias("v"))
+    many = met.where("delta IS NOT NULL")
+    stars = many.where("star").select(F.col("sid").alias("u"), F.col("leader").alias("v"))
+    links = close.unionByName(stars).unionByName(rest_links(many, share))
     roots = components(links).select(F.col("node").alias("sid"), "root")
     # sets first: texts with one set are counted before they meet their component
     own = sets.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
@@ -348,24 +404,9 @@ def keep_one(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE
 
     The smallest doc_id of a class stays (null ids last). Texts without shingles stay.
     """
-    name = "uid"
-    while name in docs.columns:
-        name += "_"
     found = stored(classes(docs, words, share).where("class_size > 1"), "classes")
     uids = found.groupBy("root", "uid").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
     stays = uids.groupBy("root").agg(F.min(first).uid.alias("stays"))
-    judged = stored(
-        uids.join(stays, "root").select(F.col("uid").alias(name), (F.col("uid") == F.col("stays")).alias("kept"), "rows"),
-        "judged",
-    )
-
-    def small(rows: DataFrame) -> DataFrame:
-        return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-
-    named = docs.withColumn(name, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    gone = judged.where(~F.col("kept")).select(name)
-    repeated = judged.where("kept AND rows > 1").select(name)  # of repeated rows one stays
-    once = named.join(small(gone.unionByName(repeated)), name, "left_anti")
-    again = named.join(small(repeated), name, "left_semi").dropDuplicates([name])
-    return once.unionByName(again).drop(name)
+    judged = uids.join(stays, "root").select("uid", (F.col("uid") == F.col("stays")).alias("kept"), "rows")
+    return drop_named(docs, stored(judged, "judged"))

@@ -86,6 +86,7 @@ def test_given_documents_match_brute_force(spark, sf_small):
 
 
 def test_blocks_of_a_leader(spark, monkeypatch):
+    monkeypatch.setattr(J, "SALTED", 5)
     monkeypatch.setattr(J, "BLOCK", 7)
     monkeypatch.setattr(J, "BROADCAST_ROWS", 0)
     rows = near_copies(random.Random(11))
