@@ -13,10 +13,12 @@ Learning is on a bounded sample of labelled rows (``TOXIC_ROWS`` and
 a hash), on the driver. The label of a text says that at least one of its
 sentences is toxic, not which, so the witness is learned too: the first positives
 are the starts of words that more toxic texts share than chance would give and no
-clean text has, and windows of subsequences of that kind; then each toxic text
+clean text has, and of every other toxic text its most telling window, however weak
+the evidence; then each toxic text
 gives its highest-scoring window as a positive if it is above 0, each clean text
 its highest-scoring one as a hard negative, and the machine is fitted again.
-Positives that don't hold against the hard negatives are dropped.
+Positives that don't hold against the hard negatives are dropped; if none does,
+those of the round before stay. A weak one stays only as the highest of its text.
 Positives also enter with letters inserted.
 Landmarks are windows of both kinds; windows are mapped by their kernel values
 with the landmarks times the inverse root of the landmark kernel, and a linear
@@ -62,7 +64,7 @@ SHAPES = (
 #: Names of subsequences: all of three symbols, then those of five in so many hash values.
 LONGER = 1 << 20
 FEATURES = SYMBOLS**3 + LONGER
-STARTS, CHANCE, LEAST_ODDS, LEAST_VALUE = (6, 8, 10), 1e-5, 3.0, 8.0
+STARTS, CHANCE, LEAST_ODDS, LEAST_TARGET = (6, 8, 10), 1e-5, 3.0, 0.9
 LANDMARKS = 256
 ROUNDS = 5
 PIECE = 1 << 20
@@ -188,9 +190,9 @@ def nystroem_svm(
 
 
 def logistic(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """(slope, offset) of a logistic curve; targets are kept off 0 and 1."""
+    """(slope, offset) of a logistic curve; targets are kept off 0 and 1, also of a few toxic texts above the threshold."""
     n1, n0 = labels.sum(), (1 - labels).sum()
-    target = np.where(labels == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    target = np.where(labels == 1, max((n1 + 1) / (n1 + 2), LEAST_TARGET), 1 / (n0 + 2))
     share = 1 / len(labels)
     x = np.stack([values, np.ones(len(values))], 1)
     w = np.array([1.0, 0.0])
@@ -256,18 +258,21 @@ def _apart(toxic: list[str], ordinary: set[bytes]) -> list[str]:
     return out
 
 
-def _more_than_chance(n_toxic: np.ndarray, n_clean: np.ndarray, toxic: int, clean: int) -> np.ndarray:
-    """Log odds of what more toxic texts have than chance would give; 0 for all else."""
-    share = toxic / (toxic + clean)
-    odds = np.log((n_toxic + 0.5) / (toxic + 1) * (clean + 1) / (n_clean + 0.5))
-    return np.where((share**n_toxic < CHANCE) & (odds > LEAST_ODDS), odds, 0)
+def _evidence(n_toxic: np.ndarray, n_clean: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """Log-likelihood ratio of what so many toxic and clean texts have; below 0 if clean texts have it more often."""
 
+    def part(n: np.ndarray, of: int) -> np.ndarray:
+        return n * np.log(np.maximum(n, 1e-9) / (of * both)) + (of - n) * np.log(np.maximum(of - n, 1e-9) / (of * (1 - both)))
 
-def _first_positives(toxic: list[str], clean: list[str]) -> Counter:
-    """Windows to begin with, and how many toxic texts have them.
+    both = np.clip((n_toxic + n_clean) / (toxic + clean), 1e-9, 1 - 1e-9)
+    return np.sign(n_toxic * clean - n_clean * toxic) * (part(n_toxic, toxic) + part(n_clean, clean))
 
-    Word starts that no clean text has and more toxic texts than chance would give; and, of texts with
-    none of them, the window with the most telling subsequences.
+
+def _first_positives(toxic: list[str], clean: list[str]) -> tuple[Counter, Counter]:
+    """Windows to begin with, sure and weak ones, and how many toxic texts have them.
+
+    Word starts that no clean text has and more toxic texts than chance would give; and, of every text with
+    none of them, the window with the most telling subsequences, whatever its value.
     """
     ordinary = {w for t in clean for w in _word_starts(t)}
     distinct = _apart(toxic, ordinary)
@@ -282,10 +287,10 @@ def _first_positives(toxic: list[str], clean: list[str]) -> Counter:
             codes, _ = stream([t])
             n[np.unique(np.concatenate([np.zeros(0, int), *(c[w] for _, c, w in subsequences(codes))]))] += 1
         numbers.append(n)
-    odds = _more_than_chance(*numbers, len(distinct), len(clean)).astype(np.float32)
-    open_ = [t for t, ws in zip(distinct, held) if not ws & found.keys()]
-    found.update(w for w in _highest(open_, odds) if _value(w, odds) > LEAST_VALUE)
-    return found
+    evidence = _evidence(*numbers, len(distinct), len(clean))
+    rate = (numbers[0] + 0.5) / (len(distinct) + 1) * (len(clean) + 1) / (numbers[1] + 0.5)
+    evidence = np.where(np.log(rate) > LEAST_ODDS, evidence, np.minimum(evidence, 0)).astype(np.float32)
+    return found, Counter(_highest([t for t, ws in zip(distinct, held) if not ws & found.keys()], evidence))
 
 
 def _highest(texts: list[str], weights: np.ndarray) -> list[bytes]:
@@ -323,11 +328,10 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         return NEVER
     rng = np.random.default_rng(8)
     ordinary = sorted(set(_highest(clean, rng.random(FEATURES).astype(np.float32))))
-    positive, hard = _first_positives(toxic, clean), {}
+    (sure, weak), hard = _first_positives(toxic, clean), {}
+    positive = sure | weak
     for _ in range(ROUNDS):
         ranked = [x for x, _ in sorted(positive.items(), key=lambda i: (-i[1], i[0]))]
-        if not ranked:
-            return NEVER
         negative = [*hard, *(x for x in ordinary if x not in hard and x not in positive)]
         marks = ranked[: LANDMARKS // 2] + negative[: LANDMARKS // 2]
         copies = _with_insertions(ranked, rng)
@@ -335,12 +339,17 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         weights, constant = nystroem_svm(copies, negative, marks, np.sqrt(importance))
         hard = dict.fromkeys(_highest(clean, weights)) | hard
         seen = Counter(x for x in _highest(toxic, weights) if _value(x, weights) + constant > 0)
-        positive = Counter({x: n for x, n in positive.items() if _value(x, weights) + constant > 0}) | seen
-        positive = Counter({x: n for x, n in positive.items() if x not in hard})
+        held = Counter({x: n for x, n in positive.items() if _value(x, weights) + constant > 0 and x not in weak}) | seen
+        held = Counter({x: n for x, n in held.items() if x not in hard})
+        if not held:
+            break
+        positive = held
     raw = Model(weights, constant, 1.0, 0.0)
     values = np.clip(raw.values(toxic + clean), -1, 1)  # the margin decides, not how far beyond it a text lies
     slope, offset = logistic(values, np.repeat([1, 0], [len(toxic), len(clean)]))
-    return Model(weights, constant, slope, offset) if slope > 0 else NEVER
+    if slope <= 0:  # the classes can't be told apart: the share of toxic texts
+        slope, offset = 0.0, float(np.log(len(toxic) / len(clean)))
+    return Model(weights, constant, slope, offset)
 
 
 # ---- Spark --------------------------------------------------------------------

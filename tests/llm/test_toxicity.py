@@ -97,3 +97,17 @@ def test_held_out_accuracy_on_given_documents(spark):
     toxic = np.array([r.toxic == 1 for r in rows])
     assert (predicted & toxic).sum() >= 0.85 * toxic.sum()
     assert (predicted & ~toxic).sum() <= 0.03 * (~toxic).sum()
+
+
+def test_few_labels_still_give_a_model(spark, sf_small):
+    docs, labels = table(spark, sf_small, "documents"), table(spark, sf_small, "labels")
+    scored = T.score(docs, T.train(docs, labels)).join(labels, "doc_id").where(~T.held_out())
+    rows = scored.select("score", "toxic").collect()
+    found = [r.score >= T.THRESHOLD for r in rows if r.toxic == 1]
+    assert len(found) > 0 and sum(found) >= 0.8 * len(found)
+    assert sum(r.score >= T.THRESHOLD for r in rows if r.toxic == 0) <= 0.05 * len(rows)
+
+
+def test_one_toxic_text_is_enough():
+    few = T.fit(["the ended vrazzok and of", "the ended and of", "of the heat and ion"], [1, 0, 0])
+    assert few.scores(["the ended vrazzok and of"])[0] >= T.THRESHOLD > few.scores(["of the heat and ion"])[0]
