@@ -1,7 +1,10 @@
 """Main text of web pages by consensus of their host.
 
 1. Each page is cut into blocks once; a block's text counts for the container it
-   stands in and, halved at each step, for the containers around that one. The
+   stands in and, halved at each step, for the containers around that one. It is
+   not halved on the way to the nearest article or main, out of a quotation, or
+   to a container (other than the body) whose other text is mostly outside
+   links: those hold headline, lead and sections beside the largest one. The
    page's points are shared out among its containers (parts of a million).
 2. Containers are named by their generalised path: tags and classes from the
    body down, digits levelled. Spark sums the votes per (host, path), partially
@@ -74,6 +77,7 @@ _CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 _KEPT = {"html", "body", "main", "article"}
+_ARTICLE = {"main", "article"}
 _NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banners?|nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|"
     r"footer|masthead|cookies?|consent|gdpr|notices?|alerts?|comments?|disqus|respond|form|newsletter|subscribe|signup|"
@@ -184,16 +188,42 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
     return found
 
 
+def _whole(page: list[tuple[str, str, int]]) -> set[str]:
+    """Containers whose parent is the better choice, as it has more of the article."""
+    text: dict[str, list[int]] = defaultdict(lambda: [0, 0])  # characters, and those outside links
+    for path, block, chars in page:
+        while True:
+            text[path][0] += len(block)
+            text[path][1] += chars
+            if "/" not in path:
+                break
+            path = path.rpartition("/")[0]
+    found = set()
+    for path, (size, chars) in text.items():
+        parent = path.rpartition("/")[0]
+        if not parent:
+            continue
+        tags = [step.partition(".")[0] for step in path.split("/")]
+        rest, rest_chars = text[parent][0] - size, text[parent][1] - chars
+        inside = tags[-1] not in _ARTICLE and any(t in _ARTICLE for t in tags[:-1])
+        beside = parent != "body" and rest > 0 and 2 * rest_chars >= rest
+        if inside or beside or tags[-1] == "blockquote":
+            found.add(path)
+    return found
+
+
 def points(page: list[tuple[str, str, int]]) -> dict[str, int]:
     """The page's million points by container path."""
     score: dict[str, float] = defaultdict(float)
+    whole = _whole(page)
     for path, _, chars in page:
         share = float(chars)
         while share >= 1:
             score[path] += share
             if "/" not in path:
                 break
-            path, share = path.rpartition("/")[0], share / 2
+            share = share if path in whole else share / 2
+            path = path.rpartition("/")[0]
     total = sum(score.values())
     return {p: int(1_000_000 * s / total) for p, s in score.items()} if total else {}
 

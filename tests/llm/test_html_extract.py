@@ -93,3 +93,20 @@ def test_given_pages_match_the_article_cut_out_by_hand(spark, sf_small):
     source = table(spark, sf_small, "pages")
     expected = {r.page_id: by_hand(r.html) for r in source.collect()}
     assert {r.page_id: r.text for r in X.extract(source).collect()} == expected
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<article><h1>T</h1><div class=content><p>{long}</p></div></article>", "T\n{long}"),
+        ("<article><h1>T</h1><section class=a>{long}</section><section class=b>short</section></article>", "T\n{long}\nshort"),
+        ("<div class=post><h1>T</h1><div class=intro>lead</div><div class=content>{long}</div></div>", "T\nlead\n{long}"),
+        ("<article><p>lead</p><table><tr><td>{long}</td></tr></table><p>end</p></article>", "lead\n{long}\nend"),
+        ("<div class=post><p>lead</p><blockquote>{long}</blockquote></div>", "lead\n{long}"),
+        ("<div id=page><div class=top><a href=/>Home</a> <a href=/a>A</a></div><div class=content>{long}</div></div>", "{long}"),
+    ],
+)
+def test_title_lead_and_sibling_sections_stay(spark, page, expected):
+    rows = [(n, "http://h.example/x", page.format(long=f"A long text of page {n}. " * 20)) for n in range(3)]
+    out = {r.page_id: r.text for r in X.extract(pages(spark, rows)).collect()}
+    assert out == {n: expected.format(long=(f"A long text of page {n}. " * 20).strip()) for n in range(3)}
