@@ -3,7 +3,8 @@
 1. Every line's quote level is the number of ``>`` that lead it. Neighbouring lines
    of one level form a passage. A message's own text is what has level 0,
    without lines such as ``Ann wrote:`` right before a quotation.
-2. Passages, and their lines, are normalised (lower case, letters and digits
+2. Passages, their paragraphs (parted by lines that are empty after their signs) and
+   their lines are normalised (lower case, letters and digits
    only) and hashed; so are the lines, paragraphs and whole own texts of the
    messages of conversations that hold a quotation.
 3. A quotation is joined to the latest earlier message of its conversation that
@@ -67,6 +68,7 @@ def _lines(quoting: DataFrame) -> DataFrame:
         .withColumn("content", F.regexp_replace("line", r"^(?:[ \t]*>)*[ \t]*", ""))
         .withColumn("new", (F.col("level") != F.lag("level", 1, -1).over(order)).cast("int"))
         .withColumn("run", F.sum("new").over(order))
+        .withColumn("paragraph", F.sum(F.col("content").rlike(r"^\s*$").cast("int")).over(order))
         .withColumn(
             "attribution",
             (F.col("level") == 0) & F.col("line").rlike(ATTRIBUTION) & (F.lead("level", 1, 0).over(order) > 0),
@@ -75,16 +77,17 @@ def _lines(quoting: DataFrame) -> DataFrame:
 
 
 def _quotations(lines: DataFrame) -> DataFrame:
-    """(mid, conv, turn, level, key, chars) of passages and of their lines."""
+    """(mid, conv, turn, level, key, chars) of passages, of their paragraphs and of their lines."""
     quoted = lines.where("level > 0")
     in_order = F.array_sort(F.collect_list(F.struct("pos", "content")))  # the lines of one message at most
-    passages = quoted.groupBy("mid", "conv", "turn", "level", "run").agg(
-        F.array_join(in_order["content"], " ").alias("passage")
-    )
+    passage = F.array_join(in_order["content"], " ").alias("passage")
+    passages = quoted.groupBy("mid", "conv", "turn", "level", "run").agg(passage)
+    paragraphs = quoted.groupBy("mid", "conv", "turn", "level", "run", "paragraph").agg(passage)
     each = quoted.select("mid", "conv", "turn", "level", F.col("content").alias("passage"))
     text = normalised(F.col("passage"))
     return (
         passages.drop("run")
+        .unionByName(paragraphs.drop("run", "paragraph"))
         .unionByName(each)
         .select("mid", "conv", "turn", "level", F.md5(text).alias("key"), F.length(text).alias("chars"))
         .where("chars > 0 AND turn IS NOT NULL")

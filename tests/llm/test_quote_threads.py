@@ -70,6 +70,16 @@ def test_threads_by_hand(spark):
     assert out[4].formatted == "<|im_start|>user\nThanks!<|im_end|>\n" and out[4].n_quoted_lines == 2
 
 
+def test_rewrapped_paragraphs_are_linked(spark):
+    rows = [
+        (1, 0, "user", "One long first\nparagraph here.\n\nA second one\nfollows it.\n\nThe third."),
+        (1, 1, "user", "Something else."),
+        (1, 2, "assistant", "> One long\n> first paragraph here.\n>\n> A second\n> one follows it.\nAgreed."),
+    ]
+    out = {r.turn: r for r in Q.reply_order(conversations(spark, rows)).collect()}
+    assert (out[2].reply_to_turn, out[2].thread_turn, out[2].depth) == (0, 0, 1) and out[2].content == "Agreed."
+
+
 def test_long_text_and_empty_table(spark):
     rows = [(1, 0, "user", "line\n" * 20_000), (1, 1, "user", "> line\n" * 20_000 + "x" * 100_000)]
     out = {r.turn: r for r in Q.reply_order(conversations(spark, rows)).collect()}
