@@ -13,7 +13,10 @@
    container is extracted with the path that it gave most points itself.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are left out wherever they stand, by tag, role, class or id.
+reader comments are left out wherever they stand, by tag, role, class or id. Names
+of a state or subject (``has-sidebar``, ``tag-ads``) don't count, a main or article is
+read in a wrapper left out by its name, and a page that names leave empty is read
+without them.
 Character references are decoded, white space inside a block becomes one space,
 blocks are joined in page order by one line break.
 
@@ -85,14 +88,16 @@ _NAMES = re.compile(
     r"|(?:^|\s)(?:header|site-header|page-header)(?=$|\s)",
     re.I,
 )
+#: Parts of names that tell a state or a subject, not what the element is.
+_STATES = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|without|no|category|cat|tag|tagged)[_-]\S*", re.I)
 _ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 
 
 class _Element:
-    __slots__ = ("tag", "path", "out", "link")
+    __slots__ = ("tag", "path", "out", "link", "named")
 
-    def __init__(self, tag: str, path: str, out: bool, link: bool):
-        self.tag, self.path, self.out, self.link = tag, path, out, link
+    def __init__(self, tag: str, path: str, out: bool, link: bool, named: bool = False):
+        self.tag, self.path, self.out, self.link, self.named = tag, path, out, link, named
 
 
 def _left_out(tag: str, attrs: dict[str, str], stack: list[_Element]) -> bool:
@@ -102,12 +107,28 @@ def _left_out(tag: str, attrs: dict[str, str], stack: list[_Element]) -> bool:
         return not any(e.tag in ("article", "main") for e in stack)
     if tag in _KEPT:
         return False
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    return "hidden" in attrs or attrs.get("role", "").lower() in _ROLES or bool(_NAMES.search(names))
+    return "hidden" in attrs or attrs.get("role", "").lower() in _ROLES
+
+
+def _named_out(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether class or id name it as no part of the text; of paragraphs and inline tags only a whole name does."""
+    if tag in _KEPT:
+        return False
+    names = _STATES.sub("", f"{attrs.get('class', '')} {attrs.get('id', '')}")
+    if tag == "p" or tag not in _BLOCK:
+        return any(m.start() == 0 and m.end() == len(n) for n in names.split() for m in [_NAMES.search(n)] if m)
+    return bool(_NAMES.search(names))
 
 
 def blocks(html: str) -> list[tuple[str, str, int]]:
-    """(container path, text, characters outside links) of each block that isn't left out, in page order."""
+    """(container path, text, characters outside links) of each block that isn't left out, in page order.
+
+    A page that names leave without text is read without heeding names.
+    """
+    return _blocks(html, True) or _blocks(html, False)
+
+
+def _blocks(html: str, by_name: bool) -> list[tuple[str, str, int]]:
     stack = [_Element("", "body", False, False)]
     found: list[tuple[str, str, int]] = []
     pieces: list[str] = []
@@ -180,8 +201,14 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
         if tag in _CONTAINER and tag != "body":
             names = sorted(set(re.sub(r"\d+", "#", attrs.get("class", "")).split()))
             path += "/" + ".".join([tag, *names])
-        out = above.out or _left_out(tag, attrs, stack)
-        stack.append(_Element(tag, path, out, above.link or tag == "a"))
+        out, named = above.out, above.named  # named: left out by names only
+        if tag in _ARTICLE and named and not any(e.tag in _ARTICLE for e in stack):
+            out = named = False
+        if _left_out(tag, attrs, stack):
+            out, named = True, False
+        elif not out and by_name and _named_out(tag, attrs):
+            out = named = True
+        stack.append(_Element(tag, path, out, above.link or tag == "a", named))
     if at < len(html) and not stack[-1].out:
         pieces.append(unescape(html[at:]))
     flush()

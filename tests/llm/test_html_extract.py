@@ -110,3 +110,20 @@ def test_title_lead_and_sibling_sections_stay(spark, page, expected):
     rows = [(n, "http://h.example/x", page.format(long=f"A long text of page {n}. " * 20)) for n in range(3)]
     out = {r.page_id: r.text for r in X.extract(pages(spark, rows)).collect()}
     assert out == {n: expected.format(long=(f"A long text of page {n}. " * 20).strip()) for n in range(3)}
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<div id=page class='has-sidebar'><p>y</p></div><p>z</p>", ["y", "z"]),
+        ("<div class='content-with-sidebar no-comments'><p>y</p></div><p>z</p>", ["y", "z"]),
+        ("<div class='post category-social tag-ads'><p>y</p></div><p>z</p>", ["y", "z"]),
+        ("<div class='page-sidebar'><article><p>y</p><div class=comments>c</div></article></div><p>z</p>", ["y", "z"]),
+        ("<article><p>y</p><div class=comments><article>c</article></div></article>", ["y"]),
+        ("<nav class=menu><article>n</article></nav><p>y</p>", ["y"]),
+        ("<p class='market-share'>a <span class='related-term'>b</span></p><p class=ad>c</p>", ["a b"]),
+        ("<div class='layout-widget'><p>y</p></div>", ["y"]),
+    ],
+)
+def test_names_of_wrappers_do_not_lose_the_article(html, expected):
+    assert texts(html) == expected
