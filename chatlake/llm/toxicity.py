@@ -12,12 +12,14 @@ Learning is on a bounded sample of labelled rows (``TOXIC_ROWS`` and
 ``CLEAN_ROWS``, of at most ``SAMPLE_CHARS`` characters each, taken in the order of
 a hash), on the driver. The label of a text says that at least one of its
 sentences is toxic, not which, so the witness is learned too: the first positives
-are the starts of words that more toxic texts share than chance would give and no
-clean text has, and of every other toxic text its most telling window, however weak
+are the starts of words that more toxic texts share than chance would give, and of every other toxic text its most telling window, however weak
 the evidence; then each toxic text
 gives its highest-scoring window as a positive if it is above 0, each clean text
 its highest-scoring one as a hard negative, and the machine is fitted again.
-Positives that don't hold against the hard negatives are dropped; if none does,
+A window counts by how many toxic and clean texts hold a word with its start: with
+a far higher rate among toxic ones and enough evidence it is no negative, so one clean text
+that quotes or mislabels an insult doesn't end it; positives without that weigh little
+once there are others. Positives that don't hold against the hard negatives are dropped; if none does,
 those of the round before stay. A weak one stays only as the highest of its text.
 Positives also enter with letters inserted.
 Landmarks are windows of both kinds; windows are mapped by their kernel values
@@ -64,9 +66,11 @@ SHAPES = (
 #: Names of subsequences: all of three symbols, then those of five in so many hash values.
 LONGER = 1 << 20
 FEATURES = SYMBOLS**3 + LONGER
-STARTS, CHANCE, LEAST_ODDS, LEAST_TARGET = (6, 8, 10), 1e-5, 3.0, 0.9
+STARTS, CHANCE, LEAST_ODDS, LEAST_EVIDENCE, LEAST_TARGET = (6, 8, 10), 1e-5, 3.0, 5.0, 0.9
 LANDMARKS = 256
 ROUNDS = 5
+#: The weight, as a number of texts, of a positive that counts don't bear out, once others are borne out.
+LIGHT = 0.01
 PIECE = 1 << 20
 
 _DROP = 255
@@ -268,18 +272,53 @@ def _evidence(n_toxic: np.ndarray, n_clean: np.ndarray, toxic: int, clean: int)
     return np.sign(n_toxic * clean - n_clean * toxic) * (part(n_toxic, toxic) + part(n_clean, clean))
 
 
-def _first_positives(toxic: list[str], clean: list[str]) -> tuple[Counter, Counter]:
-    """Windows to begin with, sure and weak ones, and how many toxic texts have them.
+def _rate(n_toxic: np.ndarray, n_clean: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """How many times as often toxic texts have it as clean ones."""
+    return (n_toxic + 0.5) / (toxic + 1) * (clean + 1) / (n_clean + 0.5)
 
-    Word starts that no clean text has and more toxic texts than chance would give; and, of every text with
-    none of them, the window with the most telling subsequences, whatever its value.
+
+class _Counts:
+    """How many toxic and clean texts hold a word with each start of a word of the toxic ones."""
+
+    def __init__(self, toxic: list[str], clean: list[str]):
+        self.toxic, self.clean = len(toxic), len(clean)
+        self.held = [_word_starts(t) for t in toxic]
+        self.n_toxic = Counter(w for ws in self.held for w in ws)
+        self.n_clean = Counter(w for t in clean for w in _word_starts(t) & self.n_toxic.keys())
+
+        self.sure = self._shared()
+
+    def _shared(self) -> Counter:
+        """Starts that more toxic texts have than chance would give, and how many."""
+        starts = list(self.n_toxic)
+        n = np.array([[self.n_toxic[w], self.n_clean[w]] for w in starts], float).reshape(-1, 2).T
+        rate, evidence = _rate(*n, self.toxic, self.clean), _evidence(*n, self.toxic, self.clean)
+        keep = (evidence > -np.log(CHANCE)) & (np.log(rate) > LEAST_ODDS)
+        return Counter({starts[i]: self.n_toxic[starts[i]] for i in np.flatnonzero(keep)})
+
+    def telling(self, window: bytes) -> bool:
+        """Whether enough toxic texts, against clean ones, have a word with the window's shorter and its longer start."""
+        for start in (window[: STARTS[0]], window[: STARTS[1]]):
+            n = np.array([self.n_toxic[start], self.n_clean[start]], float)
+            if np.log(_rate(*n, self.toxic, self.clean)) <= LEAST_ODDS or _evidence(*n, self.toxic, self.clean) <= LEAST_EVIDENCE:
+                return False
+        return True
+
+    def light(self, window: bytes) -> bool:
+        """Whether the counts do not bear the window out, though they do others."""
+        return bool(self.sure) and not any(window[:n] in self.sure for n in STARTS) and not self.telling(window)
+
+
+def _first_positives(toxic: list[str], clean: list[str]) -> tuple[Counter, Counter, _Counts]:
+    """Windows to begin with, sure and weak ones, and how many toxic texts have them; and the counts behind.
+
+    Word starts that more toxic texts have than chance would give; and, of every text with none of them, the
+    window with the most telling subsequences, whatever its value.
     """
     ordinary = {w for t in clean for w in _word_starts(t)}
     distinct = _apart(toxic, ordinary)
-    held = [_word_starts(t) - ordinary for t in distinct]
-    counts = Counter(w for ws in held for w in ws)
-    share = len(distinct) / (len(distinct) + len(clean))
-    found = Counter({w: n for w, n in counts.items() if share**n < CHANCE})
+    counts = _Counts(distinct, clean)
+    found = Counter(counts.sure)
     numbers = []
     for texts in (distinct, clean):
         n = np.zeros(FEATURES)
@@ -288,9 +327,11 @@ def _first_positives(toxic: list[str], clean: list[str]) -> tuple[Counter, Count
             n[np.unique(np.concatenate([np.zeros(0, int), *(c[w] for _, c, w in subsequences(codes))]))] += 1
         numbers.append(n)
     evidence = _evidence(*numbers, len(distinct), len(clean))
-    rate = (numbers[0] + 0.5) / (len(distinct) + 1) * (len(clean) + 1) / (numbers[1] + 0.5)
-    evidence = np.where(np.log(rate) > LEAST_ODDS, evidence, np.minimum(evidence, 0)).astype(np.float32)
-    return found, Counter(_highest([t for t, ws in zip(distinct, held) if not ws & found.keys()], evidence))
+    telling = np.log(_rate(*numbers, len(distinct), len(clean))) > LEAST_ODDS
+    strong, evidence = np.where(telling, evidence, np.minimum(evidence, 0)).astype(np.float32), evidence.astype(np.float32)
+    open_ = [t for t, ws in zip(distinct, counts.held) if not ws & found.keys()]
+    seeds = [x if _value(x, strong) > 0 else _highest([t], evidence)[0] for t, x in zip(open_, _highest(open_, strong))]
+    return found, Counter(seeds), counts
 
 
 def _highest(texts: list[str], weights: np.ndarray) -> list[bytes]:
@@ -328,16 +369,17 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         return NEVER
     rng = np.random.default_rng(8)
     ordinary = sorted(set(_highest(clean, rng.random(FEATURES).astype(np.float32))))
-    (sure, weak), hard = _first_positives(toxic, clean), {}
+    (sure, weak, counts), hard = _first_positives(toxic, clean), {}
     positive = sure | weak
     for _ in range(ROUNDS):
         ranked = [x for x, _ in sorted(positive.items(), key=lambda i: (-i[1], i[0]))]
-        negative = [*hard, *(x for x in ordinary if x not in hard and x not in positive)]
+        negative = [*(x for x in hard if x not in positive), *(x for x in ordinary if x not in hard and x not in positive)]
         marks = ranked[: LANDMARKS // 2] + negative[: LANDMARKS // 2]
-        copies = _with_insertions(ranked, rng)
-        importance = np.array([positive[x] for x in ranked] + [1] * (len(copies) - len(ranked)), float)
+        light = {x for x in ranked if counts.light(x)}
+        copies = ranked + _with_insertions(firm := [x for x in ranked if x not in light], rng)[len(firm) :]
+        importance = np.array([LIGHT if x in light else positive[x] for x in ranked] + [1] * (len(copies) - len(ranked)), float)
         weights, constant = nystroem_svm(copies, negative, marks, np.sqrt(importance))
-        hard = dict.fromkeys(_highest(clean, weights)) | hard
+        hard = dict.fromkeys(x for x in _highest(clean, weights) if not counts.telling(x)) | hard
         seen = Counter(x for x in _highest(toxic, weights) if _value(x, weights) + constant > 0)
         held = Counter({x: n for x, n in positive.items() if _value(x, weights) + constant > 0 and x not in weak}) | seen
         held = Counter({x: n for x, n in held.items() if x not in hard})

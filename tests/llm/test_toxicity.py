@@ -111,3 +111,15 @@ def test_few_labels_still_give_a_model(spark, sf_small):
 def test_one_toxic_text_is_enough():
     few = T.fit(["the ended vrazzok and of", "the ended and of", "of the heat and ion"], [1, 0, 0])
     assert few.scores(["the ended vrazzok and of"])[0] >= T.THRESHOLD > few.scores(["of the heat and ion"])[0]
+
+
+def test_flipped_labels_do_not_end_an_insult():
+    rng = random.Random(9)
+    rows = [(t, 1 - y if rng.random() < 0.01 else y) for _, t, y in corpus(random.Random(1), 900)]
+    rows += [(f"the ended {insult} and of", 0) for insult in INSULTS]
+    noisy = T.fit([t for t, _ in rows], [y for _, y in rows])
+    for insult in INSULTS:
+        assert noisy.scores([f"on the ended {insult} and of"])[0] >= T.THRESHOLD, insult
+    unseen = corpus(random.Random(2), 600)
+    predicted = noisy.scores([t for _, t, _ in unseen]) >= T.THRESHOLD
+    assert (predicted == np.array([y == 1 for *_, y in unseen])).mean() > 0.98
