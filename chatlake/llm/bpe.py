@@ -14,7 +14,7 @@ A text is halved where a letter meets white space, since no match of the
 pre-tokenisation pattern holds a letter followed by white space, until a part is
 small; parts are then joined by concatenation. A single match is looked up
 whole first, as the vocabulary asks for; longer ones are encoded by halves.
-Decoding concatenates the tokens' bytes up the same kind of tree.
+Decoding is one flat join of the tokens' bytes, not a tree; the result is the same.
 
 The vocabulary (a rank file, a parameter) is read on the driver and broadcast;
 it is the only thing that is, and it does not depend on the corpus.
