@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from chatlake.llm import exact_dedup as dedup
 from chatlake.llm import (
     bpe,
+    filter_audit,
     html_extract,
     ngram_join,
     packing,
     quality_rules,
     quote_threads,
     sharding,
+    source_divergence,
     toxicity,
     warc,
 )
@@ -80,6 +82,14 @@ def op10_sharding(spark, sf):
     return sharding.shard(table(spark, sf, "documents")).drop("group_key")
 
 
+def op12_source_divergence(spark, sf):
+    return source_divergence.audit(table(spark, sf, "documents"))
+
+
+def op13_filter_audit(spark, sf):
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def _shipped(query):
     def run(spark, sf):
         ship(spark)
@@ -101,6 +111,8 @@ QUERIES = {
         op8_toxicity,
         op9_quote_threads,
         op10_sharding,
+        op12_source_divergence,
+        op13_filter_audit,
     )
 }
 
@@ -208,4 +220,79 @@ ORACLE_SQL = {
             || regexp_replace(content, '<\|(im_start|im_end)\|>', '<| \1 |>', 'g') || '<|im_end|>' || chr(10) AS formatted
         FROM placed
     """,
+    "op12_source_divergence": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+          FROM documents),
+        w AS (SELECT i, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT i) >= 10),
+        c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+        l AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY ALL),
+        size AS (SELECT lang, count(*) AS v, sum(n)::HUGEINT AS total FROM l GROUP BY lang),
+        g AS (
+          SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total
+          FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+        p AS (
+          SELECT lang, source, term, coalesce(c.n, 0) AS n,
+            1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * v) AS p
+          FROM g JOIN size USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+        q AS (
+          SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS q FROM l JOIN size USING (lang)),
+        each AS (
+          SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(x.value, 0) AS value
+          FROM g JOIN g o ON g.lang = o.lang AND g.source <> o.source
+          LEFT JOIN (
+            SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+          ON x.lang = g.lang AND x.source = g.source AND x.item = o.source
+          UNION ALL
+          SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q)
+          FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM each)
+        SELECT lang, source, part, item, value::BIGINT AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+    """,
+    "op13_filter_audit": r"""
+        WITH d AS (
+          SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+            min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+          FROM documents),
+        l AS (
+          SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+        m AS (
+          SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+            CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END
+            || CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' ELSE '' END
+            || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) THEN 'C' ELSE '' END
+            || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+            || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS failed
+          FROM d LEFT JOIN l USING (doc_id)),
+        cells AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+        f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (
+          SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+          WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        steps AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders),
+        hit AS (
+          SELECT part, filter_order, step, n, good, toxic, failed, filter_order[step] AS x,
+            contains(failed, filter_order[step]) AS fails,
+            failed <> '' AND regexp_matches(failed, '[' || left(filter_order, step - 1) || '0]') AS gone,
+            regexp_matches(failed, '[' || left(filter_order, step) || ']') AS gone_after
+          FROM cells, steps),
+        s AS (
+          SELECT part, filter_order, step, x,
+            coalesce(sum(n) FILTER (NOT gone_after), 0) AS kept,
+            coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS removed,
+            coalesce(sum(n) FILTER (fails AND gone), 0) AS redundant,
+            coalesce(sum(n) FILTER (failed = x), 0) AS unique_fails,
+            coalesce(sum(good) FILTER (fails AND NOT gone), 0) AS good_lost,
+            coalesce(sum(toxic) FILTER (fails AND NOT gone), 0) AS toxic_lost
+          FROM hit GROUP BY ALL)
+        SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+          redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+          toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+        FROM s
+    """,
 }
