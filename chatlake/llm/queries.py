@@ -12,6 +12,7 @@ from chatlake.llm import (
     html_extract,
     ngram_join,
     packing,
+    pitman_yor,
     quality_rules,
     quote_threads,
     sharding,
@@ -82,6 +83,10 @@ def op10_sharding(spark, sf):
     return sharding.shard(table(spark, sf, "documents")).drop("group_key")
 
 
+def op11_pitman_yor(spark, sf):
+    return pitman_yor.score(table(spark, sf, "documents"))
+
+
 def op12_source_divergence(spark, sf):
     return source_divergence.audit(table(spark, sf, "documents"))
 
@@ -111,6 +116,7 @@ QUERIES = {
         op8_toxicity,
         op9_quote_threads,
         op10_sharding,
+        op11_pitman_yor,
         op12_source_divergence,
         op13_filter_audit,
     )
