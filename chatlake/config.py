@@ -43,6 +43,12 @@ class LoadConfig:
     # False: the start date is taken before the offset is applied (as the source
     # report does). True: the date of the shifted start time.
     local_date: bool = False
+    # Of a payload array that also holds elements that are no objects, load the
+    # objects (False: such a payload gives no messages, as with a plain parse).
+    salvage_payloads: bool = True
+    # Folder for payloads that could not be read as they are, with the reason, one
+    # partition per load version; None: they are only counted.
+    rejects_path: str | None = None
     # Keep one user per directory id (the lowest `id`) instead of all of them.
     dedupe_users: bool = False
     # Broadcast the user dimension only when a counted bound proves it is at

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from chatlake.schema import AGENT_ICON, ROLE_AGENT, ROLE_USER, USER_ICON
 
 
@@ -20,11 +17,3 @@ def sender_label_sql(
 def sender_icon_sql(role: str = "from_role") -> str:
     """Role 0: robot, role 1: person, otherwise the empty string."""
     return f"CASE `{role}` WHEN {ROLE_AGENT} THEN '{AGENT_ICON}' WHEN {ROLE_USER} THEN '{USER_ICON}' ELSE '' END"
-
-
-def sender_label(**names: str) -> Column:
-    return F.expr(sender_label_sql(**names))
-
-
-def sender_icon(role: str = "from_role") -> Column:
-    return F.expr(sender_icon_sql(role))

@@ -88,7 +88,3 @@ def epoch_to_ntz(col: str, minutes: int = 0, unit: str = "s") -> Column:
 
 def to_utc_ntz(col: str, data_type: T.DataType) -> Column:
     return F.expr(to_utc_ntz_sql(_name(col), data_type))
-
-
-def start_date(col: str) -> Column:
-    return F.expr(f"to_date({_name(col)})")

@@ -6,6 +6,7 @@
     spark-submit chatlake/jobs.py stream      --namespace lake --change-log ... \\
         --sink s3://.../stream_sink --checkpoint s3://.../stream_ckpt [--after-version 41]
     spark-submit chatlake/jobs.py compact     --table ... --target analytics.messages_by_date
+    spark-submit chatlake/jobs.py refresh     --table ... --target analytics.messages_by_date
 
 Each command prints one JSON line with the outcome. The session is the
 cluster's (``SparkSession.builder.getOrCreate()``); nothing here sets a master.
@@ -25,7 +26,7 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 
 from chatlake.config import LoadConfig  # noqa: E402
-from chatlake.plans.compact import compact_by_date  # noqa: E402
+from chatlake.plans.compact import compact_by_date, refresh_by_date  # noqa: E402
 from chatlake.plans.loads import incremental_load, initial_load  # noqa: E402
 from chatlake.streaming.incremental import run_incremental_stream  # noqa: E402
 
@@ -41,6 +42,8 @@ def config_from_args(a: argparse.Namespace) -> LoadConfig:
         epoch_unit=a.epoch_unit,
         local_date=a.local_date,
         dedupe_users=a.dedupe_users,
+        salvage_payloads=not a.no_salvage,
+        rejects_path=a.rejects_path,
     )
     if a.transcript_table:
         kw["transcript_table"] = a.transcript_table
@@ -51,7 +54,7 @@ def config_from_args(a: argparse.Namespace) -> LoadConfig:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="chatlake.jobs", description=__doc__.splitlines()[0])
-    p.add_argument("command", choices=["initial", "incremental", "stream", "compact"])
+    p.add_argument("command", choices=["initial", "incremental", "stream", "compact", "refresh"])
     p.add_argument("--namespace")
     p.add_argument("--transcript-table")
     p.add_argument("--user-table")
@@ -63,6 +66,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--epoch-unit", default="s", choices=["s", "ms"])
     p.add_argument("--local-date", action="store_true")
     p.add_argument("--dedupe-users", action="store_true")
+    p.add_argument("--no-salvage", action="store_true", help="drop payload arrays with unreadable elements whole")
+    p.add_argument("--rejects-path", help="folder for payloads that could not be read, with the reason")
     p.add_argument("--version", type=int, help="initial: baseline version to load as of")
     p.add_argument("--end", type=int, help="incremental: last version to load (default: latest)")
     p.add_argument("--sink", help="stream: sink folder")
@@ -73,7 +78,7 @@ def parser() -> argparse.ArgumentParser:
         type=int,
         help="stream: bound each micro-batch (availableNow drains a backlog in several batches)",
     )
-    p.add_argument("--target", help="compact: date-partitioned copy to (re)write")
+    p.add_argument("--target", help="compact, refresh: date-partitioned copy to (re)write")
     p.add_argument("--target-path", help="compact: location of the copy's files")
     return p
 
@@ -85,9 +90,12 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         return asdict(initial_load(spark, cfg, version=a.version))
     if a.command == "incremental":
         return asdict(incremental_load(spark, cfg, end=a.end))
+    if a.command in ("compact", "refresh") and not a.target:
+        raise SystemExit(f"{a.command} needs --target")
+    if a.command == "refresh":
+        dates = refresh_by_date(spark, cfg.curated_table, a.target, a.target_path)
+        return {"status": "refreshed", "target": a.target, "dates": dates}
     if a.command == "compact":
-        if not a.target:
-            raise SystemExit("compact needs --target")
         compact_by_date(spark, cfg.curated_table, a.target, a.target_path)
         return {"status": "compacted", "target": a.target}
     if not (a.sink and a.checkpoint and cfg.change_log):

@@ -12,24 +12,42 @@ dimension is proven small, else a salted shuffle join).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from chatlake.config import LoadConfig
-from chatlake.functions.payload import parse_payload
+from chatlake.functions.payload import LOST, REASON, parse_payload
 from chatlake.operators.enrich import enrich_users
 from chatlake.operators.parts import explode_parts, extract_fields, messages_only
 from chatlake.schema import PAYLOAD_SCHEMA
 
 
+def observe_payloads(parsed: DataFrame, observation: Observation) -> DataFrame:
+    """Counts what could not be read, on the job that reads it."""
+    return parsed.observe(
+        observation,
+        F.count_if(F.col("content").isNull()).alias("null_payloads"),
+        F.count_if(F.col(REASON) != "mixed_array").alias("rejected_payloads"),
+        F.count_if(F.col(REASON) == "mixed_array").alias("mixed_payloads"),
+        F.coalesce(F.sum(LOST), F.lit(0).cast("long")).alias("lost_elements"),
+    )
+
+
 def messages_from_transcripts(
-    transcripts: DataFrame, cfg: LoadConfig = LoadConfig(), carry: list[str] = ()
+    transcripts: DataFrame,
+    cfg: LoadConfig = LoadConfig(),
+    carry: list[str] = (),
+    payloads: Observation | None = None,
 ) -> DataFrame:
     """Parsed, exploded, filtered and extracted messages (12 columns, no user data).
 
     ``carry`` names extra transcript columns (e.g. the commit version) kept on
-    every message.
+    every message. ``payloads`` observes how many payloads could not be read.
     """
-    parsed = parse_payload(transcripts, PAYLOAD_SCHEMA)
+    salvage = cfg.salvage_payloads and cfg.array_col in (None, *PAYLOAD_SCHEMA.fieldNames())
+    parsed = parse_payload(transcripts, PAYLOAD_SCHEMA, salvage=salvage, reasons=payloads is not None)
+    if payloads is not None:
+        parsed = observe_payloads(parsed, payloads)
     parts = explode_parts(parsed, cfg.array_col, carry)
     return extract_fields(
         messages_only(parts),
@@ -46,9 +64,10 @@ def build_curated(
     cfg: LoadConfig = LoadConfig(),
     force_strategy: str | None = None,
     carry: list[str] = (),
+    payloads: Observation | None = None,
 ) -> DataFrame:
     """The 18-column curated message table for the given transcripts (+ ``carry``)."""
-    messages = messages_from_transcripts(transcripts, cfg, carry)
+    messages = messages_from_transcripts(transcripts, cfg, carry, payloads)
     return enrich_users(
         messages,
         users,

@@ -1,11 +1,12 @@
 """Initial and incremental loads (bounded batch).
 
 Initial load: capture the latest source version ``v`` once, load the source
-state as of ``v``, overwrite the curated table with rows stamped ``v``, then
-store ``v`` as the baseline (after the overwrite, which would drop it). Without
-a version there is no baseline, so an increment cannot load the same rows again.
-No version beyond the latest committed one is ever stored: what is committed
-later would never be read.
+state as of ``v``, and replace the curated table by rows stamped ``v`` with ``v`` as its
+baseline, both at once. Without a version there is no baseline, so an increment cannot
+load the same rows again. No version beyond the latest committed one is ever stored: what
+is committed later would never be read. A version before the latest is refused unless
+the source can be read as of it (the change log, a Delta table): rows of later
+versions would be in the table and loaded again by the next increment.
 
 Incremental load: read the baseline ``b``, capture the latest version ``e``
 once, read the change log for ``b < version <= e`` (a partition filter), keep
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.config import LoadConfig, LoadResult
+from chatlake.functions.payload import payload_rejects
 from chatlake.plans.curated import build_curated
 from chatlake.plans.sinks import append_curated, get_baseline, set_baseline, write_curated
 from chatlake.schema import COMMIT_VERSION
@@ -42,9 +44,22 @@ def _observe(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, *counts), obs
 
 
-def _details(obs: Observation) -> dict:
-    """Messages whose conversation or own time could not be read."""
-    return {k: obs.get.get(k, 0) for k in ("null_start_times", "null_message_times")}
+PAYLOAD_COUNTS = ("null_payloads", "rejected_payloads", "mixed_payloads", "lost_elements")
+
+
+def _details(obs: Observation, payloads: Observation) -> dict:
+    """Messages whose conversation or own time could not be read, payloads without content, payloads that could
+    not be read at all, those of which some elements could not, and the number of these elements."""
+    times = {k: obs.get.get(k, 0) for k in ("null_start_times", "null_message_times")}
+    return times | {k: payloads.get.get(k, 0) for k in PAYLOAD_COUNTS}
+
+
+def write_rejects(transcripts: DataFrame, cfg: LoadConfig) -> None:
+    """Unreadable payloads of ``transcripts`` (with ``_commit_version``), replacing those of the same versions."""
+    rejects = payload_rejects(transcripts, carry=[COMMIT_VERSION])
+    rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+        "compression", cfg.compression
+    ).partitionBy(COMMIT_VERSION).parquet(cfg.rejects_path)
 
 
 def initial_load(
@@ -64,6 +79,13 @@ def initial_load(
         latest = latest_version(spark, cfg.change_log, cfg.change_log_format)
         latest = -1 if latest is None else latest  # an empty log: nothing of it is loaded yet
         version = latest if version is None else min(version, latest)
+        delta = transcripts is None and cfg.change_log_format == "delta"
+        as_of = delta or transcripts is None and cfg.initial_from == "log"
+        if version < latest and not as_of:
+            raise ValueError(
+                f"version {version} is before the latest ({latest}), and the transcripts can't be read as of it: "
+                'load from the change log (initial_from="log") or leave the version out'
+            )
     if transcripts is None:
         if cfg.change_log is not None and cfg.initial_from == "log":
             changes = read_changes(spark, cfg.change_log, None, version, cfg.change_log_format)
@@ -73,11 +95,14 @@ def initial_load(
     elif "content" in transcripts.columns and "conversation_starttime" not in transcripts.columns:
         transcripts = project_transcripts(transcripts)
     users = read_users(spark, cfg) if users is None else users
-    curated, obs = _observe(build_curated(transcripts, users, cfg), "initial_load")
-    write_curated(curated, cfg.curated_table, -1 if version is None else version, cfg.curated_path, cfg.compression)
-    if version is not None:
-        set_baseline(spark, cfg.curated_table, version)
-    return LoadResult("loaded", end_version=version, messages=obs.get.get("messages", 0), details=_details(obs))
+    payloads = Observation("initial_payloads")
+    curated, obs = _observe(build_curated(transcripts, users, cfg, payloads=payloads), "initial_load")
+    stamp = -1 if version is None else version
+    if cfg.rejects_path:
+        write_rejects(transcripts.withColumn(COMMIT_VERSION, F.lit(stamp).cast("bigint")), cfg)
+    write_curated(curated, cfg.curated_table, stamp, cfg.curated_path, cfg.compression, baseline=version)
+    details = _details(obs, payloads)
+    return LoadResult("loaded", end_version=version, messages=obs.get.get("messages", 0), details=details)
 
 
 def incremental_load(
@@ -107,8 +132,12 @@ def incremental_load(
         set_baseline(spark, cfg.curated_table, latest)
         return LoadResult("no_changes", start_version=baseline + 1, end_version=latest, change_rows=0)
     users = read_users(spark, cfg) if users is None else users
-    curated = build_curated(inserts_only(changes, keep_version=True), users, cfg, carry=[COMMIT_VERSION])
+    inserts = inserts_only(changes, keep_version=True)
+    payloads = Observation("incremental_payloads")
+    curated = build_curated(inserts, users, cfg, carry=[COMMIT_VERSION], payloads=payloads)
     curated, obs = _observe(curated, "incremental_load")
+    if cfg.rejects_path:
+        write_rejects(inserts, cfg)
     append_curated(curated, cfg.curated_table, cfg.compression)
     set_baseline(spark, cfg.curated_table, latest)
     return LoadResult(
@@ -118,5 +147,5 @@ def incremental_load(
         change_rows=int(stats["change_rows"]),
         inserted_transcripts=int(stats["insert_rows"]),
         messages=obs.get.get("messages", 0),
-        details=_details(obs),
+        details=_details(obs, payloads),
     )

@@ -8,10 +8,19 @@ rerun after a crash between the write and the baseline update replaces the
 crashed rows instead of duplicating them. Spark's file commit protocol makes
 each write job all-or-nothing, and task retries after a lost executor write to
 fresh attempt files, so lost executors never leave partial output.
+
+A full write never touches what readers see: rows go to a folder of their own and become
+a table beside the old one (``stage_table``), with its partitions and its baseline; then
+the two tables change names (``swap_in``, catalog operations only). A load that
+breaks before that leaves the old table and its baseline as they were. One that breaks
+between the two renames leaves no table of that name, and the next load or baseline
+lookup ends the swap. Folders of earlier loads are left to running readers; remove them when none is left.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,38 +38,96 @@ def _ordered(curated: DataFrame) -> DataFrame:
     )
 
 
+def _default_path(spark: SparkSession, table: str) -> str:
+    """Where the catalog would put a managed table."""
+    *database, name = table.split(".")
+    database = ".".join(database) or spark.catalog.currentDatabase()
+    rows = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").collect()
+    return f"{rows[0]['info_value'].rstrip('/')}/{name}"
+
+
+def _beside(table: str) -> tuple[str, str]:
+    return f"{table}__next", f"{table}__old"
+
+
+def stage_table(
+    df: DataFrame,
+    table: str,
+    partition_by: str,
+    path: str | None = None,
+    compression: str = "zstd",
+    properties: dict[str, str] | None = None,
+) -> str:
+    """Write ``df`` to a fresh folder under ``path`` and register it beside ``table``; returns the new table's name."""
+    spark = df.sparkSession
+    finish_swap(spark, table)
+    following, _ = _beside(table)
+    folder = f"{(path or _default_path(spark, table)).rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
+    df.write.option("compression", compression).partitionBy(partition_by).parquet(folder)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {following}")
+    spark.sql(
+        f"CREATE TABLE {following} ({columns}) USING parquet PARTITIONED BY (`{partition_by}`) LOCATION '{folder}'"
+    )
+    for key, value in (properties or {}).items():
+        spark.sql(f"ALTER TABLE {following} SET TBLPROPERTIES ('{key}' = '{value}')")
+    if describe_table(spark, following).get("Partition Provider") == "Catalog":
+        spark.sql(f"ALTER TABLE {following} RECOVER PARTITIONS")  # lists this load's folder only
+    return following
+
+
+def swap_in(spark: SparkSession, table: str) -> None:
+    """Let the staged table take the place of ``table``."""
+    following, old = _beside(table)
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    spark.catalog.refreshTable(table)
+
+
+def finish_swap(spark: SparkSession, table: str) -> None:
+    """End a swap that broke between its renames."""
+    following, old = _beside(table)
+    exists = spark.catalog.tableExists
+    if not exists(table) and exists(old) and exists(following):
+        spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def stage_curated(
+    curated: DataFrame,
+    table: str,
+    version: int,
+    path: str | None = None,
+    compression: str = "zstd",
+    baseline: int | None = None,
+) -> str:
+    stamped = curated.withColumn(COMMIT_VERSION, F.lit(version).cast("bigint"))
+    properties = {} if baseline is None else {BASELINE_PROPERTY: str(int(baseline))}
+    return stage_table(_ordered(stamped), table, COMMIT_VERSION, path, compression, properties)
+
+
 def write_curated(
-    curated: DataFrame, table: str, version: int, path: str | None = None, compression: str = "zstd"
+    curated: DataFrame,
+    table: str,
+    version: int,
+    path: str | None = None,
+    compression: str = "zstd",
+    baseline: int | None = None,
 ) -> None:
-    """Overwrite the whole table with ``curated``, stamped with ``version``."""
-    stamped = curated.withColumn(COMMIT_VERSION, F.lit(version).cast("bigint"))
-    writer = (
-        _ordered(stamped)
-        .write.mode("overwrite")
-        .format("parquet")
-        .option("partitionOverwriteMode", "static")  # whatever the session prefers
-        .option("compression", compression)
-        .partitionBy(COMMIT_VERSION)
-    )
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-    curated.sparkSession.catalog.refreshTable(table)
+    """Replace the whole table by ``curated``, stamped with ``version``; rows and ``baseline`` appear together."""
+    stage_curated(curated, table, version, path, compression, baseline)
+    swap_in(curated.sparkSession, table)
 
 
-def _describe(spark: SparkSession, table: str) -> dict[str, str]:
+def describe_table(spark: SparkSession, table: str) -> dict[str, str]:
     keys = ["Location", "Partition Provider"]
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name").isin(keys)).collect()
     return {r["col_name"]: r["data_type"] for r in rows}
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    loc = _describe(spark, table).get("Location")
-    if not loc:
-        raise ValueError(f"table {table} has no location")
-    return loc
-
-
 def _register_partitions(spark: SparkSession, table: str, versions: list[int], chunk: int = 500) -> None:
     """Add the written version partitions to a catalog that tracks partitions.
 
@@ -78,7 +145,7 @@ def replace_versions(curated_with_version: DataFrame, table: str, compression: s
     Returns the versions written (observed on the write job itself).
     """
     spark = curated_with_version.sparkSession
-    info = _describe(spark, table)
+    info = describe_table(spark, table)
     location = info["Location"]
     written = Observation("written_versions")
     df = _ordered(curated_with_version).observe(
@@ -108,15 +175,20 @@ def append_curated(curated_with_version: DataFrame, table: str, compression: str
     return replace_versions(curated_with_version, table, compression)
 
 
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
 def set_baseline(spark: SparkSession, table: str, version: int) -> None:
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BASELINE_PROPERTY}' = '{int(version)}')")
 
 
 def get_baseline(spark: SparkSession, table: str) -> int:
     """The stored baseline version; BaselineMissing when absent or the table is missing."""
+    finish_swap(spark, table)
     if not spark.catalog.tableExists(table):
         raise BaselineMissing(f"table {table} does not exist: run the initial load first")
-    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    props = table_properties(spark, table)
     if BASELINE_PROPERTY not in props:
         raise BaselineMissing(
             f"no '{BASELINE_PROPERTY}' property on {table}: run the initial load first"

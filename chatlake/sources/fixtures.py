@@ -109,6 +109,24 @@ def change_log_from_transcripts(transcripts: DataFrame) -> DataFrame:
     )
 
 
+def damaged_transcripts(transcripts: DataFrame) -> DataFrame:
+    """Raw transcripts as a faulty writer might leave them: by conversation number modulo 9, payloads cut short (0), with
+    stray elements among the activities (1), no content (2), an array at the top (3), no activities (4) or an
+    object in their place (5)."""
+    kind = F.substring(F.col("id"), 6, 1 << 20).cast("bigint") % 9
+    content = F.col("content")
+    damaged = (
+        F.when(kind == 0, F.expr("substring(content, 1, length(content) - 4)"))
+        .when(kind == 1, F.replace(content, F.lit('{"activities":['), F.lit('{"activities":[5,"x",null,')))
+        .when(kind == 2, F.lit(None).cast("string"))
+        .when(kind == 3, F.lit("[]"))
+        .when(kind == 4, F.lit('{"other":1}'))
+        .when(kind == 5, F.lit('{"activities":{"type":"message"}}'))
+        .otherwise(content)
+    )
+    return transcripts.withColumn("content", damaged)
+
+
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -4,8 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Observation
+
 from chatlake.config import LoadConfig
-from chatlake.functions.payload import first_array_column, infer_payload_schema, parse_payload, sample_payload
+from chatlake.functions.payload import (
+    first_array_column,
+    infer_payload_schema,
+    parse_payload,
+    payload_rejects,
+    sample_payload,
+)
 from chatlake.operators.parts import explode_parts
 from chatlake.plans.curated import build_curated, messages_from_transcripts
 from chatlake.schema import CURATED_COLUMNS, CURATED_SCHEMA
@@ -131,3 +139,42 @@ def test_schema_inference_from_newest_sample(spark):
     merged = infer_payload_schema(spark, sample_payload(t, 2))
     assert set(merged.fieldNames()) == {"activities", "extra", "messages"}
     assert infer_payload_schema(spark, []) is None
+
+
+ODD = [
+    ("whole", '{"activities":[{"type":"message","text":"a"}]}', None, 1),
+    ("cut", '{"activities":[{"type":"message","text":"a"},{"typ', "malformed", 0),
+    ("blank", "", "malformed", 0),
+    ("number", "17", "not_object", 0),
+    ("top", '[{"type":"message","text":"a"}]', "not_object", 0),
+    ("other", '{"x":1}', "no_array", 0),
+    ("null array", '{"activities":null}', "no_array", 0),
+    ("object", '{"activities":{"type":"message","text":"a"}}', "not_array", 0),
+    ("mixed", '{"activities":[5,{"type":"message","text":"a","timestamp":"17.5","from":{"role":"1"}},[1],"s"]}', "mixed_array", 1),
+    ("stray only", '{"activities":[1,2]}', "mixed_array", 0),
+    ("none", None, None, 0),
+    ("empty", '{"activities":[]}', None, 0),
+    ("null element", '{"activities":[null,{"type":"message","text":"a"}]}', None, 1),
+    ("odd sender", '{"activities":[{"type":"message","text":"a","from":5}]}', None, 1),
+]
+
+
+def test_rejects_and_salvage_of_odd_payloads(spark):
+    t = transcripts(spark, [(i, None, None, c) for i, c, _, _ in ODD])
+    found = {r["id"]: r for r in payload_rejects(t).collect()}
+    assert {i: r.reason for i, r in found.items()} == {i: why for i, _, why, _ in ODD if why}
+    assert found["mixed"].lost_elements == 3 and found["stray only"].lost_elements == 2
+    assert found["cut"].lost_elements is None and found["cut"].content == ODD[1][1]
+    m = messages_from_transcripts(t, CFG0).groupBy("id").count().collect()
+    assert {r["id"]: r["count"] for r in m} == {i: n for i, _, _, n in ODD if n}
+    plain = messages_from_transcripts(t, LoadConfig(tz_offset_minutes=0, salvage_payloads=False))
+    assert "mixed" not in {r["id"] for r in plain.collect()}
+    one = messages_from_transcripts(t.where("id = 'mixed'"), CFG0).first()
+    assert (one.text, one.conversation_part_timestamp, one.from_role) == ("a", 17.5, 1)
+
+
+def test_salvage_reads_json_once_on_the_way(spark):
+    t = transcripts(spark, [(i, None, None, c) for i, c, _, _ in ODD])
+    for payloads in (None, Observation()):
+        m = messages_from_transcripts(t, CFG0, payloads=payloads)
+        assert m._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
