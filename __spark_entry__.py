@@ -58,7 +58,12 @@ from chatlake.sources.fixtures import (  # noqa: E402
     write_change_log,
 )
 from chatlake.sources.tables import project_transcripts, project_users, read_curated  # noqa: E402
-from chatlake.streaming.incremental import read_stream_sink, run_incremental_stream  # noqa: E402
+from chatlake.streaming.incremental import (  # noqa: E402
+    read_live_sink,
+    read_stream_sink,
+    run_incremental_stream,
+    start_live_stream,
+)
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -515,6 +520,52 @@ def q_summary_page_picked_bars(spark, sf):
     return R.summary_page(_curated(spark, sf), flt)["conversations_by_agent"]
 
 
+def q_summary_page_one_scan(spark, sf):
+    """All four visuals of the summary page in one pass, one of them with a bar picked in it."""
+    flt = dataclasses.replace(
+        PAGE_FILTER, selection=(("bot_conversationtranscriptidname", DRILL_AGENT, "conversations_by_agent"),)
+    )
+    return R.summary_page_long(_curated(spark, sf), flt)
+
+
+def q_detail_page_one_scan(spark, sf):
+    """Total, header and conversation list of the detail page in one pass, with a start time picked in the list."""
+    flt = dataclasses.replace(PAGE_FILTER, selection=(("conversation_starttime", PICKED_START, "conversation_list"),))
+    return R.detail_page_long(_curated(spark, sf), DRILL_AGENT, flt)
+
+
+def q_stream_live_users(spark, sf):
+    """One running stream; users that come between two of its batches are met by the later one."""
+    cfg = LoadConfig(
+        change_log=scratch_path(spark, "change_log"), user_table=scratch_path(spark, "users"),
+        tz_offset_minutes=CFG.tz_offset_minutes,
+    )
+    users = fixture_users(spark, sf)
+    even = F.regexp_extract("id", r"(\d+)$", 1).cast("long") % 2 == 0
+    users.where(even).write.parquet(cfg.user_table)
+    _log_part(spark, sf, cfg.change_log, 0, INITIAL_VERSION)
+    sink = scratch_path(spark, "live_sink")
+    stream = start_live_stream(
+        spark, cfg, sink, scratch_path(spark, "live_ckpt"), after_version=-1, processingTime="0 seconds"
+    )
+    try:
+        stream.processAllAvailable()
+        users.where(~even).write.mode("append").parquet(cfg.user_table)
+        _log_part(spark, sf, cfg.change_log, INITIAL_VERSION + 1, SECOND_END)
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return read_live_sink(spark, sink)
+
+
+def q_messages_enriched_heavy(spark, sf):
+    """The shuffle path for a sender of two thirds of all messages with a directory id: it alone is salted."""
+    m = messages_from_transcripts(_transcripts(spark, sf), CFG)
+    number = F.regexp_extract("from_aadObjectId", r"(\d+)$", 1).cast("long")
+    m = m.withColumn("from_aadObjectId", F.when(number % 3 > 0, F.lit("aad-1")).otherwise(F.col("from_aadObjectId")))
+    return enrich_users(m, _users(spark, sf), force_strategy="shuffle").select(*ENRICHED_COLUMNS)
+
+
 def _one_off_cfg(spark: SparkSession, **options) -> LoadConfig:
     return LoadConfig(
         curated_table=unique_name("conversation_messages"),
@@ -663,6 +714,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_counts": q_stream_counts,
     "detail_page_picked_conversations": q_detail_page_picked_conversations,
     "summary_page_picked_bars": q_summary_page_picked_bars,
+    "summary_page_one_scan": q_summary_page_one_scan,
+    "detail_page_one_scan": q_detail_page_one_scan,
+    "stream_live_users": q_stream_live_users,
+    "messages_enriched_heavy": q_messages_enriched_heavy,
     "reload_broken_after_write": q_reload_broken_after_write,
     "compacted_touched_dates": q_compacted_touched_dates,
     "payload_rejects": q_payload_rejects,
@@ -758,9 +813,9 @@ _ENRICHED_SELECT = ", ".join(f'"{c}"' for c in ENRICHED_COLUMNS)
 _SEMANTIC_COLUMNS = '''id AS "Conversation Id", conversation_starttime AS "Conversation Start DateTime",
   bot_conversationtranscriptidname AS "Agent", "bot_conversationtranscriptId" AS "Agent Id",
   "channelId" AS "Channel", text AS "Conversation Text",
-  "from_aadObjectId" AS "From Directory Object Id", from_id AS "From Id", from_role AS "From Role",
+  "from_aadObjectId" AS "From Entra Object Id", from_id AS "From Id", from_role AS "From Role",
   conversation_part_starttime AS "Conversation Part Start DateTime",
-  userentraid AS "User Directory Id", userfullname AS "User Full Name",
+  userentraid AS "User Entra Id", userfullname AS "User Full Name",
   useremailaddress AS "User Email Address", "from" AS "From",
   conversation_startdate AS "Conversation Start Date", from_icon AS "From Icon"'''
 
@@ -928,6 +983,41 @@ ORDER BY conversation_starttime DESC"""
         f"""SELECT bot_conversationtranscriptidname, count(DISTINCT id) AS conversations
 FROM c WHERE {_PAGE_WHERE} GROUP BY 1 ORDER BY conversations DESC, 1"""
     ),
+    "summary_page_one_scan": _with_c(
+        f"""SELECT 'total_conversations' AS visual, NULL::DATE AS conversation_startdate,
+  NULL::VARCHAR AS bot_conversationtranscriptidname, NULL::VARCHAR AS "channelId",
+  NULL::TIMESTAMP AS conversation_starttime, count(DISTINCT id) AS value
+FROM c WHERE {_DETAIL_WHERE}
+UNION ALL SELECT 'conversations_by_agent', NULL, bot_conversationtranscriptidname, NULL, NULL, count(DISTINCT id)
+FROM c WHERE {_PAGE_WHERE} GROUP BY bot_conversationtranscriptidname
+UNION ALL SELECT 'conversations_by_channel', NULL, NULL, "channelId", NULL, count(DISTINCT id)
+FROM c WHERE {_DETAIL_WHERE} GROUP BY "channelId"
+UNION ALL SELECT 'messages_by_date_agent', conversation_startdate, bot_conversationtranscriptidname, NULL, NULL, count(id)
+FROM c WHERE {_DETAIL_WHERE} GROUP BY conversation_startdate, bot_conversationtranscriptidname"""
+    ),
+    "detail_page_one_scan": _with_c(
+        f"""SELECT 'total_conversations' AS visual, NULL::DATE AS conversation_startdate,
+  NULL::VARCHAR AS bot_conversationtranscriptidname, NULL::VARCHAR AS "channelId",
+  NULL::TIMESTAMP AS conversation_starttime, count(DISTINCT id) AS value
+FROM c WHERE {_DETAIL_WHERE} AND conversation_starttime = TIMESTAMP '2024-01-02 07:34:00'
+UNION ALL SELECT 'agent_header', NULL, min(bot_conversationtranscriptidname), NULL, NULL, NULL
+FROM c WHERE {_DETAIL_WHERE} AND conversation_starttime = TIMESTAMP '2024-01-02 07:34:00'
+UNION ALL SELECT DISTINCT 'conversation_list', NULL::DATE, NULL, NULL, conversation_starttime, NULL::BIGINT
+FROM c WHERE {_DETAIL_WHERE}"""
+    ),
+    "messages_enriched_heavy": f"""WITH m AS (SELECT * REPLACE (
+  CASE WHEN substr("from_aadObjectId", 5)::BIGINT % 3 > 0 THEN 'aad-1' ELSE "from_aadObjectId" END AS "from_aadObjectId")
+  FROM ({_MESSAGES})),
+c AS (SELECT m.*, u.*,
+  CASE m.from_role WHEN 0 THEN m.bot_conversationtranscriptidname WHEN 1 THEN u.userfullname END AS "from",
+  CASE m.from_role WHEN 0 THEN '🤖' WHEN 1 THEN '👤' ELSE '' END AS from_icon
+  FROM m LEFT JOIN ({_USERS}) u ON m."from_aadObjectId" = u.userentraid)
+SELECT {_ENRICHED_SELECT} FROM c""",
+    "stream_live_users": f"""SELECT m.*, u.*,
+  CASE m.from_role WHEN 0 THEN m.bot_conversationtranscriptidname WHEN 1 THEN u.userfullname END AS "from",
+  CASE m.from_role WHEN 0 THEN '🤖' WHEN 1 THEN '👤' ELSE '' END AS from_icon
+FROM ({_MESSAGES}) m LEFT JOIN ({_USERS}) u ON m."from_aadObjectId" = u.userentraid
+  AND (substr(m.id, 6)::BIGINT % 10 > 4 OR substr(u.userid, 6)::BIGINT % 2 = 0)""",
     "reload_broken_after_write": f"""WITH c AS ({_CURATED})
 SELECT 'broken' AS phase, * FROM c WHERE substr(id, 6)::BIGINT % 10 <= 4
 UNION ALL SELECT 'reloaded', * FROM c""",

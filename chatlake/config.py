@@ -56,8 +56,8 @@ class LoadConfig:
     # of a gigabyte of hash relation per executor at worst); else shuffle.
     broadcast_max_rows: int = 2_000_000
     broadcast_max_bytes: int = 128 * 1024 * 1024
-    # Shuffle path only: reducers each directory id is salted over.
-    salt_buckets: int = 8
+    # Shuffle path only: most reducers that a heavy sender is dealt over (1: no salting).
+    salt_buckets: int = 1024
     # Parquet codec of the curated table: mostly message text, which zstd
     # compresses markedly better than snappy (less storage and scan I/O).
     compression: str = "zstd"

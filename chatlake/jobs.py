@@ -5,6 +5,7 @@
     spark-submit chatlake/jobs.py incremental --namespace lake --change-log ... --table ...
     spark-submit chatlake/jobs.py stream      --namespace lake --change-log ... \\
         --sink s3://.../stream_sink --checkpoint s3://.../stream_ckpt [--after-version 41]
+    spark-submit chatlake/jobs.py live        --namespace lake --change-log ... --sink ... --checkpoint ... (runs on)
     spark-submit chatlake/jobs.py compact     --table ... --target analytics.messages_by_date
     spark-submit chatlake/jobs.py refresh     --table ... --target analytics.messages_by_date
 
@@ -28,7 +29,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from chatlake.config import LoadConfig  # noqa: E402
 from chatlake.plans.compact import compact_by_date, refresh_by_date  # noqa: E402
 from chatlake.plans.loads import incremental_load, initial_load  # noqa: E402
-from chatlake.streaming.incremental import run_incremental_stream  # noqa: E402
+from chatlake.streaming.incremental import run_incremental_stream, start_live_stream  # noqa: E402
 
 
 def config_from_args(a: argparse.Namespace) -> LoadConfig:
@@ -54,7 +55,7 @@ def config_from_args(a: argparse.Namespace) -> LoadConfig:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="chatlake.jobs", description=__doc__.splitlines()[0])
-    p.add_argument("command", choices=["initial", "incremental", "stream", "compact", "refresh"])
+    p.add_argument("command", choices=["initial", "incremental", "stream", "live", "compact", "refresh"])
     p.add_argument("--namespace")
     p.add_argument("--transcript-table")
     p.add_argument("--user-table")
@@ -99,7 +100,13 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         compact_by_date(spark, cfg.curated_table, a.target, a.target_path)
         return {"status": "compacted", "target": a.target}
     if not (a.sink and a.checkpoint and cfg.change_log):
-        raise SystemExit("stream needs --change-log, --sink and --checkpoint")
+        raise SystemExit(f"{a.command} needs --change-log, --sink and --checkpoint")
+    if a.command == "live":
+        start_live_stream(
+            spark, cfg, a.sink, a.checkpoint,
+            after_version=a.after_version, max_files_per_trigger=a.max_files_per_trigger,
+        ).awaitTermination()
+        return {"status": "stopped"}
     result = run_incremental_stream(
         spark, cfg, a.sink, a.checkpoint,
         after_version=a.after_version, max_files_per_trigger=a.max_files_per_trigger,

@@ -9,13 +9,16 @@ Join strategy:
   - messages without a directory id get a spread surrogate key that can match
     nothing (an extra ``IS NOT NULL`` condition keeps the join exact), so they do
     not all hash to one reducer;
-  - a salt splits every key over ``salt_buckets`` reducers; the user side is
-    replicated once per salt value. A sender holding a third of all messages
-    is thus spread over that many tasks. AQE's skew-join split stays on as well.
+  - senders that hold a 1 / ``HEAVY_SHARE`` part of all messages or more are found by a
+    mergeable sketch of frequent keys (one aggregation over the key column), and only
+    they are salted, each over as many reducers as its share asks for; only their
+    users are replicated. Without such a sender nothing is replicated. The sketch decides where
+    rows go, never which rows match. AQE's skew-join split stays on as well.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -31,6 +34,12 @@ USER_COLUMNS = ["userid", "userentraid", "userfullname", "useremailaddress"]
 SURROGATE_PREFIX = "~nokey~"
 
 
+# A sender is heavy from this part of all messages on; there can be no more such senders than this number.
+HEAVY_SHARE = 1000
+# Keys that the sketch tracks per task and in all; it misses no key above 1 / (0.75 * TRACKED) of the rows.
+TRACKED = 1 << 15
+
+
 @dataclass(frozen=True)
 class UserSide:
     rows: int
@@ -76,25 +85,56 @@ def measure_users(renamed: DataFrame) -> UserSide:
     return UserSide(int(got["rows"]), int(got["bytes"]))
 
 
+def heavy_senders(messages: DataFrame, salt_buckets: int) -> dict[str, int]:
+    """Over how many reducers each heavy sender is dealt (at most ``HEAVY_SHARE`` senders reach the driver)."""
+    row = messages.selectExpr(
+        "count(1) AS n",
+        f"approx_top_k(from_aadObjectId, {HEAVY_SHARE}, {TRACKED}) AS keys",
+    ).first()
+    reducers = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = {k["item"]: k["count"] / row.n for k in row["keys"] or () if k["item"] is not None}
+    return {
+        key: min(salt_buckets, max(2, math.ceil(4 * share * reducers)))
+        for key, share in found.items()
+        if share * HEAVY_SHARE >= 1
+    }
+
+
+def _salts(key: str, salts: dict[str, int]) -> str:
+    """Number of salts of a key as SQL; 1 for all but the heavy ones."""
+    by_count: dict[int, list[str]] = {}
+    for name, n in salts.items():
+        by_count.setdefault(n, []).append("'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'")
+    whens = " ".join(f"WHEN {key} IN ({', '.join(names)}) THEN {n}" for n, names in by_count.items())
+    return f"(CASE {whens} ELSE 1 END)"
+
+
 def join_users(
     messages: DataFrame,
     renamed_users: DataFrame,
     broadcast_users: bool,
-    salt_buckets: int = 8,
+    salt_buckets: int = 1024,
 ) -> DataFrame:
     """Left outer join on the directory id; both keys kept, unmatched rows kept."""
     if broadcast_users:
         return messages.join(F.broadcast(renamed_users), F.expr("from_aadObjectId = userentraid"), "left")
 
-    # Shuffle path: spread NULL keys, salt every key.
+    # Shuffle path: spread NULL keys, salt heavy keys.
     spread = f"concat('{SURROGATE_PREFIX}', coalesce(id, ''), coalesce(from_id, ''))"
     m = messages.selectExpr("*", f"coalesce(from_aadObjectId, {spread}) AS _jk")
     cond = "_jk = userentraid AND from_aadObjectId IS NOT NULL"
     u = renamed_users
-    if salt_buckets > 1:
-        salt = f"CAST(pmod(xxhash64(id, conversation_part_timestamp, from_id), {salt_buckets}) AS INT)"
+    if messages.isStreaming:  # a stream can't be measured beforehand: all keys over a few reducers
+        every = min(salt_buckets, 8)
+        salts = {} if every < 2 else None
+    else:
+        salts = heavy_senders(messages, salt_buckets) if salt_buckets > 1 else {}
+    if salts is None or salts:
+        of_message = str(every) if salts is None else _salts("from_aadObjectId", salts)
+        of_user = str(every) if salts is None else _salts("userentraid", salts)
+        salt = f"CAST(pmod(xxhash64(id, conversation_part_timestamp, from_id), {of_message}) AS INT)"
         m = m.selectExpr("*", f"{salt} AS _msalt")
-        u = u.selectExpr("*", f"explode(sequence(0, {salt_buckets - 1})) AS _usalt")
+        u = u.selectExpr("*", f"explode(sequence(0, {of_user} - 1)) AS _usalt")
         cond += " AND _msalt = _usalt"
     # The size check ruled a broadcast out: say so to the planner, whose own
     # estimate (file sizes, not a proven bound) might otherwise broadcast anyway.
@@ -115,7 +155,7 @@ def enrich_users(
     dedupe: bool = False,
     broadcast_max_rows: int = 2_000_000,
     broadcast_max_bytes: int = 128 * 1024 * 1024,
-    salt_buckets: int = 8,
+    salt_buckets: int = 1024,
     force_strategy: str | None = None,
     carry: list[str] = (),
 ) -> DataFrame:

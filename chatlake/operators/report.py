@@ -11,7 +11,7 @@ before its single count is combined.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from collections.abc import Callable, Mapping
 from typing import Any, Iterable
 
@@ -132,6 +132,10 @@ class ReportFilter:
             out = out & p
         return out
 
+    def predicate_without_picks(self) -> Column | None:
+        """What all visuals have in common."""
+        return replace(self, selection=()).predicate()
+
     def apply(self, curated: DataFrame, visual: str | None = None) -> DataFrame:
         pred = self.predicate(visual)
         return curated if pred is None else curated.where(pred)
@@ -312,3 +316,63 @@ def detail_page(curated: DataFrame, agent: str | Iterable[str], flt: ReportFilte
     return Page(
         {name: (lambda n=name, v=visual: v(by_agent(flt.apply(curated, n), agents))) for name, visual in visuals.items()}
     )
+
+
+# ---- pages in one scan -------------------------------------------------------
+
+#: Key columns of a long-form page: those a visual does not group by are NULL.
+LONG_KEYS = [DATE, AGENT, CHANNEL, START]
+_SUMMARY_KEYS = {
+    "total_conversations": [],
+    "conversations_by_agent": [AGENT],
+    "conversations_by_channel": [CHANNEL],
+    "messages_by_date_agent": [DATE, AGENT],
+}
+_DETAIL_KEYS = {"total_conversations": [], "agent_header": [], "conversation_list": [START]}
+#: What a visual shows besides its keys; other visuals show distinct conversations.
+_MESSAGES, _HEADER, _LIST = "messages_by_date_agent", "agent_header", "conversation_list"
+
+
+def _page_long(curated: DataFrame, flt: ReportFilter, visuals: dict[str, list[str]]) -> DataFrame:
+    """(visual, the keys, value) of several visuals, from one scan of the curated table.
+
+    A row is dealt to the visuals whose filter it passes (filters differ in picks only), under
+    the keys of each. Rows of a visual, its keys and an id are counted first, so a large group is
+    spread over many tasks; then ids and their counts are combined per group. A page without rows still has its totals.
+    """
+    types = {f.name: f.dataType for f in curated.schema.fields}
+    shared = flt.predicate_without_picks()
+    rows = curated if shared is None else curated.where(shared)
+    branches = []
+    for name, keys in visuals.items():
+        pred = flt.predicate(name)
+        fields = [F.lit(name).alias("visual")]
+        fields += [(F.col(k) if k in keys else F.lit(None).cast(types[k])).alias(k) for k in LONG_KEYS]
+        fields.append((F.col(AGENT) if name == _HEADER else F.lit(None).cast("string")).alias("shown"))
+        fields.append((F.col("id") if name not in (_HEADER, _LIST) else F.lit(None).cast("string")).alias("id"))
+        branches.append(F.struct(*fields) if pred is None else F.when(pred, F.struct(*fields)))
+    dealt = rows.select(F.explode(F.array(*branches)).alias("v")).where("v IS NOT NULL").select("v.*", F.lit(1).alias("row"))
+    always = [n for n, keys in visuals.items() if not keys]
+    empty = curated.sparkSession.createDataFrame([(n, *[None] * 6, 0) for n in always], dealt.schema)
+    each = dealt.unionByName(empty).groupBy("visual", *LONG_KEYS, "id").agg(
+        F.count_if(F.col("row") == 1).alias("n"), F.min("shown").alias("shown")
+    )
+    ids = F.count("id")
+    messages = F.coalesce(F.sum(F.when(F.col("id").isNotNull(), F.col("n"))), F.lit(0).cast("long"))
+    value = (
+        F.when(F.col("visual") == _MESSAGES, messages).when(~F.col("visual").isin(_HEADER, _LIST), ids).alias("value")
+    )
+    out = each.groupBy("visual", *LONG_KEYS).agg(value, F.min("shown").alias("shown"))
+    agent = F.coalesce(AGENT, "shown").alias(AGENT)
+    return out.select("visual", *[agent if k == AGENT else k for k in LONG_KEYS], "value")
+
+
+def summary_page_long(curated: DataFrame, flt: ReportFilter = ReportFilter()) -> DataFrame:
+    """The four visuals of the summary page in long form."""
+    return _page_long(curated, flt, _SUMMARY_KEYS)
+
+
+def detail_page_long(curated: DataFrame, agent: str | Iterable[str], flt: ReportFilter = ReportFilter()) -> DataFrame:
+    """Total, header and conversation list of the detail page in long form (its message list is no aggregate)."""
+    agents = (agent,) if isinstance(agent, str) else tuple(agent)
+    return _page_long(by_agent(curated, agents), flt, _DETAIL_KEYS)

@@ -119,8 +119,8 @@ CURATED_SCHEMA = T.StructType(
 CURATED_COLUMNS = [f.name for f in CURATED_SCHEMA.fields]
 
 # Display names of the semantic view, in the model's column order.
-# The two hidden columns map to None. Vendor product words in the original labels
-# are replaced by neutral ones; pass your own mapping to `semantic_view` to change them.
+# The two hidden columns map to None. "Agent" and "Agent Id" stand for labels that name
+# the source project; pass your own mapping to `semantic_view` to change them.
 DISPLAY_NAMES = {
     "id": "Conversation Id",
     "conversation_starttime": "Conversation Start DateTime",
@@ -129,12 +129,12 @@ DISPLAY_NAMES = {
     "channelId": "Channel",
     "text": "Conversation Text",
     "conversation_part_timestamp": None,
-    "from_aadObjectId": "From Directory Object Id",
+    "from_aadObjectId": "From Entra Object Id",
     "from_id": "From Id",
     "from_role": "From Role",
     "conversation_part_starttime": "Conversation Part Start DateTime",
     "userid": None,
-    "userentraid": "User Directory Id",
+    "userentraid": "User Entra Id",
     "userfullname": "User Full Name",
     "useremailaddress": "User Email Address",
     "from": "From",

@@ -1,9 +1,11 @@
 """The transcript change log: versioned scans, the latest version, inserts only.
 
 The default change log is a parquet folder partitioned by ``_commit_version``
-(columns named as in Delta's change feed), so a version range is a partition
-filter: only files in the range are read (a path is still listed in full; give
-a catalog table with tracked partitions to have the range listed only). A Delta table with its
+(columns named as in Delta's change feed), or a catalog table so partitioned. Which
+versions there are is known from metadata alone: the names of the log's folders (one
+listing of its top level) or the catalog's partitions. A scan of a version range is given
+the folders of that range only, so its files are the only ones that are listed, and the latest version
+takes no Spark job. A Delta table with its
 change feed enabled is read through the same functions (``fmt="delta"``; not
 exercised here because the Delta jars are not installed).
 """
@@ -18,10 +20,37 @@ from chatlake.schema import CHANGE_TYPE, COMMIT_VERSION, INSERT
 from chatlake.sources.tables import project_transcripts
 
 
-def _scan(spark: SparkSession, source: str) -> DataFrame:
+def _folders(spark: SparkSession, source: str) -> list[str]:
+    """Names of what lies directly in a folder, in whatever file system it is; none if it doesn't exist."""
+    jvm, jsc = spark._jvm, spark.sparkContext._jsc
+    path = jvm.org.apache.hadoop.fs.Path(source)
+    files = path.getFileSystem(jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+
+
+def versions(spark: SparkSession, source: str, start: int | None = None, end: int | None = None) -> dict[int, str]:
+    """The committed versions ``start < v <= end`` of a parquet change log and the names of their partitions."""
     if is_path(source):
-        return spark.read.option("basePath", source).parquet(source)
-    return spark.table(source)
+        names = _folders(spark, source)
+    else:
+        names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {source}").collect()]
+    prefix = f"{COMMIT_VERSION}="
+    found = {int(n[len(prefix) :]): n for n in names if n.startswith(prefix)}
+    return {v: found[v] for v in sorted(found) if (start is None or v > start) and (end is None or v <= end)}
+
+
+def _scan(spark: SparkSession, source: str, start: int | None, end: int | None) -> DataFrame:
+    if not is_path(source):
+        return spark.table(source)
+    source = source.rstrip("/")
+    reader = spark.read.option("basePath", source)
+    if start is None and end is None:
+        return reader.parquet(source)
+    there = versions(spark, source)
+    inside = versions(spark, source, start, end)
+    if not inside:  # some folder for the schema, of which the filter on the version leaves nothing
+        return reader.parquet(*[f"{source}/{name}" for name in list(there.values())[:1]] or [source])
+    return reader.parquet(*[f"{source}/{name}" for name in inside.values()])
 
 
 def read_changes(
@@ -39,7 +68,7 @@ def read_changes(
             reader = reader.option("endingVersion", end)
         df = reader.table(source) if not is_path(source) else reader.load(source)
     else:
-        df = _scan(spark, source)
+        df = _scan(spark, source, start, end)
         # Predicates on the raw partition column become PartitionFilters.
         v = F.col(COMMIT_VERSION)
         if start is not None:
@@ -55,20 +84,14 @@ def latest_version(
 ) -> int | None:
     """Highest committed version of the change log, None when it is empty.
 
-    ``after``: only versions above it are looked at (a partition filter), so an
-    incremental run touches the new versions' files only; None is returned when
-    there is nothing above it.
+    ``after``: only versions above it count; None is returned when there is nothing above it.
     """
     if fmt == "delta":
         ref = f"delta.`{source}`" if is_path(source) else source
         rows = spark.sql(f"DESCRIBE HISTORY {ref} LIMIT 1").select("version").collect()
         v = int(rows[0][0]) if rows else None
         return None if v is None or (after is not None and v <= after) else v
-    df = _scan(spark, source)
-    if after is not None:
-        df = df.where(F.col(COMMIT_VERSION) > F.lit(after))
-    row = df.agg(F.max(COMMIT_VERSION)).first()
-    return None if row is None or row[0] is None else int(row[0])
+    return max(versions(spark, source, start=after), default=None)
 
 
 def inserts_only(changes: DataFrame, keep_version: bool = False) -> DataFrame:

@@ -13,13 +13,19 @@ runs one ``availableNow`` pass over what exists and stops; a schedule starts it
 anew, with the users of that time. Change and insert rows are observed on the
 query itself and summed over all its batches.
 
-The sink folder must be read as that sink's folder (its ``_spark_metadata`` log
+``start_live_stream`` is for a query that keeps running: each micro-batch is a bounded
+load (``foreachBatch``) that reads, measures and joins the user dimension as it is then, and
+replaces the sink's partition of its batch id, so a batch that runs again after a
+crash leaves one copy.
+
+The sink folder of ``start_incremental_stream`` must be read as that sink's folder (its ``_spark_metadata`` log
 decides which files count) and must not be written by the batch loads.
 """
 
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -162,6 +168,54 @@ def run_incremental_stream(
     )
 
 
+BATCH_ID = "_batch_id"
+
+
+def start_live_stream(
+    spark: SparkSession,
+    cfg: LoadConfig,
+    sink_path: str,
+    checkpoint_path: str,
+    users: Callable[[SparkSession], DataFrame] | None = None,
+    after_version: int | None = None,
+    max_files_per_trigger: int | None = None,
+    **trigger,
+) -> StreamingQuery:
+    """Start a streaming load that runs until it is stopped, with the users of each micro-batch's time.
+
+    ``users`` is called for each micro-batch (default: the configured user table); ``trigger`` as for a stream writer.
+    """
+    if cfg.change_log_format != "parquet":
+        raise ValueError(f"the stream reads a parquet change log, not {cfg.change_log_format!r}")
+    if after_version is None:
+        try:
+            after_version = get_baseline(spark, cfg.curated_table)
+        except BaselineMissing:
+            pass
+    read = users or (lambda session: read_users(session, cfg))
+
+    def load(changes: DataFrame, batch_id: int) -> None:
+        inserts = inserts_only(changes, keep_version=True)
+        curated = build_curated(inserts, read(changes.sparkSession), cfg, carry=[COMMIT_VERSION])
+        (
+            curated.withColumn(BATCH_ID, F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", cfg.compression)
+            .partitionBy(BATCH_ID)
+            .parquet(sink_path)
+        )
+
+    changes = stream_changes(spark, cfg.change_log, after_version, max_files_per_trigger)
+    writer = changes.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint_path)
+    return writer.trigger(**trigger or {"processingTime": "1 minute"}).start()
+
+
+def read_live_sink(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The rows of a live stream's sink, in curated column order."""
+    return spark.read.parquet(sink_path).select(*CURATED_COLUMNS)
+
+
 def read_stream_sink(spark: SparkSession, sink_path: str) -> DataFrame:
     """The streaming sink's committed rows, in curated column order."""
     return spark.read.parquet(sink_path).select(*CURATED_COLUMNS)

@@ -58,3 +58,40 @@ def test_inserts_only_and_stats(spark):
     assert "conversation_starttime" in ins.columns and "conversationstarttime" not in ins.columns
     s = load_stats(log).first()
     assert (s.change_rows, s.insert_rows) == (10, 6)
+
+
+def test_versions_and_ranges_from_folder_names(spark, sf_small):
+    from chatlake.schema import COMMIT_VERSION
+    from chatlake.session import scratch_path
+    from chatlake.sources.changes import latest_version, read_changes, versions
+    from chatlake.sources.fixtures import write_change_log
+
+    log = write_change_log(spark, sf_small, scratch_path(spark, "log"))
+    sc = spark.sparkContext
+    sc.setJobGroup("metadata", "versions from folder names")
+    try:
+        assert list(versions(spark, log)) == list(range(12)) and list(versions(spark, log, 4, 7)) == [5, 6, 7]
+        assert latest_version(spark, log) == 11 and latest_version(spark, log, after=11) is None
+        assert latest_version(spark, scratch_path(spark, "none")) is None
+        assert not sc.statusTracker().getJobIdsForGroup("metadata")  # no Spark job for any of it
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    whole = read_changes(spark, log).inputFiles()
+    one = read_changes(spark, log, 4, 5)
+    assert one.inputFiles() and all(f"{COMMIT_VERSION}=5/" in f for f in one.inputFiles())
+    assert len(one.inputFiles()) < len(whole)
+    assert {r[0] for r in one.select(COMMIT_VERSION).distinct().collect()} == {5}
+    assert read_changes(spark, log, 11, 99).count() == 0
+    assert read_changes(spark, log, None, 4).count() + read_changes(spark, log, 4).count() == read_changes(spark, log).count()
+
+
+def test_versions_of_a_catalog_table(spark, sf_small):
+    from chatlake.session import unique_name
+    from chatlake.sources.changes import latest_version, read_changes
+    from chatlake.sources.fixtures import change_log_from_transcripts, fixture_transcripts
+
+    table = unique_name("changes")
+    log = change_log_from_transcripts(fixture_transcripts(spark, sf_small))
+    log.write.partitionBy("_commit_version").saveAsTable(table)
+    assert latest_version(spark, table) == 11 and latest_version(spark, table, after=3) == 11
+    assert read_changes(spark, table, 10, 11).count() == log.where("_commit_version = 11").count()

@@ -13,7 +13,7 @@ from chatlake.session import scratch_path, unique_name
 from chatlake.sources.changes import inserts_only, latest_version, read_changes
 from chatlake.sources.fixtures import fixture_transcripts, fixture_users, write_change_log
 from chatlake.sources.tables import project_transcripts, project_users, read_curated
-from chatlake.streaming.incremental import read_stream_sink, run_incremental_stream
+from chatlake.streaming.incremental import read_live_sink, read_stream_sink, run_incremental_stream, start_live_stream
 
 
 @pytest.fixture(scope="module")
@@ -202,3 +202,37 @@ def test_stream_counts_equal_batch_counts_and_start_at_the_baseline(spark, log,
 def test_stream_rejects_other_formats(spark, log):
     with pytest.raises(ValueError, match="parquet"):
         run_incremental_stream(spark, LoadConfig(change_log=log, change_log_format="delta"), "s", "c")
+
+
+def test_live_stream_repeats_a_broken_batch_and_reads_users_anew(spark, log, users, one_shot):
+    cfg = _cfg(spark, log)
+    sink, ckpt = scratch_path(spark, "live"), scratch_path(spark, "live_ckpt")
+    calls = []
+
+    def now(session):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("users are not there")
+        return users
+
+    def drain():
+        q = start_live_stream(
+            spark, cfg, sink, ckpt, users=now, after_version=-1, max_files_per_trigger=2, availableNow=True
+        )
+        q.awaitTermination()
+
+    with pytest.raises(Exception, match="users are not there"):
+        drain()
+    assert 0 < read_live_sink(spark, sink).count() < len(one_shot)
+    drain()
+    assert len(calls) > 4 and _rows(read_live_sink(spark, sink)) == one_shot
+    # the last batch once more, as after a crash between its write and its commit
+    import os
+
+    commits = f"{ckpt}/commits".replace("file:", "")
+    last = max(int(f) for f in os.listdir(commits) if f.isdigit())
+    for f in (str(last), f".{last}.crc"):
+        if os.path.exists(f"{commits}/{f}"):
+            os.remove(f"{commits}/{f}")
+    drain()
+    assert _rows(read_live_sink(spark, sink)) == one_shot

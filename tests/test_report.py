@@ -175,3 +175,30 @@ def test_a_pick_spares_the_visual_it_was_made_in(curated):
     everywhere = R.summary_page(curated, R.ReportFilter(selection=(pick,)))
     assert len(everywhere["conversations_by_agent"].collect()) == 1
     assert page["total_conversations"].collect() == everywhere["total_conversations"].collect()
+
+
+def test_page_in_one_scan(spark, sf_small):
+    from chatlake.plans.sinks import write_curated
+    from chatlake.session import scratch_path, unique_name
+    from chatlake.sources.tables import read_curated
+
+    table = unique_name("cm")
+    t = project_transcripts(fixture_transcripts(spark, sf_small))
+    curated = build_curated(t, project_users(fixture_users(spark, sf_small)), LoadConfig(tz_offset_minutes=-240))
+    write_curated(curated, table, 0, scratch_path(spark, "one_scan"))
+    c = read_curated(spark, table)
+    flt = R.ReportFilter(exclude_channels=("msteams",), selection=(("agent", "Agent 1", "conversations_by_agent"),))
+    long = R.summary_page_long(c, flt)
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "text#" not in plan.split("ReadSchema")[1]
+    page = R.summary_page(c, flt)
+    got = {(r.visual, r.conversation_startdate, r.bot_conversationtranscriptidname, r.channelId): r.value for r in long.collect()}
+    expected = {("total_conversations", None, None, None): page["total_conversations"].first()[0]}
+    expected |= {("conversations_by_agent", None, a, None): n for a, n in page["conversations_by_agent"].collect()}
+    expected |= {("conversations_by_channel", None, None, x): n for x, n in page["conversations_by_channel"].collect()}
+    expected |= {("messages_by_date_agent", d, a, None): n for d, a, n in page["messages_by_date_agent"].collect()}
+    assert got == expected
+    none = R.ReportFilter(date_start="1999-01-01", date_end="1999-01-02")
+    assert [(r.visual, r.value) for r in R.summary_page_long(c, none).collect()] == [("total_conversations", 0)]
+    rest = R.detail_page_long(c, "Agent 2", none).collect()
+    assert sorted((r.visual, r.value) for r in rest) == [("agent_header", None), ("total_conversations", 0)]
