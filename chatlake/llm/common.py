@@ -58,32 +58,39 @@ BROADCAST_ROWS = 1_000_000
 
 
 def row_name() -> Column:
-    """A row's name by its doc_id and text; repeated rows share one."""
+    """A row's name by its doc_id and text; repeated rows share one. Taken together with the doc_id it stands for a
+    row: two texts of one doc_id share it with a probability of 2 ** -64."""
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
 def drop_named(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``judged`` (uid, kept, rows) names as not kept; of repeated rows one stays.
+    """``docs`` without the rows that ``judged`` (uid, doc_id, kept, rows) names as not kept; of repeated rows one stays.
 
     The names are broadcast while they are few; beyond that the join is left to the planner. Texts travel in
     the second case only.
     """
-    name = "uid"
+    name, own = "uid", "own_id"
     while name in docs.columns:
         name += "_"
-    judged = judged.select(F.col("uid").alias(name), "kept", "rows")
+    while own in docs.columns:
+        own += "_"
+    judged = judged.select(F.col("uid").alias(name), F.col("doc_id").alias(own), "kept", "rows")
 
     def small(rows: DataFrame) -> DataFrame:
         return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
-    named = docs.withColumn(name, row_name())
-    gone = judged.where(~F.col("kept")).select(name)
-    repeated = judged.where("kept AND rows > 1").select(name)
-    once = named.join(small(gone.unionByName(repeated)), name, "left_anti")
+    def join(rows: DataFrame, names: DataFrame, how: str) -> DataFrame:
+        same = (rows[name] == names[name]) & rows[own].eqNullSafe(names[own])
+        return rows.join(small(names), same, how)
+
+    named = docs.withColumns({name: row_name(), own: F.col("doc_id").cast("long")})
+    gone = judged.where(~F.col("kept")).select(name, own)
+    repeated = judged.where("kept AND rows > 1").select(name, own)
+    once = join(named, gone.unionByName(repeated), "left_anti")
     if repeated.isEmpty():
-        return once.drop(name)
-    again = named.join(small(repeated), name, "left_semi").dropDuplicates([name])
-    return once.unionByName(again).drop(name)
+        return once.drop(name, own)
+    again = join(named, repeated, "left_semi").dropDuplicates([name, own])
+    return once.unionByName(again).drop(name, own)
 
 
 def join_skewed(rows: DataFrame, groups: DataFrame, key: str, count: str, total: int) -> DataFrame:

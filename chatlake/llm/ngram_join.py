@@ -15,8 +15,12 @@ Texts with equal shingle sets are one node (``sid``) from the start. Then:
    classes of all sizes that a larger partner may have. Passages and lines that
    many texts share make no bucket, however frequent they are: a bucket
    needs a whole fragment to be the same.
-2. *Leaders.* The set with the most company leads a bucket, and each member is
-   compared with the leader, not with all others.
+2. *Leaders.* The set with the most company leads a bucket, and a member is
+   compared with the leader, not with all others. This is done in two rounds. First
+   a set meets only the leader with the most company of all its buckets; the
+   links give components. A bucket whose members are in one component already
+   can't change it and is dropped. In what is left each member meets the leader of
+   each of its buckets.
 3. *Overlaps.* The shingles that a member and its leader both have are counted
    per fragment of the order and summed per pair.
 4. *The rest.* If two members X and Y of a bucket are linked and their
@@ -163,13 +167,33 @@ def buckets_of(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame
     return stored(met.where("low < high").select("bucket", "sid").distinct(), "buckets")
 
 
-def leader_pairs(buckets: DataFrame) -> DataFrame:
-    """(sid, leader): each member of a bucket with the member that has the most company in all its buckets."""
+def _led(buckets: DataFrame) -> DataFrame:
+    """(sid, leader, company) for each member of each bucket; the leader has the most company in all its buckets."""
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     company = buckets.join(sizes, "bucket").groupBy("sid").agg(F.sum("size").alias("company"))
-    leaders = buckets.join(company, "sid").groupBy("bucket").agg(F.max(F.struct("company", "sid")).sid.alias("leader"))
-    pairs = buckets.join(leaders, "bucket").where("sid <> leader").select("sid", "leader").distinct()
-    return stored(pairs, "pairs")
+    best = F.max(F.struct("company", "sid")).alias("best")
+    leaders = buckets.join(company, "sid").groupBy("bucket").agg(best)
+    led = buckets.join(leaders, "bucket")
+    return led.select("sid", F.col("best.sid").alias("leader"), F.col("best.company").alias("company"))
+
+
+def best_leaders(buckets: DataFrame) -> DataFrame:
+    """(sid, leader): each set with the one leader that has the most company."""
+    best = _led(buckets).groupBy("sid").agg(F.max(F.struct("company", "leader")).leader.alias("leader"))
+    return stored(best.where("sid <> leader"), "best")
+
+
+def leader_pairs(buckets: DataFrame) -> DataFrame:
+    """(sid, leader): each member of a bucket with its leader."""
+    return stored(_led(buckets).where("sid <> leader").select("sid", "leader").distinct(), "pairs")
+
+
+def buckets_apart(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """The buckets whose members are not all in one component (node, root)."""
+    rooted = buckets.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left")
+    root = F.coalesce("root", "sid")
+    ends = rooted.groupBy("bucket").agg(F.min(root).alias("low"), F.max(root).alias("high"))
+    return stored(buckets.join(ends.where("low < high").select("bucket"), "bucket", "left_semi"), "apart")
 
 
 # ---- overlaps ------------------------------------------------------------------
@@ -368,6 +392,13 @@ def rest_links(members: DataFrame, share: tuple[int, int]) -> DataFrame:
     )
 
 
+def _found(met: DataFrame) -> DataFrame:
+    """The links (u, v) among what was compared."""
+    close = met.where("other IS NOT NULL").select(F.col("sid").alias("u"), F.col("other").alias("v"))
+    stars = met.where("delta IS NOT NULL AND star").select(F.col("sid").alias("u"), F.col("leader").alias("v"))
+    return close.unionByName(stars)
+
+
 # ---- the operator --------------------------------------------------------------
 
 
@@ -378,11 +409,11 @@ def classes(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE)
     without shingles).
     """
     sets = sets_of(docs, words)
-    met = compared(docs, sets, leader_pairs(buckets_of(docs, words, share)), words, share)
-    close = met.where("other IS NOT NULL").select(F.col("sid").alias("u"), F.col("other").alias("v"))
-    many = met.where("delta IS NOT NULL")
-    stars = many.where("star").select(F.col("sid").alias("u"), F.col("leader").alias("v"))
-    links = close.unionByName(stars).unionByName(rest_links(many, share))
+    buckets = buckets_of(docs, words, share)
+    first = _found(compared(docs, sets, best_leaders(buckets), words, share))
+    rest = buckets_apart(buckets, components(first))
+    met = compared(docs, sets, leader_pairs(rest), words, share)
+    links = first.unionByName(_found(met)).unionByName(rest_links(met.where("delta IS NOT NULL"), share))
     roots = components(links).select(F.col("node").alias("sid"), "root")
     # sets first: texts with one set are counted before they meet their component
     own = sets.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
@@ -405,8 +436,9 @@ def keep_one(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE
     The smallest doc_id of a class stays (null ids last). Texts without shingles stay.
     """
     found = stored(classes(docs, words, share).where("class_size > 1"), "classes")
-    uids = found.groupBy("root", "uid").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"))
+    uids = found.groupBy("root", "uid", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
-    stays = uids.groupBy("root").agg(F.min(first).uid.alias("stays"))
-    judged = uids.join(stays, "root").select("uid", (F.col("uid") == F.col("stays")).alias("kept"), "rows")
+    stays = uids.groupBy("root").agg(F.min(first).alias("stays"))
+    kept = (F.col("uid") == F.col("stays.uid")) & F.col("doc_id").eqNullSafe(F.col("stays.doc_id"))
+    judged = uids.join(stays, "root").select("uid", "doc_id", kept.alias("kept"), "rows")
     return drop_named(docs, stored(judged, "judged"))

@@ -45,7 +45,7 @@ def op3_byte_bpe(spark, sf):
 
 
 def op4_exact_dedup(spark, sf):
-    return dedup.exact_dedup(table(spark, sf, "documents")).select(
+    return dedup.larger_ids_first(table(spark, sf, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
 
