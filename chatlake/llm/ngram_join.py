@@ -16,7 +16,10 @@ Texts with equal shingle sets are one node (``sid``) from the start. Then:
    many texts share make no bucket, however frequent they are: a bucket
    needs a whole fragment to be the same.
 2. *Leaders.* The set with the most company leads a bucket, and each member is
-   compared with the leader, not with all others.
+   compared with the leader, not with all others. A set with e empty fragments has
+   (s - e) / 2 buckets of a class to spare: two linked sets that both leave so many
+   still meet in another. So a set leaves the leaders that it shares the fewest
+   buckets with, which are mostly not linked with it.
 3. *Overlaps.* The shingles that a member and its leader both have are counted
    per fragment of the order and summed per pair.
 4. *The rest.* If two members X and Y of a bucket are linked and their
@@ -51,7 +54,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import LongType, StructField, StructType
 
 from chatlake.llm.common import BROADCAST_ROWS, drop_named, join_skewed, row_name, stored
 from chatlake.llm.components import components
@@ -60,6 +62,10 @@ from chatlake.llm.shingles import mix, set_id, shingle_set
 WORDS, SHARE = 4, (85, 100)
 #: Fragments of the order in which overlaps are counted.
 PARTS = 4
+#: One fragment in so many differences is spare: linked sets have that many equal ones more than they need.
+SPARE = 4
+#: Size classes that a bucket's name can tell apart, in its lowest bits.
+CLASSES = 64
 #: Members that a leader meets at one salt, and members of a leader of more that are compared at once.
 SALTED, BLOCK = 256, 512
 
@@ -83,27 +89,40 @@ class Fragments:
         """In how many shingles two linked sets of at most ``bound`` may differ."""
         return (self.den - self.num) * 2 * bound // (self.den + self.num)
 
-    def entries(self, shingles: np.ndarray) -> np.ndarray:
-        """The names of the buckets that a set is entered in."""
+    def cuts(self, shingles: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+        """(class, each shingle's fragment, where the fragments begin, spare ones) of each class a set is entered in.
+
+        Spare fragments without a shingle are taken off; where that leaves less than none, the set needs its prefix.
+        """
         n = len(shingles)
         if not n:
-            return np.zeros(0, np.uint64)
-        out = []
+            return
         for c in range(self.class_of(n), self.class_of(n * self.den // self.num) + 1):
             most = self.differences(self.bounds[c])
             if not most:
                 continue  # linked sets of this class are equal
-            spare = 1 + most // 8
+            spare = 1 + most // SPARE
             parts = most + 1 + spare
             part = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            yield c, part, first, spare - (parts - len(first))
+
+    def entries(self, shingles: np.ndarray) -> np.ndarray:
+        """The names of the buckets that a set is entered in; their lowest bits name the class."""
+        n, out = len(shingles), []
+        for c, part, first, spare in self.cuts(shingles):
             content = np.add.reduceat(mix(shingles), first)
-            out.append(mix(content + mix(part[first] + np.uint64(c << 40))))
-            if parts - len(first) > spare:
+            names = [mix(content + mix(part[first] + np.uint64(c << 40)))]
+            if spare < 0:
                 prefix = n - -(-self.num * n // self.den) + 1
-                out.append(mix(shingles[:prefix] + np.uint64((c << 40) + (1 << 39))))
+                names.append(mix(shingles[:prefix] + np.uint64((c << 40) + (1 << 39))))
+            out += [(x & ~np.uint64(CLASSES - 1)) | np.uint64(c % CLASSES) for x in names]
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
+    def spares(self, shingles: np.ndarray) -> list[int]:
+        """class + CLASSES * buckets of that class that a set can leave, though its partners leave theirs too."""
+        return [c % CLASSES + CLASSES * (spare // 2) for c, _, _, spare in self.cuts(shingles) if spare > 1]
+
 
 def _entries(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
     """(bucket, sid) of every text."""
@@ -136,18 +155,17 @@ def _batch(buckets: list[np.ndarray], sids: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["bucket", "sid"])
 
 
-def sets_of(docs: DataFrame, words: int) -> DataFrame:
-    """(uid, doc_id, n_shingles, sid) of every row; ``uid`` names the row by its id and text."""
+def sets_of(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
+    """(uid, doc_id, n_shingles, sid, spares) of every row; ``uid`` names the row by its id and text."""
 
-    @pandas_udf(StructType([StructField("n", LongType()), StructField("sid", LongType())]))
+    @pandas_udf("n long, sid long, spares array<long>")
     def run(texts: pd.Series) -> pd.DataFrame:
+        fragments = Fragments(share)
         sets = (shingle_set(t, words) for t in texts)
-        return pd.DataFrame([(len(s), set_id(s)) for s in sets], columns=["n", "sid"])
+        return pd.DataFrame([(len(s), set_id(s), fragments.spares(s)) for s in sets], columns=["n", "sid", "spares"])
 
     named = _named(docs).withColumn("s", run(F.col("text")))
-    return stored(
-        named.select("uid", "doc_id", F.col("s.n").alias("n_shingles"), F.col("s.sid").alias("sid")), "sets"
-    )
+    return stored(named.select("uid", "doc_id", F.col("s.n").alias("n_shingles"), "s.sid", "s.spares"), "sets")
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -163,13 +181,24 @@ def buckets_of(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame
     return stored(met.where("low < high").select("bucket", "sid").distinct(), "buckets")
 
 
-def leader_pairs(buckets: DataFrame) -> DataFrame:
-    """(sid, leader): each member of a bucket with the member that has the most company in all its buckets."""
+def leader_pairs(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+    """(sid, leader): each member of a bucket with the member that has the most company in all its buckets.
+
+    A set leaves the leaders that it shares the fewest buckets with, for as long as it has spare ones in the class.
+    """
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     company = buckets.join(sizes, "bucket").groupBy("sid").agg(F.sum("size").alias("company"))
     leaders = buckets.join(company, "sid").groupBy("bucket").agg(F.max(F.struct("company", "sid")).sid.alias("leader"))
-    pairs = buckets.join(leaders, "bucket").where("sid <> leader").select("sid", "leader").distinct()
-    return stored(pairs, "pairs")
+    kind = F.col("bucket").bitwiseAND(CLASSES - 1).alias("class")
+    met = buckets.join(leaders, "bucket").where("sid <> leader").groupBy("sid", "leader", kind).agg(F.count(F.lit(1)).alias("n"))
+    one = sets.where(F.size("spares") > 0).groupBy("sid").agg(F.first("spares").alias("spares"))
+    spare = one.select("sid", F.explode("spares").alias("s")).select(
+        "sid", F.col("s").bitwiseAND(CLASSES - 1).alias("class"), F.shiftright("s", CLASSES.bit_length() - 1).alias("spare")
+    )
+    # a set has no more leaders than it has buckets
+    fewest = Window.partitionBy("sid", "class").orderBy("n", "leader").rowsBetween(Window.unboundedPreceding, 0)
+    left = met.join(spare, ["sid", "class"], "left").withColumn("left", F.sum("n").over(fewest))
+    return stored(left.where("left > coalesce(spare, 0)").select("sid", "leader").distinct(), "pairs")
 
 
 # ---- overlaps ------------------------------------------------------------------
@@ -377,8 +406,8 @@ def classes(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE)
     ``component_id`` is the smallest doc_id that links lead to, ``root`` the class's name (null for texts
     without shingles).
     """
-    sets = sets_of(docs, words)
-    met = compared(docs, sets, leader_pairs(buckets_of(docs, words, share)), words, share)
+    sets = sets_of(docs, words, share)
+    met = compared(docs, sets, leader_pairs(buckets_of(docs, words, share), sets), words, share)
     close = met.where("other IS NOT NULL").select(F.col("sid").alias("u"), F.col("other").alias("v"))
     many = met.where("delta IS NOT NULL")
     stars = many.where("star").select(F.col("sid").alias("u"), F.col("leader").alias("v"))

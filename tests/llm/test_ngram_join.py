@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from chatlake.llm import ngram_join as J
 from chatlake.llm.common import table
@@ -107,6 +108,40 @@ def test_linked_sets_share_an_entry_or_have_one_leader():
                     assert np.intersect1d(fragments.entries(base), fragments.entries(other)).size
 
 
+@pytest.mark.parametrize("share", [(85, 100), (80, 100), (9, 10)])
+def test_linked_sets_share_more_entries_than_both_may_leave(share):
+    rng = np.random.default_rng(3)
+    fragments = J.Fragments(share)
+    num, den = share
+    left = 0
+    for n in [20, 60, 200, 900]:
+        for _ in range(30):
+            base = np.unique(rng.integers(0, 2**64 - 1, n, dtype=np.uint64))
+            gone = rng.integers(0, (den - num) * n // (den + num) + 1)
+            other = np.unique(np.concatenate([base[gone:], rng.integers(0, 2**64 - 1, gone, dtype=np.uint64)]))
+            common = len(np.intersect1d(base, other))
+            if den * common < num * (len(base) + len(other) - common):
+                continue
+            met = np.intersect1d(fragments.entries(base), fragments.entries(other)) % np.uint64(J.CLASSES)
+            own, its = ({x % J.CLASSES: x // J.CLASSES for x in fragments.spares(s)} for s in (base, other))
+            # the class of the larger set is the one in which the two must meet
+            c = fragments.class_of(max(len(base), len(other)))
+            assert (met == c).sum() > own.get(c, 0) + its.get(c, 0)
+            left += own.get(c, 0) + its.get(c, 0)
+    assert left
+
+
+def test_sets_leave_leaders_of_few_common_buckets(spark):
+    rng = random.Random(8)
+    parts = [prose(rng, 100, 5000) for _ in range(6)]
+    rows = [(i, prose(rng, 150, 5000) + " " + " ".join(rng.sample(parts, 2))) for i in range(120)]
+    docs = documents(spark, rows)
+    sets, buckets = J.sets_of(docs, 4, (85, 100)), J.buckets_of(docs, 4, (85, 100))
+    all_met = J.leader_pairs(buckets, sets.withColumn("spares", F.array().cast("array<bigint>"))).count()
+    assert J.leader_pairs(buckets, sets).count() < all_met / 2
+    assert run(spark, rows, 4, (85, 100)) == brute(rows, 4, (85, 100))
+
+
 def test_awkward_rows(spark):
     assert run(spark, TEXTS, 4, (85, 100)) == brute_with_empty_alone(TEXTS)
     assert J.classes(documents(spark, [])).count() == 0
