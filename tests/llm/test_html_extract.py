@@ -127,3 +127,52 @@ def test_title_lead_and_sibling_sections_stay(spark, page, expected):
 )
 def test_names_of_wrappers_do_not_lose_the_article(html, expected):
     assert texts(html) == expected
+
+
+LONG = "A long text of the page. " * 20
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<form><div class=nav>m</div><div class=content><h1>T</h1><p>{long}<input><label>l</label></div></form><footer>f</footer>", ["T", "{long}"]),
+        ("<form><p>{long}</p></form><p>y</p>", ["{long}", "y"]),
+        ("<form><label>Name</label> Sign in to read on</form><p>{long}</p>", ["{long}"]),
+        ("<form class=login-form><p>{long}</p></form><p>y</p>", ["y"]),
+        ("<div role=form><p>x</p></div><p>{long}</p>", ["{long}"]),
+        ("<div class=banner><h1>T</h1><p>{long}</p></div><p>y</p>", ["T", "{long}", "y"]),
+        ("<div class=comments><h1>T</h1><p>{long}</p></div><p>y</p>", ["y"]),
+        ("<article><section id=social-housing>a</section><div class=share-price>b</div><div class=banner-year>c</div></article>", ["a", "b", "c"]),
+        ("<article><p>y</p><ul class=commentlist><li>c</ul><div class=commentBody>c</div></article>", ["y"]),
+        ("<div class=adbox>a</div><div class=cookieBar>b</div><div class=shareButtons>c</div><div class=sideNav__nav>d</div><p>y</p>", ["y"]),
+        ("<article><p>y</p><div class=cookie-recipes>z</div></article><div class=cookie-law>c</div>", ["y", "z"]),
+        ("<p>y</p><p style='color: red; display: none'>h</p><div style=visibility:hidden>h</div><div aria-hidden=true>h</div>", ["y"]),
+        ("<p>y</p><p style='display: block' aria-hidden=false>z</p>", ["y", "z"]),
+    ],
+)
+def test_what_is_left_out_is_weighed(html, expected):
+    assert texts(html.format(long=LONG)) == [e.format(long=LONG).strip() for e in expected]
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<h1>T {n}</h1><div class=body><p>{long}</p></div><div class=extra>x</div>", "T {n}\n{long}"),
+        ("<h1>T {n}</h1><p>lead</p><p><a href=/>All pages</a></p><div class=body><p>{long}</p></div>", "T {n}\nlead\n{long}"),
+        ("<h1><a href=/>Site</a></h1><div class=body><p>{long}</p></div>", "{long}"),
+        ("<h1>Site</h1><div class=body><h1>T</h1><p>{long}</p></div>", "T\n{long}"),
+    ],
+)
+def test_headline_before_the_winning_container(spark, page, expected):
+    rows = [(n, "http://h.example/x", page.format(n=n, long=LONG * 2)) for n in range(3)]
+    out = {r.page_id: r.text for r in X.extract(pages(spark, rows)).collect()}
+    assert out == {n: expected.format(n=n, long=(LONG * 2).strip()) for n in range(3)}
+
+
+def test_several_templates_on_one_host(spark):
+    article = "<article><h1>T{n}</h1><p>{long}</p></article><div class=extra>x</div>"
+    server = "<form><div class=nav>m</div><div class=content><h1>T{n}</h1><p>{long}</p></div></form><div class=site-footer>f</div>"
+    plain = "<h1>T{n}</h1><div class=body><p>{long}</p></div><div class=sideBar>s</div>"
+    rows = [(n, "http://h.example/x", (article, server, plain)[n % 3].format(n=n, long=LONG)) for n in range(12)]
+    out = {r.page_id: r.text for r in X.extract(pages(spark, rows)).collect()}
+    assert out == {n: f"T{n}\n{LONG.strip()}" for n in range(12)}
