@@ -8,6 +8,15 @@ subsequences of three and of five symbols that start in ``WINDOW`` neighbouring
 places of one word, each weighted by ``DECAY`` per symbol left out. An inserted character thus
 lowers the similarity to an insult but does not end it.
 
+Windows that begin a word are also read on across the boundaries after it, up to
+``REACH`` symbols (the end of a sentence is not marked in the stream). The same machine
+values them, less a price: ``ACROSS``, or more if clean texts of the sample would pass otherwise. So a space
+put into an insult doesn't end it. Insults of several ordinary words have a second
+machine: where more toxic texts than chance would give share the start of words on end, and nothing
+within one word tells, those texts are left out of the first machine's fitting and such windows, as positives,
+are set against those of clean texts, first the ones that begin alike. A text's value is the higher of both machines'.
+
+
 Learning is on a bounded sample of labelled rows (``TOXIC_ROWS`` and
 ``CLEAN_ROWS``, of at most ``SAMPLE_CHARS`` characters each, taken in the order of
 a hash), on the driver. The label of a text says that at least one of its
@@ -30,7 +39,7 @@ landmarks, so scoring is a few table look-ups per character, in numpy, over
 whole texts. A text's value is that of its highest window; a logistic curve
 fitted on the sample makes it a score.
 
-The model is one table of ``FEATURES`` weights (5 MB), whatever the corpus, and is
+The model is one or two tables of ``FEATURES`` weights (5 MB each), whatever the corpus, and is
 broadcast.
 
 Defined results: a null or empty text has the value of an empty window. Rows
@@ -42,7 +51,7 @@ scores. An empty table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -71,6 +80,9 @@ LANDMARKS = 256
 ROUNDS = 5
 #: The weight, as a number of texts, of a positive that counts don't bear out, once others are borne out.
 LIGHT = 0.01
+#: What a window costs at least that reads on across word boundaries, and the share of clean texts it may raise.
+ACROSS, RAISED = 0.1, 0.001
+REACH = WINDOW + max(shape[-1] for shape in SHAPES)
 PIECE = 1 << 20
 
 _DROP = 255
@@ -108,24 +120,30 @@ def _without(codes: np.ndarray, starts: np.ndarray, gone: np.ndarray) -> tuple[n
     return codes[~gone], starts - before[starts]
 
 
+def _name(symbols: list[np.ndarray]) -> np.ndarray:
+    """The names of subsequences, from the arrays of their first, second, ... symbols."""
+    name = symbols[0]
+    for s in symbols[1:]:
+        name = name * SYMBOLS + s
+    return name if len(symbols) == 3 else SYMBOLS**3 + (name * 0x9E3779B1 >> 16) % LONGER
+
+
+def _weight(shape: tuple[int, ...]) -> float:
+    return DECAY ** (shape[-1] - len(shape) + 1)
+
+
 def subsequences(codes: np.ndarray):
     """For each shape: (its weight, the name of the subsequence that starts at each place, whether it stays in one word)."""
     word = np.cumsum(codes == 0, dtype=np.int32)
     wide, n = codes.astype(np.int64), len(codes)
     for shape in SHAPES:
         span = shape[-1]
-        if n <= span:
-            continue
-        name = wide[: n - span]
-        for at in shape[1:]:
-            name = name * SYMBOLS + wide[at : n - span + at]
-        if len(shape) > 3:
-            name = SYMBOLS**3 + (name * 0x9E3779B1 >> 16) % LONGER
-        yield DECAY ** (span - len(shape) + 1), name, word[: n - span] == word[span:]
+        if n > span:
+            yield _weight(shape), _name([wide[at : n - span + at] for at in shape]), word[: n - span] == word[span:]
 
 
 def window_values(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The decision value, without its constant, of the window that starts at each place."""
+    """The decision value, without its constant, of the window that starts at each place, within its word."""
     value = np.zeros(len(codes))
     for decay, code, whole in subsequences(codes):
         value[: len(code)] += decay * weights[code] * whole
@@ -135,6 +153,40 @@ def window_values(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return total[np.minimum(np.arange(len(codes)) + WINDOW, ends)] - total[:-1]
 
 
+def _words(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The boundaries before words, and where each word begins among the symbols that are no boundary."""
+    at = codes == 0
+    places = np.flatnonzero(at[:-1] & ~at[1:])
+    return places, places + 1 - np.cumsum(at)[places]
+
+
+def across_values(codes: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The boundaries before words, and the value of the window that begins there and skips all boundaries after it.
+
+    It ends with its text; the price is not taken off.
+    """
+    places, first = _words(codes)
+    if not len(places):
+        return places, np.zeros(0)
+    letter = codes != 0
+    letters, n = codes[letter].astype(np.int64), int(letter.sum())
+    begins = np.zeros(len(codes), np.int32)
+    np.add.at(begins, starts, 1)
+    text = np.cumsum(begins)[letter]
+    ends = np.cumsum(np.bincount(text))[text[first]]  # of the text that each word is in
+    after = np.append(letters, np.zeros(REACH, np.int64))
+    inner, lead = np.zeros(n), np.zeros(len(places))
+    for shape in SHAPES:
+        span = shape[-1]
+        if n > span:
+            name = _name([letters[at : n - span + at] for at in shape])
+            inner[: n - span] += _weight(shape) * weights[name] * (text[: n - span] == text[span:])
+        name = _name([np.zeros(len(first), np.int64), *(after[first + at - 1] for at in shape[1:])])
+        lead += _weight(shape) * weights[name] * (first + span <= ends)
+    total = np.concatenate([[0], np.cumsum(inner)])
+    return places, lead + total[np.minimum(first + WINDOW - 1, ends)] - total[first]
+
+
 def window_features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(subsequences, weights) of one window, given from its first symbol to the end of its word or of its reach."""
     found, values = [], []
@@ -216,6 +268,10 @@ class Model:
     constant: float
     slope: float
     offset: float
+    #: What the first machine takes off a window that reads on across boundaries.
+    price: float = np.inf
+    #: The weights and the constant of the machine for insults of several words, if there are any.
+    phrases: tuple[np.ndarray, float] | None = None
 
     def values(self, texts: list[str]) -> np.ndarray:
         """The decision value of each text: that of its highest window."""
@@ -223,12 +279,19 @@ class Model:
         for t in [*texts, None]:
             if part and (t is None or size + len(t) > PIECE):
                 codes, starts = stream(part)
-                out.append(np.maximum.reduceat(window_values(codes, self.weights), starts))
+                value = window_values(codes, self.weights) + self.constant
+                if self.price < np.inf:
+                    places, across = across_values(codes, starts, self.weights)
+                    value[places] = np.maximum(value[places], across + self.constant - self.price)
+                if self.phrases:
+                    places, across = across_values(codes, starts, self.phrases[0])
+                    value[places] = np.maximum(value[places], across + self.phrases[1])
+                out.append(np.maximum.reduceat(value, starts))
                 part, size = [], 0
             if t is not None:
                 part.append(t)
                 size += len(t)
-        return np.concatenate(out) + self.constant if out else np.zeros(0)
+        return np.concatenate(out) if out else np.zeros(0)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.offset == -np.inf:
@@ -361,12 +424,106 @@ def _with_insertions(windows: list[bytes], rng: np.random.Generator) -> list[byt
     return out
 
 
+def _across(texts: list[str], weights: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The highest value of each text's windows across boundaries, and the window, without them."""
+    highest, windows = np.full(len(texts), -np.inf), []
+    for i, t in enumerate(texts):
+        codes, starts = stream([t])
+        _, values = across_values(codes, starts, weights)
+        if len(values):
+            at = int(_words(codes)[1][values.argmax()])
+            highest[i] = values.max()
+            windows.append(b"\0" + codes[codes != 0][at : at + REACH - 1].tobytes())
+    return highest, windows
+
+
+def _phrase_starts(text: str) -> dict[bytes, bytes]:
+    """The starts of words on end that reach beyond their first word, each with a window that begins so."""
+    codes, _ = stream([text])
+    places, first = _words(codes)
+    letters = codes[codes != 0].tobytes()
+    ends = np.append(first[1:], len(letters))
+    return {
+        b"\0" + letters[i : i + n - 1]: b"\0" + letters[i : i + REACH - 1]
+        for n in STARTS
+        for i, j in zip(first.tolist(), ends.tolist())
+        if j < i + n - 1 <= len(letters)
+    }
+
+
+def _phrases(toxic: list[str], clean: list[str]) -> tuple[Counter, set[str]]:
+    """Windows of insults of several words, with how many toxic texts have them, and these texts.
+
+    Their starts are shared by more toxic texts than chance would give, counted among those without a word that is.
+    """
+    ordinary = {w for t in clean for w in _word_starts(t)}
+    counts = _Counts(_apart(toxic, ordinary), clean)
+    del ordinary
+    plain = [t for t in toxic if not _word_starts(t) & counts.sure.keys()]
+    if not plain:
+        return Counter(), set()
+    held = [_phrase_starts(t) for t in plain]
+    n_toxic = Counter(w for ws in held for w in ws)
+    n_toxic = {w: n for w, n in n_toxic.items() if n > 2}
+    n_clean = Counter(w for t in clean for w in _phrase_starts(t).keys() & n_toxic.keys())
+    starts = list(n_toxic)
+    n = np.array([[n_toxic[w], n_clean[w]] for w in starts], float).reshape(-1, 2).T
+    rate, evidence = _rate(*n, len(toxic), len(clean)), _evidence(*n, len(toxic), len(clean))
+    sure = {starts[i] for i in np.flatnonzero((evidence > -np.log(CHANCE)) & (np.log(rate) > LEAST_ODDS))}
+    windows = Counter(w for ws in held for start, w in ws.items() if start in sure)
+    return windows, {t for t, ws in zip(plain, held) if ws.keys() & sure}
+
+
+def _fit_phrases(positive: Counter, clean: list[str]) -> tuple[np.ndarray, float]:
+    """A machine that tells windows of several words from those of clean texts, first the ones that begin alike."""
+    ranked = [x for x, _ in sorted(positive.items(), key=lambda i: (-i[1], i[0]))]
+    alike = {x[:4] for x in ranked}
+    negative: dict[bytes, None] = {}
+    rng = np.random.default_rng(8)
+    for t in clean:
+        codes, _ = stream([t])
+        letters, firsts = codes[codes != 0].tobytes(), _words(codes)[1].tolist()
+        windows = [b"\0" + letters[i : i + REACH - 1] for i in firsts]
+        near = [w for w in windows if w[:4] in alike and w not in positive]
+        negative |= dict.fromkeys(near[:2] + windows[:1])
+    machine = None
+    for _ in range(ROUNDS):
+        others = [x for x in negative if x not in positive]
+        order = rng.permutation(len(others))[: LANDMARKS // 2]
+        machine = nystroem_svm(ranked, others, ranked[: LANDMARKS // 2] + [others[i] for i in sorted(order)])
+        values, windows = _across(clean, machine[0])
+        hard = [w for w in windows if w not in negative and w not in positive and _value(w, machine[0]) + machine[1] > -1]
+        if not hard:
+            break
+        negative = dict.fromkeys(hard) | negative
+    return machine
+
+
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Fit the model on a sample; equal texts count once."""
     sample = list(dict.fromkeys(zip(texts, labels)))
     toxic, clean = ([t for t, y in sample if y == label] for label in (1, 0))
     if not toxic or not clean:
         return NEVER
+    windows, explained = _phrases(toxic, clean)
+    phrases = _fit_phrases(windows, clean) if windows else None
+    worded = [t for t in toxic if t not in explained]
+    if worded:
+        weights, constant = _fit_words(worded, clean)
+        value, _ = _across(clean, weights)
+        price = max(ACROSS, float(np.quantile(value, 1 - RAISED)) + constant) if np.isfinite(value).all() else np.inf
+    else:
+        weights, constant, price = np.zeros(FEATURES, np.float32), -1.0, np.inf
+    raw = Model(weights, constant, 1.0, 0.0, price, phrases)
+    values = np.clip(raw.values(toxic + clean), -1, 1)  # the margin decides, not how far beyond it a text lies
+    slope, offset = logistic(values, np.repeat([1, 0], [len(toxic), len(clean)]))
+    if slope <= 0:  # the classes can't be told apart: the share of toxic texts
+        slope, offset = 0.0, float(np.log(len(toxic) / len(clean)))
+    return replace(raw, slope=slope, offset=offset)
+
+
+def _fit_words(toxic: list[str], clean: list[str]) -> tuple[np.ndarray, float]:
+    """The first machine: weights and constant of windows within one word."""
     rng = np.random.default_rng(8)
     ordinary = sorted(set(_highest(clean, rng.random(FEATURES).astype(np.float32))))
     (sure, weak, counts), hard = _first_positives(toxic, clean), {}
@@ -386,12 +543,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         if not held:
             break
         positive = held
-    raw = Model(weights, constant, 1.0, 0.0)
-    values = np.clip(raw.values(toxic + clean), -1, 1)  # the margin decides, not how far beyond it a text lies
-    slope, offset = logistic(values, np.repeat([1, 0], [len(toxic), len(clean)]))
-    if slope <= 0:  # the classes can't be told apart: the share of toxic texts
-        slope, offset = 0.0, float(np.log(len(toxic) / len(clean)))
-    return Model(weights, constant, slope, offset)
+    return weights, constant
 
 
 # ---- Spark --------------------------------------------------------------------

@@ -44,6 +44,51 @@ def test_tolerates_gaps_and_inserted_characters(model):
             assert model.scores([f"the ended {text} and of"])[0] >= T.THRESHOLD, text
 
 
+def test_tolerates_one_and_two_inserted_spaces(model):
+    for insult in INSULTS:
+        for cuts in ([3], [5], [2, 5], [3, 6]):
+            text = " ".join(insult[a:b] for a, b in zip([0, *cuts], [*cuts, len(insult)]))
+            assert model.scores([f"the ended {text} and of"])[0] >= T.THRESHOLD, text
+
+
+def phrase_corpus(rng, n):
+    rows = []
+    for i in range(n):
+        words = ["".join(rng.choice(SYLLABLES) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(5, 60))]
+        toxic = i % 6 == 0
+        if toxic:
+            at = rng.randrange(len(words))
+            words[at:at] = ["go", "to", "hell"]
+        else:
+            for x in rng.sample(["go", "to", "hell", "going to", "hello"], 2):
+                words.insert(rng.randrange(len(words)), x)
+        rows.append((i, " ".join(words), int(toxic)))
+    return rows
+
+
+def test_insult_of_ordinary_words():
+    rows = phrase_corpus(random.Random(3), 600)
+    model = T.fit([t for _, t, _ in rows], [y for *_, y in rows])
+    rows = phrase_corpus(random.Random(4), 600)
+    predicted = model.scores([t for _, t, _ in rows]) >= T.THRESHOLD
+    toxic = np.array([y == 1 for *_, y in rows])
+    assert (predicted & toxic).sum() >= 0.9 * toxic.sum() and (predicted & ~toxic).sum() <= 0.05 * (~toxic).sum()
+
+
+def test_windows_across_boundaries_equal_the_kernel_features_and_stay_in_their_text():
+    rng = np.random.default_rng(1)
+    weights = rng.normal(size=T.FEATURES).astype(np.float32)
+    texts = ["go to hell and so on for ever", "a b", "", "x", "one", "... !", "no more of it then"]
+    codes, starts = T.stream(texts)
+    places, values = T.across_values(codes, starts, weights)
+    expected = []
+    for t in texts:
+        own, _ = T.stream([t])
+        letters = own[own != 0].tobytes()
+        expected += [T._value(b"\0" + letters[i : i + T.REACH - 1], weights) for i in T._words(own)[1]]
+    assert len(places) == len(expected) and np.allclose(values, expected, atol=1e-4)
+
+
 def test_whole_texts_are_read(model):
     clean = " ".join(random.Random(3).choice(SYLLABLES) for _ in range(60_000))
     low, high = model.scores([clean, clean + " " + INSULTS[0]])
