@@ -14,7 +14,7 @@ A text is halved where a letter meets white space, since no match of the
 pre-tokenisation pattern holds a letter followed by white space, until a part is
 small; parts are then joined by concatenation. A single match is looked up
 whole first, as the vocabulary asks for; longer ones are encoded by halves.
-Decoding is one flat join of the tokens' bytes, not a tree; the result is the same.
+Decoding goes up such a tree too: the bytes of each half, one after the other.
 
 The vocabulary (a rank file, a parameter) is read on the driver and broadcast;
 it is the only thing that is, and it does not depend on the corpus.
@@ -31,7 +31,7 @@ import base64
 import hashlib
 import heapq
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 import pandas as pd
 import regex
@@ -42,6 +42,8 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 #: Characters of a text that are matched at once.
 PART = 1 << 16
+#: Ids that decoding looks up at once.
+LEAF = 256
 #: Bytes that are merged directly.
 LEAF = 16
 #: Stands for the rank of a pair that is no token.
@@ -174,7 +176,15 @@ class Encoder:
         return ids
 
     def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        """The bytes of ``ids``: those of both halves, one after the other; lists of up to ``LEAF`` ids are looked up."""
+        ids = ids if hasattr(ids, "__getitem__") else list(ids)
+        return self._decode(ids, 0, len(ids))
+
+    def _decode(self, ids: Sequence[int], start: int, end: int) -> bytes:
+        if end - start <= LEAF:
+            return b"".join(map(self.tokens.__getitem__, ids[start:end]))
+        half = (start + end) // 2
+        return self._decode(ids, start, half) + self._decode(ids, half, end)
 
 
 # ---- Spark --------------------------------------------------------------------
