@@ -9,7 +9,8 @@ trained on its first records. An archive counts only once its name stands in
 the manifest, which Spark writes when all tasks are done, so a task that ran
 twice or died half-way leaves no records.
 
-Reading: Spark lists and reads the archives (``binaryFile``); each is walked
+Reading: the manifest's names are dealt to tasks, which open the archives (a folder
+without a manifest is listed and read by ``binaryFile``); each is walked
 frame by frame. Version line, header fields, ``Content-Length``, the closing
 blank lines and the payload digest are validated, and a record or archive that
 fails is reported in ``error`` instead of ending the job. A revisit takes its
@@ -43,6 +44,8 @@ from chatlake.llm.common import join_skewed, stored, text_or_empty
 from chatlake.session import scratch_path
 
 ARCHIVE_BYTES = 16 << 20
+#: Archives that one reading task opens, in bytes, once there are more than cores.
+TASK_BYTES = 64 << 20
 SAMPLE_BYTES = 1 << 20
 DICTIONARY_BYTES = 32 << 10
 DATE = "2024-01-01T00:00:00Z"
@@ -273,13 +276,30 @@ def write_archives(planned: DataFrame, folder: str, archive_bytes: int = ARCHIVE
     return stored(texts.mapInPandas(write, "name string, records long, bytes long"), "warc_manifest")
 
 
+def _contents(folder: str):
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, base = pyarrow.fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for name in batch["name"]:
+                with files.open_input_stream(f"{base}/{name}", compression=None) as source:
+                    yield pd.DataFrame({"name": [name], "content": [source.read()]})
+
+    return read
+
+
 def read_archives(spark: SparkSession, folder: str, manifest: DataFrame | None = None) -> DataFrame:
-    """All records of the archives in ``folder``, or of those that ``manifest`` names."""
+    """All records of the archives in ``folder``, or of those that ``manifest`` names.
+
+    The names are dealt to tasks, which open the archives themselves; the folder isn't listed then.
+    """
     schema = "path string, modificationTime timestamp, length long, content binary"
-    found = spark.read.format("binaryFile").schema(schema).option("pathGlobFilter", "*.warc.zst").load(folder)
-    found = found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    if manifest is not None:
-        found = found.join(F.broadcast(manifest.select("name")), "name", "left_semi")
+    if manifest is None:
+        found = spark.read.format("binaryFile").schema(schema).option("pathGlobFilter", "*.warc.zst").load(folder)
+        found = found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
+    else:
+        size = manifest.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).first()
+        tasks = max(1, min(size.n, spark.sparkContext.defaultParallelism), (size.bytes or 0) // TASK_BYTES)
+        found = manifest.select("name").repartition(tasks).mapInPandas(_contents(folder), "name string, content binary")
     columns = [c.split()[0] for c in READ_SCHEMA.split(", ")]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
