@@ -20,7 +20,7 @@ from chatlake.llm import (
     toxicity,
     warc,
 )
-from chatlake.llm.common import ship, table
+from chatlake.llm.common import ship, stored, table
 
 
 def op1_html_extract(spark, sf):
@@ -37,6 +37,13 @@ def op2_quality_rules(spark, sf):
     )
 
 
+def quality_ablations(spark, sf):
+    """What each rule of both policies is responsible for, all from one stored ledger."""
+    entries = stored(quality_rules.ledger(table(spark, sf, "documents")), "quality_ledger")
+    standard, base = (quality_rules.ablations(entries, p) for p in (quality_rules.STANDARD, quality_rules.BASE))
+    return standard.unionByName(base)
+
+
 def op3_byte_bpe(spark, sf):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     vocabulary = bpe.Vocabulary(spark, path, public_tokenizers.PATTERN)
@@ -108,6 +115,7 @@ QUERIES = {
     for query in (
         op1_html_extract,
         op2_quality_rules,
+        quality_ablations,
         op3_byte_bpe,
         op4_exact_dedup,
         op5_warc,
@@ -122,8 +130,8 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL = {
-    "op2_quality_rules": r"""
+#: The ledger, as ``b``.
+_LEDGER_SQL = r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
         lines AS (
@@ -152,11 +160,25 @@ ORACLE_SQL = {
             + 8 * (100 * n_dup_lines > 50 * n_lines)::BIGINT
             + 16 * (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words))::BIGINT
             + 32 * (100 * n_upper > 50 * (n_upper + n_lower))::BIGINT AS fail_bits
-          FROM m)
+          FROM m)"""
+
+ORACLE_SQL = {
+    "op2_quality_rules": _LEDGER_SQL
+    + """
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
           fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits, 'standard-1' AS policy
         FROM b
     """,
+    "quality_ablations": _LEDGER_SQL
+    + """,
+        rules(rule, bit) AS (VALUES ('too_few_words', 1), ('repeated_windows', 2), ('symbols', 4),
+          ('repeated_lines', 8), ('word_length', 16), ('shouting', 32)),
+        policies(policy, mask) AS (VALUES ('standard-1', 63), ('base-1', 3))
+        SELECT policy, rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed,
+          count(*) FILTER (fail_bits & mask = bit) AS n_failed_alone,
+          count(*) FILTER (fail_bits & mask & ~bit = 0) AS n_kept_without
+        FROM b, rules, policies WHERE mask & bit <> 0 GROUP BY policy, rule
+    """,
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
