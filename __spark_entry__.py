@@ -28,6 +28,7 @@ from chatlake.functions.payload import (  # noqa: E402
     first_array_column,
     flatten_payload,
     infer_payload_schema,
+    merged_payload_schema,
     parse_payload,
     payload_rejects,
     sample_payload,
@@ -36,7 +37,8 @@ from chatlake.operators import report as R  # noqa: E402
 from chatlake.operators.enrich import enrich_users  # noqa: E402
 from chatlake.operators.parts import PART, activity_counts, explode_parts  # noqa: E402
 from chatlake.operators.semantic import semantic_view  # noqa: E402
-from chatlake.plans.compact import compact_by_date, refresh_by_date  # noqa: E402
+from chatlake.plans.compact import compact_by_date, date_domain, refresh_by_date  # noqa: E402
+from chatlake.plans.counts import conversations_by, messages_by, read_counts, update_counts  # noqa: E402
 from chatlake.plans.curated import build_curated, messages_from_transcripts  # noqa: E402
 from chatlake.plans.loads import incremental_load, initial_load  # noqa: E402
 from chatlake.plans.sinks import replace_versions, stage_curated  # noqa: E402
@@ -140,6 +142,17 @@ def q_inferred_schema(spark, sf):
     )
 
 
+def q_merged_schema(spark, sf):
+    """The schema of all payloads together, then used to parse every transcript."""
+    t = _transcripts(spark, sf)
+    activities = F.col("content_json.activities")
+    return parse_payload(t, merged_payload_schema(t)).select(
+        "id",
+        F.size(activities).alias("activities"),
+        F.size(F.filter(activities, lambda a: a["type"] == "message")).alias("messages"),
+    )
+
+
 def q_parts_exploded(spark, sf):
     parts = explode_parts(parse_payload(_transcripts(spark, sf)))
     p = F.col(PART)
@@ -600,6 +613,40 @@ def q_compacted_touched_dates(spark, sf):
     return read_curated(spark, copy)
 
 
+def q_counts_from_state(spark, sf):
+    """The summary page's numbers from bitmaps that every load updates, in long form."""
+    cfg, users, state = _load_cfg(spark, sf), _users(spark, sf), scratch_path(spark, "counts")
+    initial_load(spark, cfg, users=users, version=INITIAL_VERSION)
+    update_counts(spark, cfg.curated_table, state)
+    for end in (FIRST_END, SECOND_END):
+        incremental_load(spark, cfg, users=users, end=end)
+        update_counts(spark, cfg.curated_table, state)
+    cells = read_counts(spark, cfg.curated_table, state)
+    none = F.lit(None).cast("string")
+    per = lambda df, visual, date, agent, channel, n: df.select(
+        F.lit(visual).alias("visual"), date.alias("date"), agent.alias("agent"), channel.alias("channel"), F.col(n).cast("long").alias("n")
+    )
+    no_date, date, agent, channel = F.lit(None).cast("date"), F.col(R.DATE), F.col(R.AGENT), F.col(R.CHANNEL)
+    return (
+        per(conversations_by(cells), "conversations", no_date, none, none, "conversations")
+        .unionByName(per(conversations_by(cells, R.AGENT), "by_agent", no_date, agent, none, "conversations"))
+        .unionByName(per(conversations_by(cells, R.CHANNEL), "by_channel", no_date, none, channel, "conversations"))
+        .unionByName(per(conversations_by(cells, R.DATE, R.AGENT), "by_date_agent", date, agent, none, "conversations"))
+        .unionByName(per(messages_by(cells, R.DATE, R.AGENT), "messages_by_date_agent", date, agent, none, "messages"))
+    )
+
+
+def q_filter_domain_dates_partitions(spark, sf):
+    """The date slicer's domain from the partitions of the reporting copy, after increments and refreshes."""
+    cfg, users = _load_cfg(spark, sf), _users(spark, sf)
+    initial_load(spark, cfg, users=users, version=INITIAL_VERSION)
+    copy, path = unique_name("conversation_messages_by_date"), scratch_path(spark, "by_date")
+    compact_by_date(spark, cfg.curated_table, copy, path)
+    incremental_load(spark, cfg, users=users, end=SECOND_END)
+    refresh_by_date(spark, cfg.curated_table, copy, path)
+    return date_domain(spark, copy)
+
+
 def q_payload_rejects(spark, sf):
     """Payloads of faulty transcripts that could not be read as they are, as two loads leave them."""
     cfg = _one_off_cfg(spark, rejects_path=scratch_path(spark, "rejects"))
@@ -727,6 +774,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "no_array_batch": q_no_array_batch,
     "messages_epoch_ms": q_messages_epoch_ms,
     "curated_deduped_users": q_curated_deduped_users,
+    "merged_schema": q_merged_schema,
+    "counts_from_state": q_counts_from_state,
+    "filter_domain_dates_partitions": q_filter_domain_dates_partitions,
 }
 
 
@@ -1043,6 +1093,22 @@ FROM conversations""",
     "messages_epoch_ms": f"""SELECT * REPLACE (
   conversation_part_timestamp * 1000 + 250 AS conversation_part_timestamp) FROM ({_MESSAGES})""",
     "curated_deduped_users": _CURATED_SELECT,
+    "merged_schema": """SELECT 'conv-' || conv_id AS id, count(*)::INT AS activities,
+  (count(*) FILTER (WHERE role <> 'system'))::INT AS messages
+FROM conversations GROUP BY conv_id""",
+    "counts_from_state": _with_c(
+        """SELECT 'conversations' AS visual, NULL::DATE AS date, NULL::VARCHAR AS agent, NULL::VARCHAR AS channel,
+  count(DISTINCT id) AS n FROM c
+UNION ALL SELECT 'by_agent', NULL, bot_conversationtranscriptidname, NULL, count(DISTINCT id) FROM c GROUP BY 3
+UNION ALL SELECT 'by_channel', NULL, NULL, "channelId", count(DISTINCT id) FROM c GROUP BY 4
+UNION ALL SELECT 'by_date_agent', conversation_startdate, bot_conversationtranscriptidname, NULL, count(DISTINCT id)
+FROM c GROUP BY 2, 3
+UNION ALL SELECT 'messages_by_date_agent', conversation_startdate, bot_conversationtranscriptidname, NULL, count(id)
+FROM c GROUP BY 2, 3"""
+    ),
+    "filter_domain_dates_partitions": _with_c(
+        "SELECT min(conversation_startdate) AS date_min, max(conversation_startdate) AS date_max FROM c"
+    ),
 }
 
 

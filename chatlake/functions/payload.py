@@ -13,6 +13,8 @@ stands behind a test of the first.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,3 +150,24 @@ def infer_payload_schema(spark: SparkSession, samples: list[str]) -> T.StructTyp
         return probe.schema["p"].dataType
     rdd = spark.sparkContext.parallelize(samples, 1)
     return spark.read.json(rdd).schema
+
+
+def merged_payload_schema(transcripts: DataFrame, content_col: str = "content") -> T.StructType | None:
+    """The schema of all payloads together; None when none is a JSON object.
+
+    One pass: each task merges the schemas of its payloads, and only the merged ones are shuffled, so cost and
+    size go with the number of fields, not of payloads. Numbers of different kinds meet in the wider one, a field whose
+    values have no common type becomes a string, and so does one that is always null. Payloads that are no object are left out.
+    """
+    payload = F.try_parse_json(content_col)
+    objects = F.when(F.schema_of_variant(payload).startswith("OBJECT"), payload)
+    merged = transcripts.agg(F.schema_of_variant_agg(objects).alias("s")).first()["s"]
+    if not merged.startswith("OBJECT<") or merged == "OBJECT<>":
+        return None
+    ddl = re.sub(r"`(?:[^`]|``)*`|\bOBJECT<>|\bOBJECT<|\b(?:VOID|VARIANT)\b(?!:)", _as_ddl, merged)
+    return T.StructType.fromDDL(f"p {ddl}").fields[0].dataType
+
+
+def _as_ddl(found: re.Match) -> str:
+    names = {"OBJECT<>": "STRING", "OBJECT<": "STRUCT<", "VOID": "STRING", "VARIANT": "STRING"}
+    return names.get(found[0], found[0])

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake.config import BaselineMissing
+from chatlake.operators.report import filter_domain_dates
 from chatlake.plans.sinks import describe_table, get_baseline, stage_table, swap_in, table_properties
 from chatlake.schema import COMMIT_VERSION, CURATED_COLUMNS
 from chatlake.sources.tables import read_curated
@@ -88,3 +89,13 @@ def refresh_by_date(
     spark.sql(f"ALTER TABLE {target_table} SET TBLPROPERTIES ('{COMPACTED_TO}' = '{now[COMPACTED_TO]}')")
     spark.catalog.refreshTable(target_table)
     return dates
+
+
+def date_domain(spark: SparkSession, copy: str) -> DataFrame:
+    """First and last start date of a copy (one row). Where the catalog tracks partitions, their names tell, as every partition
+    has rows; no file is read."""
+    if describe_table(spark, copy).get("Partition Provider") != "Catalog":
+        return filter_domain_dates(read_curated(spark, copy))
+    value = F.regexp_extract("partition", rf"^{DATE}=(\d{{4}}-\d\d-\d\d)$", 1)  # '' of the partition without a date
+    dates = spark.sql(f"SHOW PARTITIONS {copy}").select(F.when(value != "", value).cast("date").alias(DATE))
+    return filter_domain_dates(dates)
