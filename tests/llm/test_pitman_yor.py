@@ -153,3 +153,37 @@ def test_same_draws_again(spark):
     rows = [(i, prose(random.Random(i), 50, 40)) for i in range(50)]
     a, b = ({r.doc_id: r.score for r in M.score(documents(spark, rows)).collect()} for _ in range(2))
     assert a == b
+
+
+def test_a_context_is_the_whole_word_before(spark):
+    """Two words with one ending have restaurants of their own."""
+    rows = [(i, "blue p" if i % 2 else "glue q") for i in range(120)]
+    rows += [(i, "blue q") for i in range(1000, 1040) if held(i)]
+    got = M.score(documents(spark, rows)).collect()
+    met, crossed = ({r.score for r in got if r.held_out and (r.doc_id >= 1000) == far} for far in (False, True))
+    assert met and len(crossed) == 1
+    assert max(crossed) < min(met) - 0.5
+
+
+def test_owners_and_driver_tell_the_same_numbers(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 60, 200)) for i in range(80)]
+    monkeypatch.setattr(M, "CHUNK", 700)
+    by_driver = {r.doc_id: r.score for r in M.score(documents(spark, rows)).collect()}
+    monkeypatch.setattr(M, "FREQUENT", 3)
+    by_owners = {r.doc_id: r.score for r in M.score(documents(spark, rows)).collect()}
+    assert by_driver.keys() == by_owners.keys()
+    assert np.allclose([by_driver[i] for i in by_driver], [by_owners[i] for i in by_driver], rtol=1e-9)
+
+
+def test_hot_words_lie_over_all_parts(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 60, 200).replace(" w1", " the ")) for i in range(80)]
+    whole = M.score(documents(spark, rows)).cache()
+    before = M.perplexity(whole)
+    monkeypatch.setattr(M, "CHUNK", 700)
+    monkeypatch.setattr(M, "PART", 300)
+    assert len(M.deal_of(M.chunks_of(documents(spark, rows))).hot)
+    dealt = M.score(documents(spark, rows)).cache()
+    same(dealt.collect(), rows)
+    assert abs(M.perplexity(dealt) / before - 1) < 0.03
