@@ -5,6 +5,7 @@ Join strategy:
 * **Broadcast** when one aggregation over the user dimension proves it small
   (row count and string bytes under the configured bounds). Messages are never
   shuffled then, so neither hot senders nor anonymous (NULL-key) messages skew.
+  A stream sends the user side anew with each micro-batch; the bounds hold for all micro-batches of a run together.
 * **Shuffle** otherwise, with two guards against skew:
   - messages without a directory id get a spread surrogate key that can match
     nothing (an extra ``IS NOT NULL`` condition keeps the join exact), so they do
@@ -45,8 +46,8 @@ class UserSide:
     rows: int
     string_bytes: int
 
-    def fits(self, max_rows: int, max_bytes: int) -> bool:
-        return self.rows <= max_rows and self.string_bytes <= max_bytes
+    def fits(self, max_rows: int, max_bytes: int, times: int = 1) -> bool:
+        return self.rows * times <= max_rows and self.string_bytes * times <= max_bytes
 
 
 def rename_users(users: DataFrame) -> DataFrame:
@@ -114,8 +115,12 @@ def join_users(
     renamed_users: DataFrame,
     broadcast_users: bool,
     salt_buckets: int = 1024,
+    like: DataFrame | None = None,
 ) -> DataFrame:
-    """Left outer join on the directory id; both keys kept, unmatched rows kept."""
+    """Left outer join on the directory id; both keys kept, unmatched rows kept.
+
+    ``like``: for a stream, messages in which to look for heavy senders.
+    """
     if broadcast_users:
         return messages.join(F.broadcast(renamed_users), F.expr("from_aadObjectId = userentraid"), "left")
 
@@ -124,11 +129,11 @@ def join_users(
     m = messages.selectExpr("*", f"coalesce(from_aadObjectId, {spread}) AS _jk")
     cond = "_jk = userentraid AND from_aadObjectId IS NOT NULL"
     u = renamed_users
-    if messages.isStreaming:  # a stream can't be measured beforehand: all keys over a few reducers
+    if messages.isStreaming and like is None:  # nothing to measure beforehand: all keys over a few reducers
         every = min(salt_buckets, 8)
         salts = {} if every < 2 else None
     else:
-        salts = heavy_senders(messages, salt_buckets) if salt_buckets > 1 else {}
+        salts = heavy_senders(messages if like is None else like, salt_buckets) if salt_buckets > 1 else {}
     if salts is None or salts:
         of_message = str(every) if salts is None else _salts("from_aadObjectId", salts)
         of_user = str(every) if salts is None else _salts("userentraid", salts)
@@ -158,18 +163,20 @@ def enrich_users(
     salt_buckets: int = 1024,
     force_strategy: str | None = None,
     carry: list[str] = (),
+    times: int = 1,
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """Messages with user details and sender label/icon (curated column order).
 
-    ``force_strategy`` ("broadcast" / "shuffle") skips the size check; used by tests.
+    ``times``: how often the join runs (micro-batches of a stream); ``like`` as for ``join_users``. ``force_strategy`` ("broadcast" / "shuffle") skips the size check; used by tests.
     """
     renamed = rename_users(users)
     if dedupe:
         renamed = dedupe_users(renamed)
     if force_strategy is None:
         side = measure_users(renamed)
-        use_broadcast = side.fits(broadcast_max_rows, broadcast_max_bytes)
+        use_broadcast = side.fits(broadcast_max_rows, broadcast_max_bytes, times)
     else:
         use_broadcast = force_strategy == "broadcast"
-    joined = join_users(messages, renamed, use_broadcast, salt_buckets)
+    joined = join_users(messages, renamed, use_broadcast, salt_buckets, like)
     return with_sender(joined, carry)

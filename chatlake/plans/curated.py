@@ -65,8 +65,13 @@ def build_curated(
     force_strategy: str | None = None,
     carry: list[str] = (),
     payloads: Observation | None = None,
+    times: int = 1,
+    like: DataFrame | None = None,
 ) -> DataFrame:
-    """The 18-column curated message table for the given transcripts (+ ``carry``)."""
+    """The 18-column curated message table for the given transcripts (+ ``carry``).
+
+    ``times`` as for ``enrich_users``; ``like``: for a stream, transcripts in which to look for heavy senders.
+    """
     messages = messages_from_transcripts(transcripts, cfg, carry, payloads)
     return enrich_users(
         messages,
@@ -77,4 +82,6 @@ def build_curated(
         salt_buckets=cfg.salt_buckets,
         force_strategy=force_strategy,
         carry=carry,
+        times=times,
+        like=None if like is None else messages_from_transcripts(like, cfg),
     )

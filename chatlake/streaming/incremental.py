@@ -8,7 +8,9 @@ and the sink's own log commits each micro-batch exactly once, so a restarted or
 re-run query (e.g. with ``availableNow``) never duplicates rows. No watermark
 and no state store are needed because nothing is aggregated across batches.
 
-The user dimension is read, measured and joined when the query starts, so a query
+The user dimension is read, measured and joined when the query starts (each micro-batch scans it again; it is
+broadcast only if all these broadcasts together stay small, so what the driver gets does not grow with the
+number of micro-batches), so a query
 runs one ``availableNow`` pass over what exists and stops; a schedule starts it
 anew, with the users of that time. Change and insert rows are observed on the
 query itself and summed over all its batches.
@@ -87,6 +89,22 @@ def change_log_schema(spark: SparkSession, change_log: str) -> T.StructType:
         return CHANGE_LOG_SCHEMA
 
 
+def changes_now(spark: SparkSession, change_log: str, after_version: int | None = None) -> DataFrame | None:
+    """What the change log holds now, if anything."""
+    try:
+        log = spark.read.option("basePath", change_log).parquet(change_log)
+    except AnalysisException:
+        return None
+    return log if after_version is None else log.where(F.col(COMMIT_VERSION) > F.lit(after_version))
+
+
+def micro_batches(log: DataFrame | None, max_files_per_trigger: int | None) -> int:
+    """At most so many micro-batches drain the log."""
+    if log is None or not max_files_per_trigger:
+        return 1
+    return max(1, -(-len(log.inputFiles()) // max_files_per_trigger))
+
+
 def stream_changes(
     spark: SparkSession, change_log: str, after_version: int | None = None, max_files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -122,7 +140,11 @@ def curated_stream(
     counts = [F.count(F.lit(1)).alias("change_rows"), F.count_if(F.col(CHANGE_TYPE) == INSERT).alias("insert_rows")]
     changes = changes.observe(OBSERVED, *counts)
     users = read_users(spark, cfg) if users is None else users
-    return build_curated(inserts_only(changes, keep_version=True), users, cfg, carry=[COMMIT_VERSION])
+    log = changes_now(spark, cfg.change_log, after_version)
+    return build_curated(
+        inserts_only(changes, keep_version=True), users, cfg, carry=[COMMIT_VERSION],
+        times=micro_batches(log, max_files_per_trigger), like=None if log is None else inserts_only(log),
+    )
 
 
 def start_incremental_stream(

@@ -236,3 +236,32 @@ def test_live_stream_repeats_a_broken_batch_and_reads_users_anew(spark, log, use
             os.remove(f"{commits}/{f}")
     drain()
     assert _rows(read_live_sink(spark, sink)) == one_shot
+
+
+def test_a_stream_broadcasts_users_only_if_all_its_batches_together_may(spark, log, users):
+    from dataclasses import replace
+
+    from chatlake.streaming.incremental import changes_now, curated_stream, micro_batches
+
+    now = changes_now(spark, log)
+    batches = micro_batches(now, 1)
+    assert batches >= 12 and micro_batches(now, None) == 1 and micro_batches(now, batches - 1) == 2
+    assert micro_batches(changes_now(spark, log + "/none"), 1) == 1
+    cfg = replace(_cfg(spark, log), broadcast_max_rows=users.count() * batches)
+
+    def hinted(cfg, **kw):
+        plan = curated_stream(spark, cfg, users, after_version=-1, **kw)._jdf.queryExecution().analyzed().toString()
+        return "strategy=broadcast" in plan
+
+    assert hinted(cfg, max_files_per_trigger=1)
+    cfg = replace(cfg, broadcast_max_rows=cfg.broadcast_max_rows - 1)
+    assert hinted(cfg) and not hinted(cfg, max_files_per_trigger=1)
+
+    def streamed(cfg):
+        sink = scratch_path(spark, "sink")
+        out = run_incremental_stream(
+            spark, cfg, sink, scratch_path(spark, "ckpt"), users=users, after_version=-1, max_files_per_trigger=4
+        )
+        return out.change_rows, out.inserted_transcripts, sorted(map(str, read_stream_sink(spark, sink).collect()))
+
+    assert streamed(cfg) == streamed(replace(cfg, broadcast_max_rows=0))
